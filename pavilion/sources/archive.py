@@ -1,0 +1,58 @@
+"""Zip archives of match files, read without unpacking them to disk."""
+
+import io
+import zipfile
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pavilion.sources.match_json import stage
+
+ENTRIES = "archive string, entry string, content string"
+BATCH_BYTES = 16 * 1024 * 1024
+
+
+def _entries(chunk, chunks, suffix):
+    """Reads every chunks-th wanted entry, starting at chunk, and yields them in bounded batches."""
+
+    def read(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    wanted = [n for n in archive.namelist() if n.endswith(suffix) and not n.endswith("/")]
+                    rows, size = [], 0
+                    for entry in wanted[chunk::chunks]:
+                        rows.append((path, entry, archive.read(entry).decode("utf-8")))
+                        size += len(rows[-1][2])
+                        if size >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=["archive", "entry", "content"])
+                            rows, size = [], 0
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["archive", "entry", "content"])
+
+    return read
+
+
+def read_archives(spark: SparkSession, path: str, suffix="json", chunks=8) -> DataFrame:
+    """(archive, entry, content) of all archives under path.
+
+    Each chunk of an archive is a task of its own that opens the archive itself, so one
+    big archive is read by several tasks and its bytes are never shuffled.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    parts = [files.mapInPandas(_entries(i, chunks, suffix), ENTRIES) for i in range(chunks)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def stage_archives(spark: SparkSession, path: str, chunks=8) -> DataFrame:
+    """Staging rows straight from archives."""
+    entries = read_archives(spark, path, "json", chunks)
+    document = F.from_json("content", "info string, innings string")
+    return stage(
+        entries.select(
+            document["info"].alias("info"),
+            document["innings"].alias("innings"),
+            F.element_at(F.split("entry", "/"), -1).alias("file_name"),
+        )
+    )
