@@ -252,12 +252,13 @@ def squad_lines(fact, matches, keys, roles, by_player, players=None, teams=None)
     )
     if matches is None:
         return lines
-    last = matches.groupBy("season").agg(F.max("match_id").alias("match_id"))
-    last = last.withColumn("season_last", F.lit(True))
-    # `season` joins null-safely out of the group, so only the match key is needed here.
-    seasons = matches.select("match_id", "season").join(last.select("match_id", "season_last"), "match_id", "left")
+    # The last match of a season, whichever team or player is looked at.
+    apart = [k for k in keys if k in MATCH_ATTRIBUTES and k != "season"]
+    last = matches.groupBy("season", *apart).agg(F.max("match_id").alias("match_id"))
+    last = last.select("match_id", F.lit(True).alias("season_last"))
+    seasons = matches.select("match_id", "season").join(last, "match_id", "left")
     seasons = seasons.withColumn("season_last", F.coalesce("season_last", F.lit(False)))
-    return lines.join(seasons.select("match_id", F.col("season").alias("season"), "season_last"), "match_id", "left")
+    return lines.join(seasons.drop("season") if "season" in keys else seasons, "match_id", "left")
 
 
 def evaluate(
@@ -298,8 +299,7 @@ def evaluate(
     for grain, names in grains.items():
         roles = list(dict.fromkeys(r for n in names for r in MEASURES[n].roles))
         if grain == "match":
-            need_season = {"seasons", "season_wins"} & set(names) and "season" not in keys
-            dim = matches if need_season or "season_wins" in names else None
+            dim = matches if {"seasons", "season_wins"} & set(names) else None
             lines = squad_lines(facts["s"], dim, keys, roles, by_player, players, teams)
         else:
             lines = delivery_lines(facts["d"], keys, grain, roles, by_player, by_team, players, teams)

@@ -21,13 +21,6 @@ class Star:
     jobs: DataFrame = None
 
 
-def upsert_names(existing: DataFrame, names: DataFrame, id_name: str, name: str) -> DataFrame:
-    """The rows to insert: names not yet in the dimension, with ids that follow its highest."""
-    new = names.select(name).distinct().join(existing.select(name), name, "left_anti")
-    highest = existing.agg(F.max(id_name)).first()[0]
-    return dense_ids(new, name, id_name, first=max(highest or 0, 0) + 1)
-
-
 def player_dim(squads: DataFrame) -> DataFrame:
     players = dense_ids(squads, "player_name", "player_id")
     extras = squads.sparkSession.createDataFrame([(EXTRAS_ID, EXTRAS_NAME)], players.schema)
