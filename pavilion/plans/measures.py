@@ -45,44 +45,57 @@ GRAINS = {
 MATCH_ATTRIBUTES = ["season", "event_name", "venue", "match_type", "match_result"]
 
 
-def _line_sums(seat) -> dict:
-    """The base quantities of a delivery line. seat(role) is the role that stands in for it."""
-    def of(role, value=None):
-        here = F.col("role") == seat(role)
-        return here if value is None else F.when(here, F.col(value) if isinstance(value, str) else value)
-
-    kind = F.col("wicket_kind")
-    credited, other = kind.isin(*BOWLER_WICKETS), kind.isin(*OTHER_WICKETS)
-    return {
-        "balls": F.count_if(of("bat")),
-        "total_runs": F.sum(of("bat", "total_runs")),
-        "batter_runs": F.sum(of("bat", "batter_runs")),
-        "byes": F.sum(of("bat", "byes")),
-        "leg_byes": F.sum(of("bat", "leg_byes")),
-        "wides": F.count_if(of("bat") & (F.col("wides") != 0)),
-        "no_balls": F.count_if(of("bat") & (F.col("no_balls") != 0)),
-        "fours": F.count_if(of("bat") & (F.col("batter_runs") == 4)),
-        "sixes": F.count_if(of("bat") & (F.col("batter_runs") == 6)),
-        "first_faced": F.min(of("bat", ball_number())),
-        "last_over": F.max(of("bat", "overs")),
-        "nsr_balls": F.count_if(of("nsr")),
-        "out_balls": F.count_if(of("out")),
-        "out_kind": F.max(of("out", "wicket_kind")),
-        "out_bowler_id": F.max(of("out", "bowler_id")),
-        "out_fielder_id": F.max(of("out", "fielder_id")),
-        "team_wickets": F.count_if(of("bwl_bt") & credited),
-        "bowled_balls": F.count_if(of("bwl")),
-        "bowled_runs": F.sum(of("bwl", "total_runs")),
-        "bowled_byes": F.sum(of("bwl", "byes")),
-        "bowled_leg_byes": F.sum(of("bwl", "leg_byes")),
-        "bowled_wides": F.count_if(of("bwl") & (F.col("wides") != 0)),
-        "bowled_no_balls": F.count_if(of("bwl") & (F.col("no_balls") != 0)),
-        "wickets": F.count_if(of("bwl") & credited),
-        "other_wickets": F.count_if(of("bwl") & other),
-        "first_bowled": F.min(of("bwl", ball_number())),
-        "catches": F.count_if(of("fld") & (kind == "caught")),
-        "own_catches": F.count_if(of("bwl") & (kind == "caught and bowled")),
+def _line_sums(seat, wanted) -> list:
+    """The wanted base quantities of a delivery line. seat(role) is the role that stands in for it."""
+    def here(role):
+        return F.col("role") == seat(role)
+
+    def count(role, *conditions):
+        return F.count_if(reduce(lambda a, b: a & b, conditions, here(role)))
+
+    def pick(agg, role, column):
+        return agg(F.when(here(role), F.col(column) if isinstance(column, str) else column))
+
+    def credited():
+        return F.col("wicket_kind").isin(*BOWLER_WICKETS)
+
+    def runs(n):
+        return F.col("batter_runs") == n
+
+    def some(column):
+        return F.col(column) != 0
+
+    sums = {
+        "balls": lambda: count("bat"),
+        "total_runs": lambda: pick(F.sum, "bat", "total_runs"),
+        "batter_runs": lambda: pick(F.sum, "bat", "batter_runs"),
+        "byes": lambda: pick(F.sum, "bat", "byes"),
+        "leg_byes": lambda: pick(F.sum, "bat", "leg_byes"),
+        "wides": lambda: count("bat", some("wides")),
+        "no_balls": lambda: count("bat", some("no_balls")),
+        "fours": lambda: count("bat", runs(4)),
+        "sixes": lambda: count("bat", runs(6)),
+        "first_faced": lambda: pick(F.min, "bat", ball_number()),
+        "last_over": lambda: pick(F.max, "bat", "overs"),
+        "nsr_balls": lambda: count("nsr"),
+        "out_balls": lambda: count("out"),
+        "out_kind": lambda: pick(F.max, "out", "wicket_kind"),
+        "out_bowler_id": lambda: pick(F.max, "out", "bowler_id"),
+        "out_fielder_id": lambda: pick(F.max, "out", "fielder_id"),
+        "team_wickets": lambda: count("bwl_bt", credited()),
+        "bowled_balls": lambda: count("bwl"),
+        "bowled_runs": lambda: pick(F.sum, "bwl", "total_runs"),
+        "bowled_byes": lambda: pick(F.sum, "bwl", "byes"),
+        "bowled_leg_byes": lambda: pick(F.sum, "bwl", "leg_byes"),
+        "bowled_wides": lambda: count("bwl", some("wides")),
+        "bowled_no_balls": lambda: count("bwl", some("no_balls")),
+        "wickets": lambda: count("bwl", credited()),
+        "other_wickets": lambda: count("bwl", F.col("wicket_kind").isin(*OTHER_WICKETS)),
+        "first_bowled": lambda: pick(F.min, "bwl", ball_number()),
+        "catches": lambda: count("fld", F.col("wicket_kind") == "caught"),
+        "own_catches": lambda: count("bwl", F.col("wicket_kind") == "caught and bowled"),
     }
+    return [sums[name]().alias(name) for name in wanted]
 
 
 @dataclass(frozen=True)
@@ -114,9 +127,11 @@ def _economy(c):
 
 
 def _best_bowling(c):
-    figures = F.struct(c("wickets").alias("w"), (-_conceded_line(c)).alias("r"))
-    best = F.max(F.when(c("bowled_balls") > 0, figures))
-    return F.when(best["r"].isNotNull(), text(best["w"], "/", -best["r"]))
+    """Most wickets, then fewest runs, as one number: a struct would turn the hash aggregate into a sort."""
+    unit = 1 << 32
+    best = F.max(F.when(c("bowled_balls") > 0, c("wickets") * unit - _conceded_line(c)))
+    wickets = -F.shiftright(-best, 32)
+    return F.when(best.isNotNull(), text(wickets, "/", wickets * unit - best))
 
 
 BAT, BOWL = ("bat",), ("bwl",)
@@ -218,8 +233,8 @@ def _chosen(rows, players, teams):
     return rows
 
 
-def delivery_lines(fact, keys, grain, roles, by_player, by_team, players=None, teams=None) -> DataFrame:
-    """Deliveries of the given roles, pre-aggregated to keys + grain."""
+def delivery_lines(fact, keys, grain, roles, wanted, by_player, by_team, players=None, teams=None) -> DataFrame:
+    """The wanted quantities of deliveries in the given roles, pre-aggregated to keys + grain."""
     by_player = by_player or "player_id" in keys
 
     def seat(role):
@@ -230,7 +245,7 @@ def delivery_lines(fact, keys, grain, roles, by_player, by_team, players=None, t
     seats = {seat(r): ROLES[seat(r)] for r in roles}
     rows = _chosen(stack_roles(fact, seats), players, teams)
     group = list(dict.fromkeys([*keys, *GRAINS[grain]]))
-    return rows.groupBy(*group).agg(*[v.alias(k) for k, v in _line_sums(seat).items()])
+    return rows.groupBy(*group).agg(*_line_sums(seat, wanted))
 
 
 def squad_lines(fact, matches, keys, roles, by_player, players=None, teams=None) -> DataFrame:
@@ -295,24 +310,25 @@ def evaluate(
         grain = "over" if grain == "player_over" and "player_id" in keys else grain
         grains.setdefault(grain, []).append(name)
 
-    line_sets = []
+    line_sets, outer = [], []
     for grain, names in grains.items():
+        wanted = {}
+
+        def column(c, grain=grain, wanted=wanted):
+            wanted[c] = True
+            return F.col(c if c in keys else f"{grain}__{c}")
+
+        outer += [MEASURES[n].value(column).alias(n) for n in names]
         roles = list(dict.fromkeys(r for n in names for r in MEASURES[n].roles))
         if grain == "match":
             dim = matches if {"seasons", "season_wins"} & set(names) else None
             lines = squad_lines(facts["s"], dim, keys, roles, by_player, players, teams)
         else:
-            lines = delivery_lines(facts["d"], keys, grain, roles, by_player, by_team, players, teams)
-        own = [c for c in lines.columns if c not in keys]
+            lines = delivery_lines(facts["d"], keys, grain, roles, wanted, by_player, by_team, players, teams)
+        own = [c for c in wanted if c not in keys]
         line_sets.append(lines.select(*keys, *[F.col(c).alias(f"{grain}__{c}") for c in own]))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), line_sets)
 
-    outer = []
-    for grain, names in grains.items():
-        def column(c, grain=grain):
-            return F.col(c if c in keys else f"{grain}__{c}")
-
-        outer += [MEASURES[n].value(column).alias(n) for n in names]
     result = stacked.groupBy(*keys).agg(*outer).select(*keys, *measures)
     if not keys:
         return result

@@ -1,9 +1,11 @@
 """The scorecard page: batting, bowling, falls of wickets, progress by over, the ball map.
 
-All for every match and innings at once; a drill-through is a filter on match_id and innings,
-which reaches the scan.
+All for every match and innings at once, and unsorted. `page` is the drill-through: one match
+(and innings), whose filter reaches the scan, with its tables in display order.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.functions.blanks import blank_zero, divide, minus, plus, text
@@ -29,15 +31,22 @@ def batting_scorecard(star: Star) -> DataFrame:
     The total adds the batters' lines up again, and the extras row is what the total has
     beyond them, so balls are read once.
     """
-    lines = delivery_lines(star.deliveries, [*INNINGS, "player_id"], "innings", ["bat", "nsr", "out"], True, False)
-    rows = lines.groupingSets(
-        [[*INNINGS, "player_id"], INNINGS], *INNINGS, "player_id"
-    ).agg(
+    keys = [*INNINGS, "player_id"]
+    sums = ["balls", "wides", "fours", "sixes", "batter_runs", "total_runs", "nsr_balls"]
+    outs = ["out_kind", "out_bowler_id", "out_fielder_id"]
+    # Texts make an aggregate sort its input, so the dismissals, few next to the balls, go apart.
+    scores = delivery_lines(
+        star.deliveries, keys, "innings", ["bat", "nsr"], [*sums, "first_faced"], True, False
+    )
+    dismissed = star.deliveries.filter("player_out_id is not null")
+    dismissed = delivery_lines(dismissed, keys, "innings", ["out"], outs, True, False)
+    lines = scores.unionByName(dismissed, allowMissingColumns=True)
+    rows = lines.groupingSets([keys, INNINGS], *keys).agg(
         F.grouping("player_id").alias("is_total"),
-        *[F.sum(c).alias(c) for c in ("balls", "wides", "fours", "sixes", "batter_runs", "total_runs", "nsr_balls")],
+        *[F.sum(c).alias(c) for c in sums],
         F.min("first_faced").alias("first_ball"),
-        *[F.max(c).alias(c) for c in ("out_kind", "out_bowler_id", "out_fielder_id")],
-    )
+        *[F.max(c).alias(c) for c in outs],
+    )
     batter = F.col("is_total") == 0
     kinds = F.when(batter, F.array(F.lit("batter"))).otherwise(F.array(F.lit("extras"), F.lit("total")))
     rows = rows.withColumn("row", F.explode(kinds))
@@ -68,7 +77,7 @@ def batting_scorecard(star: Star) -> DataFrame:
         shown(blank_zero(F.col("fours"))).alias("fours"),
         shown(blank_zero(F.col("sixes"))).alias("sixes"),
         shown(divide(F.col("batter_runs") * 100, F.col("balls") - F.col("wides"))).alias("strike_rate"),
-    ).orderBy(*INNINGS, "first_ball_faced")
+    )
 
 
 def bowling_scorecard(star: Star) -> DataFrame:
@@ -78,7 +87,7 @@ def bowling_scorecard(star: Star) -> DataFrame:
     ]
     keys = [*INNINGS, "player_id"]
     rows = evaluate(star, keys, measures).join(star.players, "player_id", "left")
-    return rows.select(*keys, "player_name", *measures).orderBy(*INNINGS, "first_ball_bowled")
+    return rows.select(*keys, "player_name", *measures)
 
 
 def fall_of_wickets_rows(star: Star) -> DataFrame:
@@ -89,21 +98,26 @@ def fall_of_wickets_rows(star: Star) -> DataFrame:
     """
     kind = F.col("wicket_kind")
     credited = kind.isin(*BOWLER_WICKETS, *OTHER_WICKETS)
-    illegal = (F.coalesce("wides", F.lit(0)) != 0).cast("int") + (F.coalesce("no_balls", F.lit(0)) != 0).cast("int")
     balls = star.deliveries.select(
         *INNINGS, "overs", "balls", "total_runs", kind, "player_out_id",
         ball_number().alias("ball_no"),
         F.coalesce(credited, F.lit(False)).cast("int").alias("out"),
-        illegal.alias("illegal"),
     )
     balls = running_totals(balls, INNINGS, "ball_no", {"score": "total_runs", "wicket_no": "out"})
-    balls = running_totals(balls, [*INNINGS, "overs"], "balls", {"illegal_so_far": "illegal"})
-    fallen = balls.filter(kind.isNotNull()).join(person(star, "player_out_id", "player_out"), "player_out_id", "left")
-    at = text(F.col("overs") - 1, ".", F.col("balls") - F.col("illegal_so_far"))
+    # Wides and no-balls of an over, as the list of their ball numbers; most overs have none.
+    wide, no_ball = F.col("wides") != 0, F.col("no_balls") != 0
+    illegal = star.deliveries.filter(wide | no_ball).groupBy(*INNINGS, "overs")
+    illegal = illegal.agg(
+        F.concat(F.collect_list(F.when(wide, F.col("balls"))), F.collect_list(F.when(no_ball, F.col("balls")))).alias("at")
+    )
+    fallen = balls.filter(kind.isNotNull()).join(illegal, [*INNINGS, "overs"], "left")
+    fallen = fallen.join(person(star, "player_out_id", "player_out"), "player_out_id", "left")
+    so_far = F.when(F.col("at").isNull(), 0).otherwise(F.size(F.filter("at", lambda b: b <= F.col("balls"))))
+    over_ball = text(F.col("overs") - 1, ".", F.col("balls") - so_far)
     wicket_no = F.nullif(F.col("wicket_no"), F.lit(0).cast("long"))
     return fallen.select(
-        *INNINGS, "ball_no", "score", "wicket_no", "player_out",
-        text(F.col("score"), "-", wicket_no, " (", F.col("player_out"), ", ", at, ")").alias("fall"),
+        *INNINGS, "ball_no", "score", wicket_no.alias("wicket_no"), "player_out",
+        text(F.col("score"), "-", wicket_no, " (", F.col("player_out"), ", ", over_ball, ")").alias("fall"),
     )
 
 
@@ -217,7 +231,7 @@ def worm_tooltip(star: Star) -> DataFrame:
         F.col("overall_runs").alias("cumulative_runs"),
         "team_wickets",
         F.col("team_wickets").alias("cumulative_wickets"),
-    ).orderBy(F.desc("cumulative_runs"))
+    )
 
 
 def ball_map(star: Star) -> DataFrame:
@@ -246,3 +260,26 @@ def ball_map(star: Star) -> DataFrame:
         run_colour(kind, F.col("total_runs")).alias("colour"),
         "total_balls_per_over", "total_overs",
     )
+
+
+def page(star: Star, match_id, innings=None) -> dict:
+    """The page's datasets for one match, or one of its innings (innings number from 1)."""
+    facts = star.deliveries.filter(F.col("match_id") == match_id)
+    facts = facts if innings is None else facts.filter(F.col("innings") == innings)
+    one = replace(
+        star,
+        deliveries=facts,
+        team_players=star.team_players.filter(F.col("match_id") == match_id),
+        matches=star.matches.filter(F.col("match_id") == match_id),
+    )
+    return {
+        "batting": batting_scorecard(one).orderBy("innings", "first_ball_faced"),
+        "bowling": bowling_scorecard(one).orderBy("innings", "first_ball_bowled"),
+        "fall_of_wickets": fall_of_wickets(one).orderBy("innings"),
+        "did_not_bat": did_not_bat(one).orderBy("innings"),
+        "header": innings_header(one).orderBy("innings"),
+        "manhattan": manhattan(one).orderBy("innings", "overs"),
+        "worm": worm(one).orderBy("innings", "overs"),
+        "worm_tooltip": worm_tooltip(one).orderBy(F.desc("cumulative_runs")),
+        "ball_map": ball_map(one).orderBy("innings", "overs", "balls"),
+    }

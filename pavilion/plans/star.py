@@ -21,10 +21,14 @@ class Star:
     jobs: DataFrame = None
 
 
+def with_extras(players: DataFrame) -> DataFrame:
+    """players plus the fixed member that stands for the extras."""
+    extras = players.sparkSession.range(1)
+    return players.unionAll(extras.select(F.lit(EXTRAS_ID).cast("long"), F.lit(EXTRAS_NAME)))
+
+
 def player_dim(squads: DataFrame) -> DataFrame:
-    players = dense_ids(squads, "player_name", "player_id")
-    extras = squads.sparkSession.createDataFrame([(EXTRAS_ID, EXTRAS_NAME)], players.schema)
-    return players.unionAll(extras)
+    return with_extras(dense_ids(squads, "player_name", "player_id"))
 
 
 def team_dim(squads: DataFrame) -> DataFrame:

@@ -7,10 +7,9 @@ then read from files, as reports read stored tables.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pavilion.functions.cricket import EXTRAS_ID, EXTRAS_NAME
 from pavilion.operators.joins import lookup
 from pavilion.operators.ordinals import row_numbers
-from pavilion.plans.star import SQUAD_MATCH_COLUMNS, Star, build_star, date_dim
+from pavilion.plans.star import SQUAD_MATCH_COLUMNS, Star, build_star, date_dim, with_extras
 from pavilion.session import materialize
 from pavilion.sources.match_json import stage
 
@@ -121,8 +120,7 @@ def name_dims(spark: SparkSession):
     teams = spark.range(1, TEAMS + 1).select(F.col("id").alias("team_id"), F.expr("'Team_' || id").alias("team"))
     players = spark.range(SQUAD, (TEAMS + 1) * SQUAD)
     players = players.select(F.col("id").alias("player_id"), F.expr("'Player_' || id").alias("player_name"))
-    extras = spark.createDataFrame([(EXTRAS_ID, EXTRAS_NAME)], players.schema)
-    return teams, players.unionAll(extras)
+    return materialize(teams, "t_dim_team"), materialize(with_extras(players), "t_dim_player")
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
