@@ -112,10 +112,9 @@ def deliveries_fact(staging, teams, players, matches, team_players) -> DataFrame
     ids = ids.agg(F.map_from_entries(F.collect_list(F.struct("player_name", "player_id"))).alias("ids"))
     context = matches.select("match_id", "match_date").join(sides, "match_id").join(ids, "match_id", "left")
 
-    innings = shred.explode_innings(
-        staging.select("match_id", "match_innings").join(context, "match_id"),
-        ["match_id", "match_date", "sides", "ids"],
-    )
+    # Hashing the small rows spares a sort of the documents, and keeps these from being broadcast.
+    documents = staging.select("match_id", "match_innings").join(context.hint("shuffle_hash"), "match_id")
+    innings = shred.explode_innings(documents, ["match_id", "match_date", "sides", "ids"])
     innings = innings.withColumn("side", F.try_element_at("sides", F.col("inn.team"))).filter("side is not null")
     keep = [F.col(c) for c in ("match_id", "match_date", "innings", "side", "ids")]
     balls = shred.explode_deliveries(innings, keep)
