@@ -155,7 +155,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = ("player_stats", "team_stats", "kpi_cards", "wins_by_year", "match_results", "match_cards",
+    named = ("player_stats", "team_stats", "kpi_cards", "wins_by_year", "wins_by_month", "match_results", "match_cards",
              "slicer_values", "player_teams")
     cards = ("batting_scorecard", "bowling_scorecard", "fall_of_wickets_rows", "fall_of_wickets", "did_not_bat",
              "innings_header", "manhattan", "worm", "worm_tooltip", "ball_map")
@@ -183,6 +183,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "leg_byes_runs", "wides", "no_balls", "innings_count", "over_count", "fours", "sixes",
         ),
         "team_measures": measured(["team_id"], *DELIVERY_MEASURES),
+        "event_measures": measured(
+            ["event_name", "team_id"], "overall_runs", "wickets", "bowler_overs", "hundreds", "matches", "seasons",
+            "season_wins",
+        ),
         "match_type_measures": measured(["match_type"], *DELIVERY_MEASURES),
         "season_measures": measured(
             ["season"], *DELIVERY_MEASURES, *[m for m in SQUAD_MEASURES if m != "player_of_match"]

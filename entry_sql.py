@@ -337,6 +337,9 @@ SQL = {
     "wins_by_year": f"""{STAR}
       select cast(year(match_date) as int) as year, count(distinct match_id) as match_wins from team_players
       where match_winner_id = team_id group by all""",
+    "wins_by_month": f"""{STAR}
+      select cast(month(match_date) as int) as month_number, strftime(match_date, '%b') as month, count(distinct match_id) as matches,
+        nullif(count(distinct match_id) filter (match_winner_id = team_id), 0) as match_wins from team_players group by all""",
     "match_results": f"""{STAR}, {MATCH_TEXT},
       tp as (select match_id, string_agg(team, chr(10) || ' vs ' || chr(10) order by team) as teams_played
              from (select distinct match_id, team_id from team_players) join teams using (team_id) group by all),
@@ -539,6 +542,19 @@ OF_TEAM = f"{STAR}, batting as ({SEL_D}), bowling as ({SEL_W})"
 SQL["season_measures"] = f"""{SEASONED}, {_by_plain(["season"], d="sd", w="sd")}, {_squad_measures(["season"])}
   select dm.*, sm.* exclude (season) from dm join sm using (season)"""
 SQL["match_type_measures"] = f"{SEASONED}, {_by_plain(['match_type'], d='sd', w='sd')} select * from dm"
+SQL["event_measures"] = f"""{STAR}, last as (select event_name, season, max(match_id) as match_id from matches group by all),
+  bt as (select event_name, batting_team_id as team_id, cast(sum(total_runs) as bigint) as overall_runs from deliveries
+         join matches using (match_id) group by all),
+  wt as (select event_name, bowling_team_id as team_id, count(*) filter (wicket_kind in {CREDITED}) as wickets,
+           count(distinct overs) as bowler_overs from deliveries join matches using (match_id) group by all),
+  hs as (select event_name, team_id, count(*) as hundreds from (
+           select event_name, batting_team_id as team_id from deliveries join matches using (match_id)
+           group by event_name, batting_team_id, match_id, innings, batter_id having sum(batter_runs) >= 100) group by all),
+  sq as (select m.event_name, tp.team_id, count(distinct tp.match_id) as matches, count(distinct m.season) as seasons,
+           nullif(count(distinct m.season) filter (tp.match_winner_id = tp.team_id and l.match_id is not null), 0) as season_wins
+         from team_players tp join matches m using (match_id) left join last l on l.match_id = tp.match_id group by all)
+  select event_name, team_id, overall_runs, nullif(wickets, 0) as wickets, bowler_overs, hundreds, matches, seasons, season_wins
+  from sq left join bt using (event_name, team_id) left join wt using (event_name, team_id) left join hs using (event_name, team_id)"""
 SQL["player_stats_of_team"] = f"""{OF_TEAM}, {_by_player(d="batting", w="bowling")},
   {_squad_measures(["player_id"], "where tp.team_id = 3")}
   select player_id, player_name, {PLAYER_COLUMNS}

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pavilion.functions.blanks import blank_zero, divide, minus, plus, text
 from pavilion.functions.cricket import BOWLER_WICKETS, OTHER_WICKETS, ball_number
 from pavilion.plans.star import Star
+from pavilion.session import materialize
 
 # role: (player column, team column)
 ROLES = {
@@ -42,7 +43,14 @@ GRAINS = {
     "match": ["match_id"],
 }
 
+# Keys looked up in the match dimension, and keys that follow from a fact's own date.
 MATCH_ATTRIBUTES = ["season", "event_name", "venue", "match_type", "match_result"]
+DATE_ATTRIBUTES = {
+    "year": lambda: F.year("match_date"),
+    "quarter": lambda: F.concat(F.lit("Q"), F.quarter("match_date").cast("string")),
+    "month_number": lambda: F.month("match_date"),
+    "month": lambda: F.date_format("match_date", "MMM"),
+}
 
 
 def _line_sums(seat, wanted) -> list:
@@ -248,8 +256,11 @@ def delivery_lines(fact, keys, grain, roles, wanted, by_player, by_team, players
     return rows.groupBy(*group).agg(*_line_sums(seat, wanted))
 
 
-def squad_lines(fact, matches, keys, roles, by_player, players=None, teams=None) -> DataFrame:
-    """Squad rows pre-aggregated to keys + match, with the match's season."""
+def squad_lines(fact, matches, keys, apart, roles, by_player, players=None, teams=None) -> DataFrame:
+    """Squad rows pre-aggregated to keys + match; with matches, also the match's season and
+    whether it is the last of it. apart: attributes among the caller's keys, apart from which
+    seasons are looked at.
+    """
     best = "best" if by_player else "squad"
     seats = {"squad": ("player_id", "team_id"), "best": ("player_of_match_id", "team_id")}
     seats = {r: seats[r] for r in dict.fromkeys(best if r == "best" else r for r in roles)}
@@ -268,12 +279,10 @@ def squad_lines(fact, matches, keys, roles, by_player, players=None, teams=None)
     if matches is None:
         return lines
     # The last match of a season, whichever team or player is looked at.
-    apart = [k for k in keys if k in MATCH_ATTRIBUTES and k != "season"]
-    last = matches.groupBy("season", *apart).agg(F.max("match_id").alias("match_id"))
+    last = matches.groupBy(*dict.fromkeys(["season", *apart])).agg(F.max("match_id").alias("match_id"))
     last = last.select("match_id", F.lit(True).alias("season_last"))
-    seasons = matches.select("match_id", "season").join(last, "match_id", "left")
-    seasons = seasons.withColumn("season_last", F.coalesce("season_last", F.lit(False)))
-    return lines.join(seasons.drop("season") if "season" in keys else seasons, "match_id", "left")
+    seasons = matches.select("match_id", *[] if "season" in apart else ["season"]).join(last, "match_id", "left")
+    return lines.join(seasons.withColumn("season_last", F.coalesce("season_last", F.lit(False))), "match_id", "left")
 
 
 def evaluate(
@@ -281,25 +290,28 @@ def evaluate(
 ) -> DataFrame:
     """One row per key with the asked measures; rows whose measures are all blank are left out.
 
-    keys: any of player_id, team_id, match_id, innings, overs, balls, match_date, year and the
-    match attributes. where: a condition on the match dimension. players, teams: slicer
+    keys: any of player_id, team_id, match_id, innings, overs, balls, match_date, the date and
+    the match attributes. where: a condition on the match dimension. players, teams: slicer
     values. selector: a match set (plans/selectors.py); it replaces the player and team
     filters and is combined with the others.
     """
     facts = {"d": star.deliveries, "s": star.team_players}
     matches = star.matches
-    if where is not None:
-        matches = matches.filter(where)
-        facts = {k: f.join(matches.select("match_id"), "match_id", "left_semi") for k, f in facts.items()}
     if selector is not None:
         players = teams = None
-        facts = {k: f.join(selector.select("match_id"), "match_id", "left_semi") for k, f in facts.items()}
-    if "year" in keys:
-        facts = {k: f.withColumn("year", F.year("match_date")) for k, f in facts.items()}
+    if where is not None or selector is not None:
+        matches = matches if where is None else matches.filter(where)
+        chosen = matches.select("match_id")
+        if selector is not None:
+            chosen = chosen.join(selector.select("match_id"), "match_id", "left_semi")
+        # Stored first: every line set uses it, and its true size decides whether it is broadcast.
+        chosen = materialize(chosen, "matches")
+        facts = {k: f.join(chosen, "match_id", "left_semi") for k, f in facts.items()}
+    dates = [k for k in keys if k in DATE_ATTRIBUTES]
+    facts = {k: f.withColumns({d: DATE_ATTRIBUTES[d]() for d in dates}) if dates else f for k, f in facts.items()}
+    # Match attributes are looked up per line, of which there are far fewer than balls.
     attributes = [k for k in keys if k in MATCH_ATTRIBUTES]
-    if attributes:
-        dim = matches.select("match_id", *attributes)
-        facts = {k: f.join(dim, "match_id", "left") for k, f in facts.items()}
+    line_keys = [k for k in keys if k not in attributes]
 
     by_player = "player_id" in keys or players is not None
     by_team = "team_id" in keys or teams is not None
@@ -322,9 +334,17 @@ def evaluate(
         roles = list(dict.fromkeys(r for n in names for r in MEASURES[n].roles))
         if grain == "match":
             dim = matches if {"seasons", "season_wins"} & set(names) else None
-            lines = squad_lines(facts["s"], dim, keys, roles, by_player, players, teams)
+            lines = squad_lines(facts["s"], dim, line_keys, attributes, roles, by_player, players, teams)
         else:
-            lines = delivery_lines(facts["d"], keys, grain, roles, wanted, by_player, by_team, players, teams)
+            # A line of an over number spans matches, so it is split by match until its attributes are known.
+            split = ["match_id"] if attributes and "match_id" not in GRAINS[grain] else []
+            lines = delivery_lines(
+                facts["d"], [*line_keys, *split], grain, roles, wanted, by_player, by_team, players, teams
+            )
+        if attributes:
+            lines = lines.join(matches.select("match_id", *attributes), "match_id", "left")
+            if grain == "over_number":
+                lines = lines.groupBy(*keys, "overs").agg(F.sum("bowled_balls").alias("bowled_balls"))
         own = [c for c in wanted if c not in keys]
         line_sets.append(lines.select(*keys, *[F.col(c).alias(f"{grain}__{c}") for c in own]))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), line_sets)

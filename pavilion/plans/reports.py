@@ -39,6 +39,12 @@ def wins_by_year(star: Star, **context) -> DataFrame:
     return evaluate(star, ["year"], ["match_wins"], **context).orderBy(F.desc("match_wins"), "year")
 
 
+def wins_by_month(star: Star, **context) -> DataFrame:
+    """By month of the calendar; the name is ordered by its number."""
+    rows = evaluate(star, ["month_number", "month"], ["matches", "match_wins"], **context)
+    return rows.orderBy("month_number")
+
+
 def _team(star, key, name):
     return star.teams.select(F.col("team_id").alias(key), F.col("team").alias(name))
 
