@@ -27,8 +27,3 @@ def top_ties(df: DataFrame, value: str) -> DataFrame:
     """The rows with the highest value, all ties kept. The highest value is one row."""
     top = df.agg(F.max(value).alias("__top"))
     return df.join(F.broadcast(top), df[value].eqNullSafe(top["__top"]), "left_semi")
-
-
-def latest(df: DataFrame, by: str, value: str) -> DataFrame:
-    """The value of the row that comes last by a column, without a sort."""
-    return df.agg(F.max_by(value, by).alias(value))

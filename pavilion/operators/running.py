@@ -1,32 +1,40 @@
 """Running totals over an ordinal (overs, ball numbers), safe for very long groups."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from pavilion.session import materialize
+
 SPAN = 4096  # ordinals per span: one task never sorts more of one group than this
 
 
 def running_totals(df: DataFrame, keys, ordinal: str, totals: dict, span=SPAN) -> DataFrame:
     """Adds, for each {output: column} of totals, the sum over rows with ordinal <= this row's.
 
-    Rows that share an ordinal are peers and see each other, as in a range frame. A group
-    is cut into spans of ordinals; each span runs on its own and starts from the totals of
-    the spans before it, of which there is one row each.
+    Rows that share an ordinal are peers and see each other, as in a range frame. Where no
+    ordinal reaches span, one window per group does it. Else every group is cut into spans of
+    ordinals; each span runs on its own, and starts from the totals of the spans before it,
+    of which a long group has one row each.
     """
+    long = df.filter(F.col(ordinal) >= span).select(*keys).distinct()
+
+    def sums(window):
+        return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(out) for out, c in totals.items()]
+
+    def frame(*partition):
+        return W.partitionBy(*partition).orderBy(ordinal).rangeBetween(W.unboundedPreceding, 0)
+
+    if long.isEmpty():
+        return df.select("*", *sums(frame(*keys)))
+    long = materialize(long, "long-groups")
     cut = df.withColumn("__span", F.floor(F.col(ordinal) / span))
-    within = W.partitionBy(*keys, "__span").orderBy(ordinal).rangeBetween(W.unboundedPreceding, 0)
     earlier = W.partitionBy(*keys).orderBy("__span").rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        cut.groupBy(*keys, "__span")
+        cut.join(long, keys, "left_semi")
+        .groupBy(*keys, "__span")
         .agg(*[F.sum(c).alias(f"__{out}") for out, c in totals.items()])
         .select(*keys, "__span", *[F.sum(f"__{out}").over(earlier).alias(f"__{out}") for out in totals])
-        # Most groups have one span, which starts from nothing.
-        .filter(reduce(lambda a, b: a | b, [F.col(f"__{out}").isNotNull() for out in totals]))
     )
-    local = cut.select("*", *[F.sum(c).over(within).alias(out) for out, c in totals.items()])
-    joined = local.join(carried, [*keys, "__span"], "left")
-    return joined.select(
-        *df.columns,
-        *[(F.coalesce(F.col(out), F.lit(0)) + F.coalesce(f"__{out}", F.lit(0))).alias(out) for out in totals],
+    local = cut.select("*", *sums(frame(*keys, "__span")))
+    return local.join(carried, [*keys, "__span"], "left").select(
+        *df.columns, *[(F.col(out) + F.coalesce(f"__{out}", F.lit(0))).alias(out) for out in totals]
     )

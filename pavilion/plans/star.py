@@ -18,7 +18,6 @@ class Star:
     dates: DataFrame
     team_players: DataFrame
     deliveries: DataFrame
-    jobs: DataFrame = None
 
 
 def with_extras(players: DataFrame) -> DataFrame:
@@ -137,15 +136,21 @@ def deliveries_fact(staging, teams, players, matches, team_players) -> DataFrame
     )
 
 
-def build_star(staging: DataFrame, store=materialize) -> Star:
-    """Builds all six tables; each is stored, then read back by the ones that need its keys."""
-    squads = store(shred.squads(staging), "squads")
-    players = store(player_dim(squads), "t_dim_player")
-    teams = store(team_dim(squads), "t_dim_team")
+def store_name_dim(squads: DataFrame, name: str) -> DataFrame:
+    return materialize(player_dim(squads) if name == "t_dim_player" else team_dim(squads), name)
+
+
+def build_star(staging: DataFrame, store=materialize, store_names=store_name_dim) -> Star:
+    """Builds all six tables; each is stored, then read back by the ones that need its keys.
+
+    store(df, name) and store_names(squads, name) say where to; the second is apart so that
+    a lasting store can keep the ids it has given out (plans/load.py).
+    """
+    squads = materialize(shred.squads(staging), "squads")
+    players = store_names(squads, "t_dim_player")
+    teams = store_names(squads, "t_dim_team")
     matches = store(match_dim(staging, teams, players), "t_dim_match")
     dates = store(date_dim(matches), "t_dim_date")
     team_players = store(team_players_fact(squads, teams, players, matches), "t_fact_team_players")
-    deliveries = store(
-        deliveries_fact(staging, teams, players, matches, team_players), "t_fact_deliveries"
-    )
+    deliveries = store(deliveries_fact(staging, teams, players, matches, team_players), "t_fact_deliveries")
     return Star(matches, teams, players, dates, team_players, deliveries)
