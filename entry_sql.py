@@ -283,13 +283,8 @@ falls as (
     concat(score, '-', wicket_no, ' (', player_name, ', ', overs - 1, '.', b.balls - illegal, ')') as fall
   from balls b left join players on player_id = player_out_id where wicket_kind is not null)"""
 
-# The selection of the registered match sets: matches of team 3, from either side.
-SEL_D = "select * from deliveries where batting_team_id = 3"
-SEL_W = "select * from deliveries where bowling_team_id = 3"
-
-
-def _top(rows, keys, value):
-    return f"""scores as (select {keys}, {value} as v from ({rows}) group by all),
+def _top(keys, value):
+    return f"""scores as (select {keys}, {value} as v from deliveries group by all),
 picked as (select distinct match_id from scores where v is not distinct from (select max(v) from scores))"""
 
 
@@ -297,16 +292,16 @@ WICKETS = f"nullif(count(*) filter (wicket_kind in {CREDITED}), 0)"
 
 PICKED = {
     "all_matches": "picked as (select distinct match_id from team_players where team_id = 3)",
-    "highest_score": _top(SEL_D, "match_id", "sum(batter_runs)"),
-    "highest_wickets": _top(SEL_W, "match_id", WICKETS),
+    "highest_score": _top("match_id", "sum(batter_runs)"),
+    "highest_wickets": _top("match_id", WICKETS),
     "hundreds": f"""picked as (select distinct match_id from (select match_id, batter_id, sum(batter_runs) as r
-      from ({SEL_D}) group by all) where r >= 100)""",
+      from deliveries group by all) where r >= 100)""",
     "five_wickets": f"""picked as (select distinct match_id from (select match_id, bowler_id, {WICKETS} as w
-      from ({SEL_W}) group by all) where w >= 5)""",
-    "highest_sixes": _top(SEL_D, "match_id", "nullif(count(*) filter (batter_runs = 6), 0)"),
-    "highest_fours": _top(SEL_D, "match_id", "nullif(count(*) filter (batter_runs = 4), 0)"),
-    "highest_runs_in_over": _top(SEL_D, "match_id, innings, overs", "sum(total_runs)"),
-    "highest_wickets_in_over": _top(SEL_W, "match_id, innings, overs", WICKETS),
+      from deliveries group by all) where w >= 5)""",
+    "highest_sixes": _top("match_id", "nullif(count(*) filter (batter_runs = 6), 0)"),
+    "highest_fours": _top("match_id", "nullif(count(*) filter (batter_runs = 4), 0)"),
+    "highest_runs_in_over": _top("match_id, innings, overs", "sum(total_runs)"),
+    "highest_wickets_in_over": _top("match_id, innings, overs", WICKETS),
     "tied": "picked as (select match_id from matches where match_result = 'tie')",
 }
 
@@ -537,7 +532,8 @@ SQL = {
 
 # Balls with attributes of their match, and the two sides of team 3.
 SEASONED = f"{STAR}, sd as (select d.*, m.season, m.match_type from deliveries d join matches m using (match_id))"
-OF_TEAM = f"{STAR}, batting as ({SEL_D}), bowling as ({SEL_W})"
+OF_TEAM = f"""{STAR}, batting as (select * from deliveries where batting_team_id = 3),
+  bowling as (select * from deliveries where bowling_team_id = 3)"""
 
 SQL["season_measures"] = f"""{SEASONED}, {_by_plain(["season"], d="sd", w="sd")}, {_squad_measures(["season"])}
   select dm.*, sm.* exclude (season) from dm join sm using (season)"""

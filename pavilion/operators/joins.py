@@ -6,17 +6,17 @@ from pavilion.operators.ordinals import HOT_ROWS, hot_keys
 from pavilion.session import materialize
 
 
-def lookup(rows: DataFrame, dim: DataFrame, on: str, spread: str, hot_rows=HOT_ROWS, salts=64) -> DataFrame:
+def lookup(rows: DataFrame, dim: DataFrame, on: str, spread, hot_rows=HOT_ROWS, salts=64) -> DataFrame:
     """Left-outer join of rows to dim, whose column `on` is unique.
 
-    Rows of a hot key are spread over salts by the hash of their column `spread`; the one
+    Rows of a hot key are spread over salts by the hash of their columns `spread`; the one
     dim row of a hot key is copied to each salt. Nothing else is copied or salted.
     """
-    hot = hot_keys(rows.filter(F.col(on).isNotNull()), [on], hot_rows)
+    hot = materialize(hot_keys(rows.filter(F.col(on).isNotNull()), [on], hot_rows), "hot-keys")
     if hot.isEmpty():
         return rows.join(dim, on, "left")
-    hot = F.broadcast(materialize(hot, "hot-keys").withColumn("__hot", F.lit(True)))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_rows = rows.join(hot, on, "left").withColumn("__salt", salt).drop("__hot")
     salted_dim = dim.join(hot, on, "left").withColumn("__salt", F.explode(copies)).drop("__hot")

@@ -45,10 +45,10 @@ def sliced_row_number(df: DataFrame, keys, order, name: str) -> DataFrame:
 def row_numbers(df: DataFrame, keys, order, name: str, hot_rows=HOT_ROWS) -> DataFrame:
     """df plus its 1-based row number within keys, in the given order (a total one)."""
     numbered = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
-    hot = hot_keys(df, keys, hot_rows)
+    hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
     if hot.isEmpty():
         return df.withColumn(name, numbered)
-    hot = F.broadcast(materialize(hot, "hot-keys"))
+    hot = F.broadcast(hot)
     cold_rows = df.join(hot, keys, "left_anti").withColumn(name, numbered)
     hot_rows_ = sliced_row_number(df.join(hot, keys, "left_semi"), keys, order, name)
     return cold_rows.unionByName(hot_rows_)

@@ -15,7 +15,7 @@ def running_totals(df: DataFrame, keys, ordinal: str, totals: dict, span=SPAN) -
     ordinals; each span runs on its own, and starts from the totals of the spans before it,
     of which a long group has one row each.
     """
-    long = df.filter(F.col(ordinal) >= span).select(*keys).distinct()
+    long = materialize(df.filter(F.col(ordinal) >= span).select(*keys).distinct(), "long-groups")
 
     def sums(window):
         return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(out) for out, c in totals.items()]
@@ -25,7 +25,6 @@ def running_totals(df: DataFrame, keys, ordinal: str, totals: dict, span=SPAN) -
 
     if long.isEmpty():
         return df.select("*", *sums(frame(*keys)))
-    long = materialize(long, "long-groups")
     cut = df.withColumn("__span", F.floor(F.col(ordinal) / span))
     earlier = W.partitionBy(*keys).orderBy("__span").rowsBetween(W.unboundedPreceding, -1)
     carried = (

@@ -37,9 +37,9 @@ def job_report(jobs: DataFrame, now: Column) -> DataFrame:
     latest = latest_root(jobs).select(F.col("latest_id").alias("root_id"), F.lit("Y").alias("flag"))
     flags = roots.join(parents, "root_id", "left_semi").join(F.broadcast(latest), "root_id", "left")
     flags = flags.select("root_id", F.coalesce("flag", F.lit("N")).alias("is_latest_parent"))
-    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread="job_id")
+    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread=["job_id"])
     rows = rows.withColumn("root_id", F.coalesce("parent_job_id", "job_id"))
-    rows = lookup(rows, flags, "root_id", spread="job_id").withColumn("duration_sec", duration(now))
+    rows = lookup(rows, flags, "root_id", spread=["job_id"]).withColumn("duration_sec", duration(now))
     return rows.select(
         "job_category", "job_name", "parent_job_name", "is_latest_parent", "start_time", "end_time",
         elapsed_report(F.col("duration_sec")).alias("time_elapsed"),
@@ -60,7 +60,7 @@ def latest_run(jobs: DataFrame) -> DataFrame:
 
 
 def monitor(jobs: DataFrame, now: Column) -> DataFrame:
-    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread="job_id").withColumn("duration_sec", duration(now))
+    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread=["job_id"]).withColumn("duration_sec", duration(now))
     return rows.select(
         "job_id", "job_name", "job_category", "start_time", "end_time", "status", "message", "parent_job_name",
         elapsed_measure(F.col("duration_sec")).alias("time_elapsed"), "duration_sec",

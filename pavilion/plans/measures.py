@@ -306,6 +306,7 @@ def evaluate(
             chosen = chosen.join(selector.select("match_id"), "match_id", "left_semi")
         # Stored first: every line set uses it, and its true size decides whether it is broadcast.
         chosen = materialize(chosen, "matches")
+        matches = matches.join(chosen, "match_id", "left_semi")
         facts = {k: f.join(chosen, "match_id", "left_semi") for k, f in facts.items()}
     dates = [k for k in keys if k in DATE_ATTRIBUTES]
     facts = {k: f.withColumns({d: DATE_ATTRIBUTES[d]() for d in dates}) if dates else f for k, f in facts.items()}

@@ -13,6 +13,7 @@ from pavilion.functions.cricket import (
     BOWLER_WICKETS, EXTRAS_ID, EXTRAS_NAME, INNINGS_COLOURS, OTHER_WICKETS,
     ball_number, run_colour, switch, total_overs, two_decimals, wicket_text,
 )
+from pavilion.operators.joins import lookup
 from pavilion.operators.running import SPAN, running_totals
 from pavilion.operators.texts import joined_text
 from pavilion.plans.measures import delivery_lines, evaluate
@@ -234,29 +235,38 @@ def worm_tooltip(star: Star) -> DataFrame:
     )
 
 
+def match_names(star: Star) -> DataFrame:
+    """Per match: a map of player id to name, of everybody its balls name."""
+    roles = F.array("bowler_id", "batter_id", "player_out_id", "fielder_id")
+    named = star.deliveries.select("match_id", F.explode(roles).alias("player_id")).distinct()
+    named = named.join(star.players, "player_id").groupBy("match_id")
+    return named.agg(F.map_from_entries(F.collect_list(F.struct("player_id", "player_name"))).alias("names"))
+
+
 def ball_map(star: Star) -> DataFrame:
     """Every ball with runs, wicket, colour, players and the axis ends of its match.
 
-    Names come in by joins on the ball; a player dimension small enough is broadcast.
+    Names and axes of a match make one row, so a ball is joined once, whatever the number of
+    players; a match with very many balls is salted.
     """
-    kind = F.col("wicket_kind")
-    rows = star.deliveries
-    for key, name in [
-        ("bowler_id", "bowler_name"), ("batter_id", "batsman_name"),
-        ("player_out_id", "player_out"), ("fielder_id", "fielder"),
-    ]:
-        rows = rows.join(person(star, key, name), key, "left")
-    rows = rows.join(match_axes(star).drop("max_runs_per_over"), "match_id")
+    context = match_axes(star).drop("max_runs_per_over").join(match_names(star), "match_id", "left")
+    rows = lookup(star.deliveries, context, "match_id", spread=["overs", "balls"])
+
+    def name(key):
+        return F.try_element_at("names", F.col(key))
+
+    kind, out = F.col("wicket_kind"), name("player_out_id")
     # The wicket's names hang on the player out: without one, the details stay blank.
-    status = wicket_text(kind, F.col("bowler_name"), F.col("fielder"))
+    status = wicket_text(kind, name("bowler_id"), name("fielder_id"))
     return rows.select(
         *INNINGS, "overs", "balls",
         F.col("total_runs").alias("overall_runs"),
         F.when(kind.isin(*BOWLER_WICKETS), 1).alias("wickets"),
         F.when(F.col("wides") != 0, 1).alias("wides"),
         F.when(F.col("no_balls") != 0, 1).alias("no_balls"),
-        "bowler_name", "batsman_name",
-        F.when(F.col("player_out").isNotNull(), text(F.col("player_out"), " - ", status)).alias("wicket_details"),
+        name("bowler_id").alias("bowler_name"),
+        name("batter_id").alias("batsman_name"),
+        F.when(out.isNotNull(), text(out, " - ", status)).alias("wicket_details"),
         run_colour(kind, F.col("total_runs")).alias("colour"),
         "total_balls_per_over", "total_overs",
     )

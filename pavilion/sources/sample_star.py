@@ -132,7 +132,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = ev.groupBy("user_day").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("head"))
     job, head = F.col("event_id").cast("string"), F.col("head").cast("string")
     seconds = F.make_dt_interval(secs=F.floor(F.col("value") * 1000).cast("decimal(18,6)"))
-    return lookup(ev, heads, "user_day", spread="event_id").select(
+    return lookup(ev, heads, "user_day", spread=["event_id"]).select(
         job.alias("job_id"),
         F.nullif(head, job).alias("parent_job_id"),
         F.concat("event_type", F.lit("_"), "user_id").alias("job_name"),

@@ -66,7 +66,7 @@ def skewed(sf_dir, tmp_path_factory):
 
 
 @pytest.mark.parametrize(
-    "name", ["player_stats", "fall_of_wickets", "manhattan", "batting_scorecard", "fact_deliveries", "job_report"]
+    "name", ["player_stats", "fall_of_wickets", "manhattan", "batting_scorecard", "ball_map", "fact_deliveries", "job_report"]
 )
 def test_skewed(spark, skewed, monkeypatch, name):
     monkeypatch.setattr(ordinals.row_numbers, "__defaults__", (100,))
