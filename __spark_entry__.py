@@ -201,6 +201,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_report": of_jobs(joblog.job_report, timed=True),
         "job_monitor": of_jobs(joblog.monitor, timed=True),
         "job_latest_parent": of_jobs(joblog.latest_run),
+        "job_monitor_latest_run": of_jobs(
+            lambda jobs, now: joblog.of_latest_run(joblog.monitor(jobs, now), jobs), timed=True
+        ),
         "jobs_by_status": of_jobs(joblog.jobs_by_status),
         "duration_by_category": of_jobs(joblog.duration_by_category, timed=True),
         "job_cards": of_jobs(joblog.job_cards, timed=True),

@@ -235,6 +235,15 @@ def _elapsed_measure(s):
   case when {s} // 60 % 60 > 0 then ({s} // 60 % 60) || ' min ' end, case when {s} % 60 > 0 then ({s} % 60) || ' sec' end)"""
 
 
+MONITOR = f"""
+      select b.job_id, b.job_name, b.job_category, b.start_time, b.end_time, b.status, b.message, p.job_name as parent_job_name,
+        {_elapsed_measure("b.sec")} as time_elapsed, b.sec as duration_sec
+      from jobs b left join jobs p on p.job_id = b.parent_job_id"""
+
+LATEST = """
+moment as (select max(start_time) as m from jobs where job_id in (select parent_job_id from jobs)),
+heads as (select job_id from jobs where start_time = (select m from moment))"""
+
 STATUS = """case {k} when 'caught' then concat('c ', {f}, ' b ', {b}) when 'caught and bowled' then concat('c & b ', {b})
   when 'run out' then concat('run out (', {f}, ')') when 'bowled' then concat('b ', {b})
   when 'stumped' then concat('st ', {f}, ' b ', {b}) when 'lbw' then concat('lbw b ', {b})
@@ -456,13 +465,11 @@ SQL = {
         {ELAPSED.replace("sec ", "b.sec ").replace("(sec", "(b.sec")} as time_elapsed, b.status, b.message, b.sec as duration_sec, b.job_id, b.parent_job_id
       from jobs b left join jobs p on p.job_id = b.parent_job_id
         left join lp on lp.job_id = coalesce(b.parent_job_id, b.job_id)""",
-    "job_monitor": f"""{JOBS}
-      select b.job_id, b.job_name, b.job_category, b.start_time, b.end_time, b.status, b.message, p.job_name as parent_job_name,
-        {_elapsed_measure("b.sec")} as time_elapsed, b.sec as duration_sec
-      from jobs b left join jobs p on p.job_id = b.parent_job_id""",
-    "job_latest_parent": f"""{JOBS},
-      moment as (select max(start_time) as m from jobs where job_id in (select parent_job_id from jobs)),
-      heads as (select job_id from jobs where start_time = (select m from moment))
+    "job_monitor": f"{JOBS} {MONITOR}",
+    "job_monitor_latest_run": f"""{JOBS}, {LATEST}
+      select * from ({MONITOR}) where job_id in (select job_id from heads)
+        or job_id in (select job_id from jobs where parent_job_id in (select job_id from heads))""",
+    "job_latest_parent": f"""{JOBS}, {LATEST}
       select job_id from heads union all select job_id from jobs where parent_job_id in (select job_id from heads)""",
     "jobs_by_status": f"{JOBS} select status, count(*) as job_count from jobs where parent_job_id is not null group by all",
     "duration_by_category": f"""{JOBS}

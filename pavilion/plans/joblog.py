@@ -59,6 +59,11 @@ def latest_run(jobs: DataFrame) -> DataFrame:
     return starters.union(children.select("job_id"))
 
 
+def of_latest_run(report: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The rows of a job report that belong to the latest run."""
+    return report.join(latest_run(jobs), "job_id", "left_semi")
+
+
 def monitor(jobs: DataFrame, now: Column) -> DataFrame:
     rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread=["job_id"]).withColumn("duration_sec", duration(now))
     return rows.select(

@@ -18,9 +18,7 @@ KPIS = ["matches", "hundreds", "fifties", "five_wickets", "sixes", "fours"]
 
 
 def player_stats(star: Star, teams=None, **context) -> DataFrame:
-    rows = evaluate(star, ["player_id"], PLAYER_STATS, teams=teams, **context)
-    if teams is not None and context.get("selector") is None:
-        rows = in_team(rows, star, teams)
+    rows = in_team(star, ["player_id"], PLAYER_STATS, teams, **context)
     named = rows.join(star.players, "player_id").select("player_id", "player_name", *PLAYER_STATS)
     return named.orderBy(F.desc("matches"), "player_id")
 

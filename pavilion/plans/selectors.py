@@ -71,10 +71,11 @@ def tied(star: Star, where=None, players=None, teams=None) -> DataFrame:
     return rows.filter("match_result = 'tie'").select("match_id")
 
 
-def in_team(report: DataFrame, star: Star, teams, key="player_id") -> DataFrame:
-    """Keeps report rows whose key has been in a squad of the selected teams."""
-    squad = star.team_players.filter(F.col("team_id").isin(*teams)).select(key).distinct()
-    return report.join(squad, key, "left_semi")
+def in_team(star: Star, keys, measures, teams, **context) -> DataFrame:
+    """`evaluate` for chosen teams, less the rows that no squad row of these teams stands behind."""
+    asked = list(dict.fromkeys([*measures, "matches"]))
+    rows = evaluate(star, keys, asked, teams=teams, **context)
+    return rows.filter("matches is not null").select(*keys, *measures)
 
 
 SELECTORS = {

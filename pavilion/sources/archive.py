@@ -11,14 +11,18 @@ from pavilion.sources.match_json import stage
 
 ENTRIES = "archive string, entry string, content string"
 BATCH_BYTES = 16 * 1024 * 1024
+CHUNK_BYTES = 512 * 1024 * 1024
+LARGEST = 2**31 - 1  # Spark reads no binary file beyond this
 
 
-def _entries(chunk, chunks, suffix):
-    """Reads every chunks-th wanted entry, starting at chunk, and yields them in bounded batches."""
+def _entries(chunk, chunk_bytes, suffix):
+    """Reads this chunk's share of the wanted entries, and yields them in bounded batches."""
+    columns = ["archive", "entry", "content"]
 
     def read(batches):
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, length, content in zip(batch["path"], batch["length"], batch["content"]):
+                chunks = -(-length // chunk_bytes)
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     wanted = [n for n in archive.namelist() if n.endswith(suffix) and not n.endswith("/")]
                     rows, size = [], 0
@@ -26,28 +30,32 @@ def _entries(chunk, chunks, suffix):
                         rows.append((path, entry, archive.read(entry).decode("utf-8")))
                         size += len(rows[-1][2])
                         if size >= BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=["archive", "entry", "content"])
+                            yield pd.DataFrame(rows, columns=columns)
                             rows, size = [], 0
                     if rows:
-                        yield pd.DataFrame(rows, columns=["archive", "entry", "content"])
+                        yield pd.DataFrame(rows, columns=columns)
 
     return read
 
 
-def read_archives(spark: SparkSession, path: str, suffix="json", chunks=8) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, suffix="json", chunk_bytes=CHUNK_BYTES, largest=LARGEST) -> DataFrame:
     """(archive, entry, content) of all archives under path.
 
-    Each chunk of an archive is a task of its own that opens the archive itself, so one
-    big archive is read by several tasks and its bytes are never shuffled.
+    An archive is split into one chunk per chunk_bytes. Each chunk is a task that opens the
+    archive itself, so nothing is shuffled; the length filter reaches the scan, so a later
+    chunk's scan does not touch archives that are too small to have one.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    parts = [files.mapInPandas(_entries(i, chunks, suffix), ENTRIES) for i in range(chunks)]
-    return reduce(DataFrame.unionAll, parts)
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "content")
+    scans = []
+    for chunk in range(-(-largest // chunk_bytes)):
+        own = files.filter(F.col("length") > chunk * chunk_bytes)
+        scans.append(own.mapInPandas(_entries(chunk, chunk_bytes, suffix), ENTRIES))
+    return reduce(DataFrame.unionAll, scans)
 
 
-def stage_archives(spark: SparkSession, path: str, chunks=8) -> DataFrame:
+def stage_archives(spark: SparkSession, path: str, **how) -> DataFrame:
     """Staging rows straight from archives."""
-    entries = read_archives(spark, path, "json", chunks)
+    entries = read_archives(spark, path, "json", **how)
     document = F.from_json("content", "info string, innings string")
     return stage(
         entries.select(

@@ -31,8 +31,9 @@ def test_archives_are_read_in_chunks(spark, tmp_path):
             for i, name in enumerate(MATCHES):
                 if i % 2 == part:
                     z.writestr(f"in/{name}", document(name))
-    for chunks in (1, 3):
-        entries = read_archives(spark, str(tmp_path), chunks=chunks).collect()
+    sizes = [(tmp_path / f"all_{part}.zip").stat().st_size for part in range(2)]
+    for how in ({}, {"chunk_bytes": min(sizes) // 3, "largest": max(sizes)}):
+        entries = read_archives(spark, str(tmp_path), **how).collect()
         assert sorted(e.entry for e in entries) == sorted(f"in/{n}" for n in MATCHES)
-        staged = {r.file_name: r for r in stage_archives(spark, str(tmp_path), chunks).collect()}
+        staged = {r.file_name: r for r in stage_archives(spark, str(tmp_path), **how).collect()}
         assert {n: json.loads(r.match_innings) for n, r in staged.items()} == {n: m[1] for n, m in MATCHES.items()}
