@@ -29,6 +29,9 @@ ROLES = {
     "fld": ("fielder_id", "bowling_team_id"),
 }
 
+# Rows carry a role as a small number, which is cheaper to compare for every quantity than a text.
+CODES = {role: i for i, role in enumerate([*ROLES, "squad", "best"])}
+
 # Without a player in the keys or filters a role only chooses the team, and each ball must
 # count once: the roles that can be empty, or that repeat a ball, give way to one that does.
 WITHOUT_PLAYER = {"nsr": "bat", "out": "bat", "bwl_bt": "bat", "fld": "bwl"}
@@ -56,7 +59,7 @@ DATE_ATTRIBUTES = {
 def _line_sums(seat, wanted) -> list:
     """The wanted base quantities of a delivery line. seat(role) is the role that stands in for it."""
     def here(role):
-        return F.col("role") == seat(role)
+        return F.col("role") == CODES[seat(role)]
 
     def count(role, *conditions):
         return F.count_if(reduce(lambda a, b: a & b, conditions, here(role)))
@@ -220,7 +223,7 @@ MEASURES = {**DELIVERY_MEASURES, **SQUAD_MEASURES}
 def stack_roles(fact: DataFrame, roles: dict) -> DataFrame:
     """One row per fact row and role, with role, player_id and team_id. Empty roles make no row."""
     seats = [
-        F.struct(F.lit(role).alias("role"), F.col(p).alias("player_id"), F.col(t).alias("team_id"))
+        F.struct(F.lit(CODES[role]).alias("role"), F.col(p).alias("player_id"), F.col(t).alias("team_id"))
         for role, (p, t) in roles.items()
     ]
     if len(seats) == 1:
@@ -229,7 +232,7 @@ def stack_roles(fact: DataFrame, roles: dict) -> DataFrame:
         stacked = fact.withColumn("who", F.explode(F.array(*seats)))
     rest = [c for c in fact.columns if c not in ("player_id", "team_id")]
     return stacked.select(*rest, "who.*").filter(
-        ~F.col("role").isin("out", "fld", "best") | F.col("player_id").isNotNull()
+        ~F.col("role").isin(*[CODES[r] for r in ("out", "fld", "best")]) | F.col("player_id").isNotNull()
     )
 
 
@@ -265,11 +268,11 @@ def squad_lines(fact, matches, keys, apart, roles, by_player, players=None, team
     seats = {"squad": ("player_id", "team_id"), "best": ("player_of_match_id", "team_id")}
     seats = {r: seats[r] for r in dict.fromkeys(best if r == "best" else r for r in roles)}
     rows = _chosen(stack_roles(fact, seats), players, teams)
-    member = F.col("role") == "squad"
+    member = F.col("role") == CODES["squad"]
     won = member & (F.col("match_winner_id") == F.col("team_id"))
     lines = rows.groupBy(*dict.fromkeys([*keys, "match_id"])).agg(
         F.count_if(member).alias("members"),
-        F.count_if(F.col("role") == best).alias("best"),
+        F.count_if(F.col("role") == CODES[best]).alias("best"),
         F.max(won).alias("won"),
         F.max(won & (F.col("first_bat_id") == F.col("team_id"))).alias("won_batting"),
         F.max(won & (F.col("first_field_id") == F.col("team_id"))).alias("won_fielding"),
