@@ -13,19 +13,20 @@ HOT_ROWS = 2_000_000
 
 
 def hot_keys(df: DataFrame, keys, hot_rows=HOT_ROWS) -> DataFrame:
-    """Keys with more than hot_rows rows: at most count(df) / hot_rows of them."""
+    """Keys with more than hot_rows rows, and their row counts: at most count(df) / hot_rows of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > hot_rows).select(*keys)
+    return materialize(counts.filter(F.col("__n") > hot_rows), "hot-keys")
 
 
-def sliced_row_number(df: DataFrame, keys, order, name: str) -> DataFrame:
-    """row_number() over (partition by keys order by order), spread over all tasks.
+def sliced_row_number(df: DataFrame, keys, order, name: str, slices=None) -> DataFrame:
+    """row_number() over (partition by keys order by order), spread over slices (by default, as Spark sees fit).
 
     The slices are written out before they are counted: range bounds come from a sample,
     and a second run of the same plan could draw others.
     """
-    slices = df.repartitionByRange(*keys, *order).withColumn("__slice", F.spark_partition_id())
-    slices = materialize(slices, "slices")
+    by = [*keys, *order]
+    ranges = df.repartitionByRange(*by) if slices is None else df.repartitionByRange(slices, *by)
+    slices = materialize(ranges.withColumn("__slice", F.spark_partition_id()), "slices")
     in_slice = W.partitionBy("__slice", *keys).orderBy(*order)
     before = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
     # One row per (slice, key in it): as many as slices, plus one per further key.
@@ -45,13 +46,14 @@ def sliced_row_number(df: DataFrame, keys, order, name: str) -> DataFrame:
 def row_numbers(df: DataFrame, keys, order, name: str, hot_rows=HOT_ROWS) -> DataFrame:
     """df plus its 1-based row number within keys, in the given order (a total one)."""
     numbered = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
-    hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
-    if hot.isEmpty():
+    hot = hot_keys(df, keys, hot_rows)
+    total = hot.agg(F.sum("__n")).first()[0]
+    if total is None:
         return df.withColumn(name, numbered)
-    hot = F.broadcast(hot)
-    cold_rows = df.join(hot, keys, "left_anti").withColumn(name, numbered)
-    hot_rows_ = sliced_row_number(df.join(hot, keys, "left_semi"), keys, order, name)
-    return cold_rows.unionByName(hot_rows_)
+    hot = F.broadcast(hot.select(*keys))
+    cold = df.join(hot, keys, "left_anti").withColumn(name, numbered)
+    hot = sliced_row_number(df.join(hot, keys, "left_semi"), keys, order, name, slices=-(-total // hot_rows))
+    return cold.unionByName(hot)
 
 
 def dense_ids(names: DataFrame, name: str, id_name: str, first=1) -> DataFrame:

@@ -219,6 +219,26 @@ SQUAD_MEASURES = {
 
 MEASURES = {**DELIVERY_MEASURES, **SQUAD_MEASURES}
 
+# Measures that look at an innings as a whole. The others of its grain add up from finer lines as well.
+WHOLE_INNINGS = {"innings_count", "bat_innings", "not_outs", "batting_average", "highest_score", "bowl_innings"}
+
+
+def grains_of(measures, keys) -> dict:
+    """grain -> measures, with no more line sets than needed."""
+    # With the player among the keys, a player's innings is the innings; inside one innings, an
+    # over's number is the over.
+    same = {"player": "innings", "player_over": "over"} if "player_id" in keys else {}
+    if {"match_id", "innings"} <= set(keys):
+        same["over_number"] = "over"
+    own = {name: same.get(MEASURES[name].grain, MEASURES[name].grain) for name in measures}
+    finer = next((g for g in ("player", "over", "player_over") if g in own.values()), None)
+    if finer is not None and not any(own[name] == "innings" for name in WHOLE_INNINGS & set(measures)):
+        own = {name: finer if grain == "innings" else grain for name, grain in own.items()}
+    grains = {}
+    for name, grain in own.items():
+        grains.setdefault(grain, []).append(name)
+    return grains
+
 
 def stack_roles(fact: DataFrame, roles: dict) -> DataFrame:
     """One row per fact row and role, with role, player_id and team_id. Empty roles make no row."""
@@ -319,13 +339,7 @@ def evaluate(
 
     by_player = "player_id" in keys or players is not None
     by_team = "team_id" in keys or teams is not None
-    grains = {}
-    for name in measures:
-        m = MEASURES[name]
-        grain = "innings" if m.grain == "player" and "player_id" in keys else m.grain
-        grain = "over" if grain == "player_over" and "player_id" in keys else grain
-        grains.setdefault(grain, []).append(name)
-
+    grains = grains_of(measures, keys)
     line_sets, outer = [], []
     for grain, names in grains.items():
         wanted = {}

@@ -58,7 +58,7 @@ def test_lookup_salts_hot_keys(spark, rows):
     dim = spark.createDataFrame([("hot", 1), ("k2", 2), ("other", 3)], "k string, w int")
     keyless = spark.createDataFrame([(None, 1, 999, 1)], df.schema)
     for hot_rows in (1000, 50, 1):
-        got = joins.lookup(df.unionByName(keyless), dim, "k", spread=["id"], hot_rows=hot_rows, salts=4).collect()
+        got = joins.lookup(df.unionByName(keyless), dim, "k", spread=["id"], hot_rows=hot_rows).collect()
         assert sorted(r.id for r in got) == sorted([r[2] for r in data] + [999])
         assert all(r.w == {"hot": 1, "k2": 2}.get(r.k) for r in got)
 

@@ -70,7 +70,7 @@ def skewed(sf_dir, tmp_path_factory):
 )
 def test_skewed(spark, skewed, monkeypatch, name):
     monkeypatch.setattr(ordinals.row_numbers, "__defaults__", (100,))
-    monkeypatch.setattr(joins.lookup, "__defaults__", (100, 8))
+    monkeypatch.setattr(joins.lookup, "__defaults__", (100,))
     monkeypatch.setattr(running.running_totals, "__defaults__", (16,))
     assert_same(spark, connect(skewed), skewed, name)
 
