@@ -414,7 +414,8 @@ SQL = {
         no_balls_bowled, wides_bowled, economy from dm join players using (player_id) where first_ball_bowled is not null""",
     "fall_of_wickets_rows": f"{STAR}, {FALLS} select * from falls",
     "fall_of_wickets": f"""{STAR}, {FALLS}
-      select match_id, innings, string_agg(fall, ', ' order by wicket_no, ball_no) as fall_of_wickets from falls group by all""",
+      select match_id, innings, ball_no // 4096 as part, string_agg(fall, ', ' order by wicket_no, ball_no) as fall_of_wickets
+      from falls group by all""",
     "did_not_bat": f"""{STAR},
       bats as (select match_id, innings, batter_id as player_id from deliveries union select match_id, innings, non_striker_id from deliveries),
       full_team as (select distinct b.match_id, b.innings, sq.player_id from bats b

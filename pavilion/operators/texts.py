@@ -3,21 +3,11 @@
 from pyspark.sql import DataFrame, functions as F
 
 
-def _in_order(order, value, sep, descending):
-    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__text"))))
-    rows = F.reverse(rows) if descending else rows
-    return F.array_join(F.transform(rows, lambda r: r["__text"]), sep)
-
-
-def joined_text(df: DataFrame, keys, order, value: str, sep: str, name: str, span=None, descending=False):
+def joined_text(df: DataFrame, keys, order, value: str, sep: str, name: str) -> DataFrame:
     """One text per key: the values joined by sep in the given order.
 
-    With span (a column that never decreases along the order) the values of a span are
-    joined first, so the last step sees one text per span instead of every row.
+    A key's values meet in one task, so keys must bound them: a group that can grow without
+    end is to be cut into parts by one more key.
     """
-    order = [F.col(o) for o in order]
-    if span is not None:
-        parts = df.withColumn("__span", span).groupBy(*keys, "__span")
-        df = parts.agg(_in_order(order, value, sep, descending).alias(value))
-        order = [F.col("__span")]
-    return df.groupBy(*keys).agg(_in_order(order, value, sep, descending).alias(name))
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__text"))))
+    return df.groupBy(*keys).agg(F.array_join(F.transform(rows, lambda r: r["__text"]), sep).alias(name))

@@ -14,12 +14,13 @@ from pavilion.functions.cricket import (
     ball_number, run_colour, switch, total_overs, two_decimals, wicket_text,
 )
 from pavilion.operators.joins import lookup
-from pavilion.operators.running import SPAN, running_totals
+from pavilion.operators.running import running_totals
 from pavilion.operators.texts import joined_text
 from pavilion.plans.measures import delivery_lines, evaluate
 from pavilion.plans.star import Star
 
 INNINGS = ["match_id", "innings"]
+PART_BALLS = 4096  # no real innings comes near; keeps the text of an endless one in bounds
 
 
 def person(star: Star, key: str, name: str) -> DataFrame:
@@ -123,9 +124,9 @@ def fall_of_wickets_rows(star: Star) -> DataFrame:
 
 
 def fall_of_wickets(star: Star) -> DataFrame:
-    rows = fall_of_wickets_rows(star)
-    span = F.floor(F.col("ball_no") / SPAN)
-    return joined_text(rows, INNINGS, ["wicket_no", "ball_no"], "fall", ", ", "fall_of_wickets", span=span)
+    """Per innings, the falls in one text. An innings of more than PART_BALLS balls has several parts."""
+    rows = fall_of_wickets_rows(star).withColumn("part", F.floor(F.col("ball_no") / PART_BALLS))
+    return joined_text(rows, [*INNINGS, "part"], ["wicket_no", "ball_no"], "fall", ", ", "fall_of_wickets")
 
 
 def did_not_bat(star: Star) -> DataFrame:
@@ -285,7 +286,7 @@ def page(star: Star, match_id, innings=None) -> dict:
     return {
         "batting": batting_scorecard(one).orderBy("innings", "first_ball_faced"),
         "bowling": bowling_scorecard(one).orderBy("innings", "first_ball_bowled"),
-        "fall_of_wickets": fall_of_wickets(one).orderBy("innings"),
+        "fall_of_wickets": fall_of_wickets(one).orderBy("innings", "part"),
         "did_not_bat": did_not_bat(one).orderBy("innings"),
         "header": innings_header(one).orderBy("innings"),
         "manhattan": manhattan(one).orderBy("innings", "overs"),
