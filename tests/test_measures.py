@@ -137,3 +137,23 @@ def test_selectors_show_both_sides(star, name):
     shown = evaluate(star, ["match_id", "team_id"], ["matches"], selector=picked)
     assert shown.groupBy("match_id").count().filter("count <> 2").count() == 0
     assert shown.select("match_id").distinct().count() == picked.count() == picked.distinct().count()
+
+
+def test_season_wins_follow_the_selection(star):
+    """The last match of a season is looked for among the chosen matches, whoever played it."""
+    matches = [r.asDict() for r in star.matches.collect()]
+
+    def expected(chosen):
+        last = {}
+        for m in sorted(chosen, key=lambda m: m["match_id"]):
+            last[m["season"]] = m["match_winner_id"]
+        return sum(w is not None for w in last.values()) or None
+
+    tied = [m for m in matches if m["match_result"] == "tie"]
+    got = evaluate(star, [], ["season_wins"], selector=SELECTORS["tied"](star)).first()
+    assert got.season_wins == expected(tied)
+    t20 = [m for m in matches if m["match_type"] == "T20"]
+    assert evaluate(star, [], ["season_wins"], where="match_type = 'T20'").first().season_wins == expected(t20)
+    both = [m for m in tied if m["match_type"] == "T20"]
+    got = evaluate(star, [], ["season_wins"], where="match_type = 'T20'", selector=SELECTORS["tied"](star)).first()
+    assert got.season_wins == expected(both)
