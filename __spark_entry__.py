@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 import entry_sql  # noqa: E402
 from pavilion.operators import tables  # noqa: E402
+from pavilion.operators.shred import match_facts, squads  # noqa: E402
 from pavilion.plans import joblog, reports, scorecard, star as star_plan  # noqa: E402
 from pavilion.plans.measures import DELIVERY_MEASURES, SQUAD_MEASURES, evaluate  # noqa: E402
 from pavilion.plans.selectors import SELECTORS  # noqa: E402
 from pavilion.session import shared_dir  # noqa: E402
-from pavilion.sources.match_json import file_key  # noqa: E402
-from pavilion.sources.sample_star import document_star, sample_jobs, sample_star, table  # noqa: E402
+from pavilion.sources.match_json import file_key, split_documents, stage  # noqa: E402
+from pavilion.sources.sample_star import document_star, documents, sample_jobs, sample_star, table  # noqa: E402
 
 
 def of_star(report):
@@ -146,6 +147,17 @@ def compacted_table(spark, sf):
     return rows.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_runs").alias("runs"))
 
 
+def squad_explode(spark, sf):
+    """Squads out of whole document texts, whose two parts stay text until they are read."""
+    parts = documents(sample_star(spark, sf))
+    content = F.concat(F.lit('{"info":'), "info", F.lit(',"innings":'), "innings", F.lit("}"))
+    return squads(stage(split_documents(parts.select(content.alias("content"), "file_name"))))
+
+
+def first_team_case(staging, star):
+    return match_facts(staging).select("match_id", "toss_winner", "toss_decision", "first_bat", "first_field")
+
+
 def document_matches(staging, star):
     return star.matches.drop("match_gender", "event_group", "city", "team_type")
 
@@ -208,6 +220,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duration_by_category": of_jobs(joblog.duration_by_category, timed=True),
         "job_cards": of_jobs(joblog.job_cards, timed=True),
         "staged_matches": of_documents(lambda staging, star: staging.select("match_id", "file_name")),
+        "squad_explode": squad_explode,
+        "first_team_case": of_documents(first_team_case),
         "dim_player": of_documents(lambda staging, star: star.players),
         "dim_team": of_documents(lambda staging, star: star.teams),
         "dim_match": of_documents(document_matches),

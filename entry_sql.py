@@ -480,6 +480,15 @@ SQL = {
               case when count(distinct status) = 1 then max(status) end as st, cast(sum(sec) filter (job_category <> 'Orchestrator') as bigint) as own from jobs)
       select {_elapsed_measure("rs")} as overall_duration, nullif(n, 0) as overall_jobs, st as current_status, own as own_duration_sec from s""",
     "staged_matches": f"{DOCS} select doc_id as match_id, doc_id || '.json' as file_name from parts",
+    "squad_explode": f"""{DOCS}
+      select doc_id as match_id, team, player_name from team_players join parts using (match_id) join teams using (team_id)
+        join players using (player_id)""",
+    "first_team_case": f"""{DOCS}
+      select doc_id as match_id, tw.team as toss_winner, toss_decision,
+        case when toss_decision = 'bat' then tw.team when tw.team = a.team then b.team else a.team end as first_bat,
+        case when toss_decision = 'field' then tw.team when tw.team = a.team then b.team else a.team end as first_field
+      from matches join parts using (match_id) join teams tw on tw.team_id = toss_winner_id
+        join teams a on a.team_id = first_bat_id join teams b on b.team_id = first_field_id""",
     "dim_player": f"{DOCS} select pid as player_id, player_name from named union all select -1, 'Extras'",
     "dim_team": f"{DOCS} select tid as team_id, team from named_teams",
     "dim_match": f"""{DOCS}

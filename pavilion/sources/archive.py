@@ -7,7 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pavilion.sources.match_json import stage
+from pavilion.sources.match_json import split_documents, stage
 
 ENTRIES = "archive string, entry string, content string"
 BATCH_BYTES = 16 * 1024 * 1024
@@ -56,11 +56,4 @@ def read_archives(spark: SparkSession, path: str, suffix="json", chunk_bytes=CHU
 def stage_archives(spark: SparkSession, path: str, **how) -> DataFrame:
     """Staging rows straight from archives."""
     entries = read_archives(spark, path, "json", **how)
-    document = F.from_json("content", "info string, innings string")
-    return stage(
-        entries.select(
-            document["info"].alias("info"),
-            document["innings"].alias("innings"),
-            F.element_at(F.split("entry", "/"), -1).alias("file_name"),
-        )
-    )
+    return stage(split_documents(entries.withColumn("file_name", F.element_at(F.split("entry", "/"), -1))))

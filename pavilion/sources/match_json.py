@@ -10,6 +10,12 @@ def file_key(file_name: Column) -> Column:
     return F.when(file_name.startswith("wi_"), -key).otherwise(key)
 
 
+def split_documents(texts: DataFrame) -> DataFrame:
+    """(content, file_name) of whole documents to (info, innings, file_name), the parts still as JSON text."""
+    document = F.from_json("content", "info string, innings string")
+    return texts.select(document["info"].alias("info"), document["innings"].alias("innings"), "file_name")
+
+
 def stage(documents: DataFrame) -> DataFrame:
     """Staging rows from (info, innings, file_name), the nested values still as JSON text."""
     return documents.select(
