@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 import uuid
@@ -21,6 +22,22 @@ from pavilion.session import shared_dir  # noqa: E402
 from pavilion.sources.match_json import file_key, split_documents, stage  # noqa: E402
 from pavilion.sources.sample_star import document_star, documents, sample_jobs, sample_star, table  # noqa: E402
 
+OPTIONAL = {"corpus_pipeline", "pavilion.llm", "pavilion.llm.queries"}
+
+
+def optional(name: str):
+    """A module of the training-data part, or None where that part is not there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in OPTIONAL:
+            raise
+        return None
+
+
+llm = optional("pavilion.llm.queries")
+corpus_pipeline = optional("corpus_pipeline")
+
 
 def of_star(report):
     return lambda spark, sf: report(sample_star(spark, sf))
@@ -173,7 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     cards = ("batting_scorecard", "bowling_scorecard", "fall_of_wickets_rows", "fall_of_wickets", "did_not_bat",
              "innings_header", "manhattan", "worm", "worm_tooltip", "ball_map")
     player = ["player_id"]
-    return {
+    own = {
         **{name: of_star(getattr(reports, name)) for name in named},
         "player_stats_of_team": of_star(lambda star: reports.player_stats(star, teams=[3])),
         "batting_leaderboard": measured(
@@ -238,7 +255,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_keys": file_keys,
         "compacted_table": compacted_table,
     }
+    if llm:
+        own |= llm.queries()
+    if corpus_pipeline:
+        own["pipeline"] = corpus_pipeline.run
+    return own
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(entry_sql.SQL)
+    own = dict(entry_sql.SQL)
+    if llm:
+        own |= llm.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
