@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pavilion.llm import bpe, html_text, quality_fm
+from pavilion.llm import bpe, html_text, quality_fm, simhash
 from pavilion.llm.common import table
 
 
+def op1_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op4_byte_bpe(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
@@ -22,7 +26,7 @@ def op10_quality_classifier(spark, sf):
 
 
 def queries():
-    own = (op4_byte_bpe, op8_html_text, op10_quality_classifier)
+    own = (op1_simhash, op4_byte_bpe, op8_html_text, op10_quality_classifier)
     return {query.__name__: query for query in own}
 
 
