@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pavilion.llm import bpe, html_text, quality_fm, simhash
+from pavilion.llm import bpe, html_text, quality_fm, quality_rules, sharding, simhash, url_filter
 from pavilion.llm.common import table
 
 
@@ -12,11 +12,23 @@ def op1_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op3_url_filter(spark, sf):
+    return url_filter.judge(table(spark, sf, "pages"))
+
+
 def op4_byte_bpe(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op7_sharding(spark, sf):
+    return sharding.shard(table(spark, sf, "documents"))
+
+
 def op8_html_text(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
@@ -26,9 +38,44 @@ def op10_quality_classifier(spark, sf):
 
 
 def queries():
-    own = (op1_simhash, op4_byte_bpe, op8_html_text, op10_quality_classifier)
+    own = (
+        op1_simhash, op3_url_filter, op4_byte_bpe, op6_quality_rules, op7_sharding, op8_html_text,
+        op10_quality_classifier,
+    )
     return {query.__name__: query for query in own}
 
 
+def url_filter_sql() -> str:
+    """Each pattern rule tried on each URL, without an index."""
+    longest = sorted(url_filter.HOST_RULES, key=lambda r: -len(r[0] + r[1]))
+
+    def fits(host, path):
+        return f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}')"
+
+    def cases(values, otherwise):
+        return "case " + " ".join(f"when {test} then {value}" for test, value in values) + f" else {otherwise} end"
+
+    ranked = sorted(enumerate(url_filter.PATTERN_RULES), key=lambda r: (r[1][2], r[0]))
+    tried = [(f"regexp_matches(low, '{pattern}')", (f"'{pattern}'", f"'{verdict}'")) for _, (pattern, _, verdict) in ranked]
+    rule = cases([(fits(h, p), f"'{h}{p}'") for h, p, _ in longest], "null")
+    ruled = cases([(fits(h, p), f"'{v}'") for h, p, v in longest], "null")
+    pattern = cases([(test, values[0]) for test, values in tried], "null")
+    matched = cases([(test, values[1]) for test, values in tried], "'allow'")
+    return f"""
+        with cut as (
+            select page_id, url, position('://' in coalesce(url, '')) as found,
+                lower(coalesce(url, '')) as low from pages),
+        parts as (
+            select page_id, url, low,
+                case when found > 0 then translate(regexp_extract(substr(url, found + 3), '^[^/?#]*'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
+                case when found > 0 then regexp_extract(substr(url, found + 3), '^[^/?#]*([^?#]*)', 1) else '' end as path
+            from cut),
+        ruled as (select *, {rule} as rule, {ruled} as decided from parts)
+        select page_id, url, host, path, rule, coalesce(decided, {matched}) as verdict,
+            case when decided is null then {pattern} end as pattern
+        from ruled"""
+
+
 def oracle_sql():
-    return {}
+    return {"op3_url_filter": url_filter_sql()}
