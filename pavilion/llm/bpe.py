@@ -22,7 +22,7 @@ OVERLAP_CHARS = 4096
 # A match that ends this near to a window's end might go on in the text; the pattern looks no further ahead.
 LOOKAHEAD = 8
 # Pieces whose ids a task remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 # Longer pieces are merged with a heap instead of a list.
 SHORT_PIECE = 256
 
@@ -163,8 +163,11 @@ def _cuts(docs: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     return cuts.groupBy("__id", "__key").agg(F.array_sort(F.collect_set("__cut")).alias("__cuts"))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk=CHUNK_CHARS, overlap=OVERLAP_CHARS) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, chunk=CHUNK_CHARS, overlap=OVERLAP_CHARS, decoded=False
+) -> DataFrame:
     """doc_id, n_tokens, ids of every text: each match of the pattern merged by the ranks, no special tokens.
+    With decoded, also the bytes that the ids stand for, decoded where they were made.
 
     ids are little-endian unsigned 32-bit integers in one binary. Texts of one chunk are encoded where they are
     read; only longer ones are dealt out by chunk, and their pieces concatenated in order.
@@ -178,18 +181,20 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk=CHUNK_CHARS, ov
         import regex
 
         split, ids_of = regex.compile(pattern), Encoder(ranks.value)
+        raw = tokens_by_id(ranks.value) if decoded else None
 
         def encode_piece(doc_id, key, number, text, end):
-            return doc_id, key, number, b"".join([ids_of[p] for p in pieces_until(split, text, end)])
+            ids = b"".join([ids_of[p] for p in pieces_until(split, text, end)])
+            return doc_id, key, number, ids, decode_ids(ids, raw) if decoded else None
 
         return encode_piece
 
-    schema = "__id long, __key long, __piece int, __ids binary"
+    schema = "__id long, __key long, __piece int, __ids binary, __decoded binary"
     rows = docs.select(F.col("doc_id").alias("__id"), F.coalesce(F.col("text"), F.lit("")).alias("__text"))
     short = rows.filter(F.length("__text") <= chunk).select(
         "__id", F.lit(0).cast("long").alias("__key"), F.lit(0).alias("__piece"), "__text", F.length("__text").alias("__end")
     )
-    whole = map_rows(short, factory, schema).select("__id", "__ids")
+    whole = map_rows(short, factory, schema).select("__id", "__ids", "__decoded")
 
     # Equal rows are encoded once and repeated at the end, as pieces are put together by id and text.
     long = rows.filter(F.length("__text") > chunk).groupBy("__id", "__text").agg(F.count(F.lit(1)).alias("__n"))
@@ -212,31 +217,39 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk=CHUNK_CHARS, ov
         (F.col("__to") - F.col("__from")).cast("int").alias("__end"),
     )
     encoded = map_rows(spread(pieces, "__id", "__key", "__piece"), factory, schema)
-    put = encoded.groupBy("__id", "__key").agg(F.array_sort(F.collect_list(F.struct("__piece", "__ids"))).alias("__parts"))
+    put = encoded.groupBy("__id", "__key").agg(F.array_sort(F.collect_list(F.struct("__piece", "__ids", "__decoded"))).alias("__parts"))
     copies = long.select("__id", "__key", "__n").alias("l")
     stitched = put.alias("p").join(copies, F.expr("l.__id <=> p.__id and l.__key = p.__key")).select(
-        "p.__id", F.expr("array_join(transform(__parts, x -> hex(x.__ids)), '')").alias("__hex"),
+        "p.__id", _concatenated("__ids"), _concatenated("__decoded"),
         F.explode(F.sequence(F.lit(1).cast("long"), "__n")),
-    ).select("__id", F.unhex("__hex").alias("__ids"))
+    ).select("__id", "__ids", "__decoded")
     both = whole.unionByName(stitched)
-    return both.select(
+    columns = [
         F.col("__id").alias("doc_id"),
         F.floor(F.octet_length("__ids") / 4).cast("long").alias("n_tokens"),
         F.col("__ids").alias("ids"),
-    )
+    ]
+    return both.select(*columns, *[F.col("__decoded").alias("decoded")] * decoded)
+
+
+def _concatenated(column: str):
+    return F.unhex(F.expr(f"array_join(transform(__parts, x -> hex(x.{column})), '')")).alias(column)
+
+
+def tokens_by_id(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks.items()}
+
+
+def decode_ids(ids: bytes, raw: dict[int, bytes]) -> bytes:
+    return b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens, ids and decoded, the raw bytes of the ids one after the other."""
-    tokens = encoded.sparkSession.sparkContext.broadcast({r: token for token, r in read_ranks(ranks_path).items()})
+    tokens = encoded.sparkSession.sparkContext.broadcast(tokens_by_id(read_ranks(ranks_path)))
 
     def factory():
-        raw = tokens.value
-
-        def join(doc_id, n_tokens, ids):
-            return doc_id, n_tokens, ids, b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
-        return join
+        return lambda doc_id, n_tokens, ids: (doc_id, n_tokens, ids, decode_ids(ids, tokens.value))
 
     rows = encoded.select("doc_id", "n_tokens", "ids")
     return map_rows(rows, factory, "doc_id long, n_tokens long, ids binary, decoded binary")
@@ -244,7 +257,6 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, **chunks) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded again."""
-    both = decode(encode(docs, ranks_path, pattern, **chunks), ranks_path)
-    return both.select(
+    return encode(docs, ranks_path, pattern, **chunks, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

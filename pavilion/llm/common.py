@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Longest int64: a null doc_id is ordered after every other.
 NULL_ID = (1 << 63) - 1
+# Rows that a task turns into Python values at a time, and bytes that it gathers before it hands them on.
+SLICE, FLUSH_BYTES = 256, 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,17 +37,18 @@ def map_rows(df: DataFrame, row, schema: str) -> DataFrame:
         target = to_arrow_schema(spark_schema)
         one = row()
         for batch in its:
-            columns = [c.to_pylist() for c in batch.columns]
-            out, size = [], 0
-            for values in zip(*columns):
-                made = one(*values)
-                out.append(made)
-                size += sum(len(v) for v in made if isinstance(v, (str, bytes, list))) + 64
-                if size > 16_000_000:
+            for start in range(0, batch.num_rows, SLICE):
+                columns = [c.to_pylist() for c in batch.slice(start, SLICE).columns]
+                out, size = [], 0
+                for values in zip(*columns):
+                    made = one(*values)
+                    out.append(made)
+                    size += sum(len(v) for v in made if isinstance(v, (str, bytes, list)))
+                    if size > FLUSH_BYTES:
+                        yield _batch(out, target)
+                        out, size = [], 0
+                if out:
                     yield _batch(out, target)
-                    out, size = [], 0
-            if out:
-                yield _batch(out, target)
 
     return df.mapInArrow(batches, spark_schema)
 
