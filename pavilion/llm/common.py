@@ -62,3 +62,8 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     """Deal rows out by a hash of the keys, into as many parts as shuffles have."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, *keys)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Keeps filters above from being written into the expressions below, where lambdas would repeat them per element."""
+    return df.withColumn("__fence", F.spark_partition_id())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pavilion.llm import bpe, html_text, quality_fm, quality_rules, sharding, simhash, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, quality_fm, quality_rules, sharding, simhash, url_filter
 from pavilion.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op8_html_text(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
+def op9_decontamination(spark, sf):
+    return decontaminate.judge(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op10_quality_classifier(spark, sf):
     return quality_fm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -40,7 +44,7 @@ def op10_quality_classifier(spark, sf):
 def queries():
     own = (
         op1_simhash, op3_url_filter, op4_byte_bpe, op6_quality_rules, op7_sharding, op8_html_text,
-        op10_quality_classifier,
+        op9_decontamination, op10_quality_classifier,
     )
     return {query.__name__: query for query in own}
 
