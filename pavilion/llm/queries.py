@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pavilion.llm import bpe, decontaminate, html_text, quality_fm, quality_rules, sharding, simhash, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, url_filter
 from pavilion.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op2_line_dedup(spark, sf):
+    return line_dedup.report(table(spark, sf, "documents"))
+
+
 def op3_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"))
 
@@ -43,7 +47,7 @@ def op10_quality_classifier(spark, sf):
 
 def queries():
     own = (
-        op1_simhash, op3_url_filter, op4_byte_bpe, op6_quality_rules, op7_sharding, op8_html_text,
+        op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op6_quality_rules, op7_sharding, op8_html_text,
         op9_decontamination, op10_quality_classifier,
     )
     return {query.__name__: query for query in own}
