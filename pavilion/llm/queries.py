@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, suffix_dedup, url_filter
 from pavilion.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_byte_bpe(spark, sf):
     return bpe.digests(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark, sf):
+    return suffix_dedup.report(table(spark, sf, "documents"))
+
+
 def op6_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -47,7 +51,7 @@ def op10_quality_classifier(spark, sf):
 
 def queries():
     own = (
-        op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op6_quality_rules, op7_sharding, op8_html_text,
+        op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op5_suffix_dedup, op6_quality_rules, op7_sharding, op8_html_text,
         op9_decontamination, op10_quality_classifier,
     )
     return {query.__name__: query for query in own}
