@@ -176,7 +176,7 @@ def first_team_case(staging, star):
 
 
 def document_matches(staging, star):
-    return star.matches.drop("match_gender", "event_group", "city", "team_type")
+    return star.matches
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -184,13 +184,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return reports.player_stats(sample_star(spark, "/root/testdata/sf0.001"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = ("player_stats", "team_stats", "kpi_cards", "wins_by_year", "wins_by_month", "match_results", "match_cards",
              "slicer_values", "player_teams")
     cards = ("batting_scorecard", "bowling_scorecard", "fall_of_wickets_rows", "fall_of_wickets", "did_not_bat",
              "innings_header", "manhattan", "worm", "worm_tooltip", "ball_map")
     player = ["player_id"]
-    own = {
+    return {
         **{name: of_star(getattr(reports, name)) for name in named},
         "player_stats_of_team": of_star(lambda star: reports.player_stats(star, teams=[3])),
         "batting_leaderboard": measured(
@@ -255,6 +255,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_keys": file_keys,
         "compacted_table": compacted_table,
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = own_queries()
     if llm:
         own |= llm.queries()
     if corpus_pipeline:

@@ -319,13 +319,13 @@ select match_id, batting_team_id as team_id, count(*) as deliveries, cast(sum(to
   nullif(count(*) filter (batter_runs = 6), 0) as sixes
 from deliveries where match_id in (select match_id from picked) group by all"""
 
-# Documents: 64 overs of a match each; ids of players and teams follow the order of their names.
+# Documents: one a match; ids of players and teams follow the order of their names.
 DOCS = f"""{STAR},
 named as (select row_number() over (order by player_name) as pid, player_id, player_name from players
           where player_id in (select player_id from team_players)),
 named_teams as (select row_number() over (order by team) as tid, team_id, team from teams
                 where team_id in (select team_id from team_players)),
-parts as (select distinct match_id, match_id * 1000000 + (overs - 1) // 64 as doc_id from deliveries)"""
+parts as (select distinct match_id, match_id as doc_id from deliveries)"""
 
 SQL = {
     "player_stats": PLAYER_STATS,
@@ -414,7 +414,7 @@ SQL = {
         no_balls_bowled, wides_bowled, economy from dm join players using (player_id) where first_ball_bowled is not null""",
     "fall_of_wickets_rows": f"{STAR}, {FALLS} select * from falls",
     "fall_of_wickets": f"""{STAR}, {FALLS}
-      select match_id, innings, ball_no // 4096 as part, string_agg(fall, ', ' order by wicket_no, ball_no) as fall_of_wickets
+      select match_id, innings, string_agg(fall, ', ' order by wicket_no, ball_no) as fall_of_wickets
       from falls group by all""",
     "did_not_bat": f"""{STAR},
       bats as (select match_id, innings, batter_id as player_id from deliveries union select match_id, innings, non_striker_id from deliveries),
@@ -471,7 +471,7 @@ SQL = {
       select * from ({MONITOR}) where job_id in (select job_id from heads)
         or job_id in (select job_id from jobs where parent_job_id in (select job_id from heads))""",
     "job_latest_parent": f"""{JOBS}, {LATEST}
-      select job_id from heads union all select job_id from jobs where parent_job_id in (select job_id from heads)""",
+      select job_id from heads union select job_id from jobs where parent_job_id in (select job_id from heads)""",
     "jobs_by_status": f"{JOBS} select status, count(*) as job_count from jobs where parent_job_id is not null group by all",
     "duration_by_category": f"""{JOBS}
       select job_category, cast(sum(sec) as bigint) as duration_sec from jobs where parent_job_id is not null group by all""",
@@ -492,7 +492,9 @@ SQL = {
     "dim_player": f"{DOCS} select pid as player_id, player_name from named union all select -1, 'Extras'",
     "dim_team": f"{DOCS} select tid as team_id, team from named_teams",
     "dim_match": f"""{DOCS}
-      select doc_id as match_id, match_date, season, event_name, cast(match_id % 100 as int) as event_match_number, venue, match_type,
+      select doc_id as match_id, match_date, if(match_id % 4 = 1, 'female', 'male') as match_gender,
+        if(match_id % 6 = 2, 'Group ' || match_id % 2, null) as event_group, if(match_id % 5 = 3, null, 'City_' || match_id % 11) as city,
+        if(match_id % 3 = 0, 'club', 'international') as team_type, season, event_name, cast(match_id % 100 as int) as event_match_number, venue, match_type,
         match_result, match_won_by_runs, match_won_by_wickets, match_won_by_innings, match_result_method, 'U1, U_' || season as umpires,
         w.tid as match_winner_id, tw.tid as toss_winner_id, toss_decision, pid as player_of_match_id, fb.tid as first_bat_id, ff.tid as first_field_id
       from matches join parts using (match_id) left join named_teams w on w.team_id = match_winner_id
@@ -513,8 +515,8 @@ SQL = {
         lateral (select first_bat_id as mine, first_field_id as other union all select first_field_id, first_bat_id) x
         join named_teams a on a.team_id = mine join named_teams o on o.team_id = other""",
     "fact_deliveries": f"""{DOCS}
-      select match_id * 1000000 + (overs - 1) // 64 as match_id, match_date, bt.tid as batting_team_id, wt.tid as bowling_team_id, innings,
-        cast((overs - 1) % 64 + 1 as int) as overs, cast(balls as int) as balls, a.pid as batter_id, b.pid as non_striker_id, c.pid as bowler_id,
+      select match_id, match_date, bt.tid as batting_team_id, wt.tid as bowling_team_id, innings,
+        cast(overs as int) as overs, cast(balls as int) as balls, a.pid as batter_id, b.pid as non_striker_id, c.pid as bowler_id,
         byes, leg_byes, no_balls, wides, batter_runs, total_runs, wicket_kind, o.pid as player_out_id, f.pid as fielder_id
       from deliveries d join named_teams bt on bt.team_id = batting_team_id join named_teams wt on wt.team_id = bowling_team_id
         left join named a on a.player_id = batter_id left join named b on b.player_id = non_striker_id left join named c on c.player_id = bowler_id

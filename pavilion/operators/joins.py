@@ -1,29 +1,7 @@
-"""Joins for hot keys, and top rows with ties."""
+"""Top rows with ties."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.operators.ordinals import HOT_ROWS, hot_keys
-
-
-def lookup(rows: DataFrame, dim: DataFrame, on: str, spread, hot_rows=HOT_ROWS) -> DataFrame:
-    """Left-outer join of rows to dim, whose column `on` is unique.
-
-    Rows of a hot key are spread over salts by the hash of their columns `spread`, one salt
-    per hot_rows of them; the one dim row of a hot key is copied to each of its salts.
-    Nothing else is copied or salted.
-    """
-    hot = hot_keys(rows.filter(F.col(on).isNotNull()), [on], hot_rows)
-    if hot.isEmpty():
-        return rows.join(dim, on, "left")
-    hot = F.broadcast(hot.select(on, F.ceil(F.col("__n") / hot_rows).alias("__salts")))
-    salts = F.coalesce("__salts", F.lit(1))
-    salt = F.pmod(F.xxhash64(*spread), salts)
-    salted_rows = rows.join(hot, on, "left").withColumn("__salt", salt).drop("__salts")
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    salted_dim = dim.join(hot, on, "left").withColumn("__salt", copies).drop("__salts")
-    return salted_rows.join(salted_dim, [on, "__salt"], "left").drop("__salt")
-
-
 def top_ties(df: DataFrame, value: str) -> DataFrame:
     """The rows with the highest value, all ties kept. The highest value is one row."""
     top = df.agg(F.max(value).alias("__top"))

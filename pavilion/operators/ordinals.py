@@ -1,63 +1,44 @@
 """Row numbers that hold up when one group has a third of all rows.
 
-A plain row_number() puts a whole group in one task. Here groups above HOT_ROWS are
-range-partitioned by (keys, order) instead: each slice numbers its own rows, and the rows
-of earlier slices are added as an offset. Both ways give the same numbers.
+A plain row_number() puts a whole group in one task. Here rows are range-partitioned by
+(keys, order) instead: each slice numbers its own rows, and the rows of earlier slices are
+added as an offset. A null key is a key like any other.
 """
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pavilion.session import materialize
 
-HOT_ROWS = 2_000_000
-
-
-def hot_keys(df: DataFrame, keys, hot_rows=HOT_ROWS) -> DataFrame:
-    """Keys with more than hot_rows rows, and their row counts: at most count(df) / hot_rows of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return materialize(counts.filter(F.col("__n") > hot_rows), "hot-keys")
-
-
-def sliced_row_number(df: DataFrame, keys, order, name: str, slices=None) -> DataFrame:
-    """row_number() over (partition by keys order by order), spread over slices (by default, as Spark sees fit).
+def row_numbers(df: DataFrame, keys, order, name: str, slices=None) -> DataFrame:
+    """df plus row_number() over (partition by keys order by order), a total order, spread over slices (by default, as
+    Spark sees fit).
 
     The slices are written out before they are counted: range bounds come from a sample,
     and a second run of the same plan could draw others.
     """
     by = [*keys, *order]
     ranges = df.repartitionByRange(*by) if slices is None else df.repartitionByRange(slices, *by)
-    slices = materialize(ranges.withColumn("__slice", F.spark_partition_id()), "slices")
-    in_slice = W.partitionBy("__slice", *keys).orderBy(*order)
-    before = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
+    # A struct of keys equals another one with the same nulls, so null keys find each other in the join.
+    sliced = ranges.withColumns({"__slice": F.spark_partition_id(), "__keys": F.struct(F.lit(0), *keys)})
+    slices = materialize(sliced, "slices")
+    in_slice = W.partitionBy("__slice", "__keys").orderBy(*order)
+    before = W.partitionBy("__keys").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
     # One row per (slice, key in it): as many as slices, plus one per further key.
     offsets = (
-        slices.groupBy("__slice", *keys)
+        slices.groupBy("__slice", "__keys")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__slice", *keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        .select("__slice", "__keys", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     )
     return (
         slices.withColumn(name, F.row_number().over(in_slice).cast("long"))
-        .join(offsets, ["__slice", *keys])
+        .join(offsets, ["__slice", "__keys"])
         .withColumn(name, F.col(name) + F.col("__before"))
-        .drop("__slice", "__before")
+        .drop("__slice", "__keys", "__before")
     )
 
 
-def row_numbers(df: DataFrame, keys, order, name: str, hot_rows=HOT_ROWS) -> DataFrame:
-    """df plus its 1-based row number within keys, in the given order (a total one)."""
-    numbered = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
-    hot = hot_keys(df, keys, hot_rows)
-    total = hot.agg(F.sum("__n")).first()[0]
-    if total is None:
-        return df.withColumn(name, numbered)
-    hot = F.broadcast(hot.select(*keys))
-    cold = df.join(hot, keys, "left_anti").withColumn(name, numbered)
-    hot = sliced_row_number(df.join(hot, keys, "left_semi"), keys, order, name, slices=-(-total // hot_rows))
-    return cold.unionByName(hot)
-
-
 def dense_ids(names: DataFrame, name: str, id_name: str, first=1) -> DataFrame:
     """Distinct names with ids first, first + 1, ... in name order; same ids on every run."""
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
-    ids = sliced_row_number(distinct, [], [name], id_name)
+    ids = row_numbers(distinct, [], [name], id_name)
     return ids.select((F.col(id_name) + (first - 1)).alias(id_name), name)

@@ -9,7 +9,7 @@ import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pavilion.operators.ordinals import dense_ids
 
@@ -90,9 +90,14 @@ def merge_insert(source: DataFrame, name: str, on) -> None:
 
 
 def updated(target: DataFrame, source: DataFrame, on, changes: dict) -> DataFrame:
-    """target with {column: expression over t and s} applied where a source row matches on the key."""
+    """target with {column: expression over t and s} applied where a source row matches on the key.
+
+    Two source rows with one key are an error, as it is not said which of them to take.
+    """
+    alone = F.count(F.lit(1)).over(Window.partitionBy(*on)) == 1
+    several = F.raise_error(F.lit(f"several source rows for one {', '.join(on)}")).cast("boolean")
     joined = target.alias("t").join(
-        source.withColumn("__matched", F.lit(True)).alias("s"),
+        source.withColumn("__matched", F.when(alone, True).otherwise(several)).alias("s"),
         [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on],
         "left",
     )

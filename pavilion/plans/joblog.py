@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pavilion.functions.blanks import blank_zero
 from pavilion.functions.elapsed import elapsed_measure, elapsed_report, seconds_between
-from pavilion.operators.joins import lookup
-from pavilion.operators.tables import NoNewData, append_table, literal_rows, merge_update, table_exists
+from pavilion.operators.tables import NoNewData, append_table, literal_rows, table_exists
 
 
 def duration(now: Column) -> Column:
@@ -37,9 +36,9 @@ def job_report(jobs: DataFrame, now: Column) -> DataFrame:
     latest = latest_root(jobs).select(F.col("latest_id").alias("root_id"), F.lit("Y").alias("flag"))
     flags = roots.join(parents, "root_id", "left_semi").join(F.broadcast(latest), "root_id", "left")
     flags = flags.select("root_id", F.coalesce("flag", F.lit("N")).alias("is_latest_parent"))
-    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread=["job_id"])
+    rows = jobs.join(parent_names(jobs), "parent_job_id", "left")
     rows = rows.withColumn("root_id", F.coalesce("parent_job_id", "job_id"))
-    rows = lookup(rows, flags, "root_id", spread=["job_id"]).withColumn("duration_sec", duration(now))
+    rows = rows.join(flags, "root_id", "left").withColumn("duration_sec", duration(now))
     return rows.select(
         "job_category", "job_name", "parent_job_name", "is_latest_parent", "start_time", "end_time",
         elapsed_report(F.col("duration_sec")).alias("time_elapsed"),
@@ -56,7 +55,7 @@ def latest_run(jobs: DataFrame) -> DataFrame:
     moment = jobs.join(parents, "job_id", "left_semi").agg(F.max("start_time").alias("start_time"))
     starters = jobs.join(F.broadcast(moment), "start_time", "left_semi").select("job_id")
     children = jobs.join(starters.select(F.col("job_id").alias("parent_job_id")), "parent_job_id", "left_semi")
-    return starters.union(children.select("job_id"))
+    return starters.union(children.select("job_id")).distinct()
 
 
 def of_latest_run(report: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -65,7 +64,7 @@ def of_latest_run(report: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def monitor(jobs: DataFrame, now: Column) -> DataFrame:
-    rows = lookup(jobs, parent_names(jobs), "parent_job_id", spread=["job_id"]).withColumn("duration_sec", duration(now))
+    rows = jobs.join(parent_names(jobs), "parent_job_id", "left").withColumn("duration_sec", duration(now))
     return rows.select(
         "job_id", "job_name", "job_category", "start_time", "end_time", "status", "message", "parent_job_name",
         elapsed_measure(F.col("duration_sec")).alias("time_elapsed"), "duration_sec",
@@ -97,42 +96,59 @@ def job_cards(jobs: DataFrame, now: Column) -> DataFrame:
     )
 
 
+# A row of the log: the start of a job or its end, which has a status and the seconds it took where they are known.
 JOB = """
     job_id string, parent_job_id string, job_name string, job_category string,
-    start_time timestamp, end_time timestamp, status string, message string
+    start_time timestamp, end_time timestamp, status string, message string, seconds int
 """
 
 
+def logged_jobs(log: DataFrame) -> DataFrame:
+    """One row per job out of its log rows. The log is only ever appended to, so no writer can undo another's rows."""
+    ended = F.col("end_time").isNotNull()
+    last = F.max_by(F.struct("end_time", "status", "message", "seconds"), F.when(ended, F.col("end_time")))
+    jobs = log.groupBy("job_id").agg(
+        *[F.max(c).alias(c) for c in ("parent_job_id", "job_name", "job_category", "start_time")], last.alias("last")
+    )
+    by_duration = F.col("start_time") + F.make_dt_interval(secs=F.col("last.seconds"))
+    return jobs.select(
+        "job_id", "parent_job_id", "job_name", "job_category", "start_time",
+        F.coalesce(by_duration, "last.end_time").alias("end_time"),
+        F.coalesce("last.status", F.lit("InProgress")).alias("status"), F.col("last.message").alias("message"),
+    )
+
+
 def latest_job_id(jobs: DataFrame, job_name: str):
     """Id of the last started job of a name, or nothing."""
     named = jobs.filter(F.col("job_name") == job_name)
     return named.agg(F.max_by("job_id", F.struct("start_time", "job_id")).alias("job_id")).first()["job_id"]
 
 
+def _append(spark, table, *row):
+    append_table(literal_rows(spark, [row], JOB), table)
+
+
 def _now():
     return datetime.datetime.now().replace(microsecond=0)
 
 
-def start_job(spark: SparkSession, table, job_name, category="Adhoc", parent=None, job_id=None) -> str:
-    """Logs a job in progress and returns its id. A parent is named; its latest run is meant."""
+def start_job(spark: SparkSession, table, job_name, category="Adhoc", parent=None, job_id=None, parent_id=None) -> str:
+    """Logs a job in progress and returns its id. A parent is given by id, or by name: then its latest run is meant."""
     job_id = job_id or str(uuid.uuid4())
-    parent_id = latest_job_id(spark.table(table), parent) if parent and table_exists(spark, table) else None
-    row = (job_id, parent_id, job_name, category, _now(), None, "InProgress", None)
-    append_table(literal_rows(spark, [row], JOB), table)
+    if parent_id is None and parent and table_exists(spark, table):
+        parent_id = latest_job_id(spark.table(table), parent)
+    _append(spark, table, job_id, parent_id, job_name, category, _now(), None, None, None, None)
     return job_id
 
 
 def end_job(spark: SparkSession, table, job_id, status, message=None, duration=None) -> None:
-    """Sets status, message and end of a job; the end is start + duration seconds where that is known."""
-    row = (job_id, None, None, None, None, _now(), status, message)
-    end = f"t.start_time + INTERVAL {int(duration)} SECONDS" if duration else "s.end_time"
-    changes = {"end_time": end, "status": "s.status", "message": "s.message"}
-    merge_update(literal_rows(spark, [row], JOB), table, ["job_id"], changes)
+    """Logs the end of a job: now, or its start and the given seconds."""
+    _append(spark, table, job_id, None, None, None, None, _now(), status, message, duration)
 
 
-def run_logged(spark: SparkSession, table, job_name, function, category="Adhoc", parent=None, job_id=None, **kwargs):
+def run_logged(spark: SparkSession, table, job_name, function, category="Adhoc", parent=None, job_id=None, parent_id=None, **kwargs):
     """Runs function between start and end rows. The id is carried, so equal names cannot mix."""
-    job_id = start_job(spark, table, job_name, category, parent, job_id)
+    job_id = start_job(spark, table, job_name, category, parent, job_id, parent_id)
     try:
         result = function(**kwargs)
     except Exception as error:

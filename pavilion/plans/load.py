@@ -17,7 +17,7 @@ def stored_star(spark: SparkSession, schema="reporting") -> Star:
 
 
 def load(
-    spark: SparkSession, documents: DataFrame, staging="staging", reporting="reporting", logs="logs", parent=None
+    spark: SparkSession, documents: DataFrame, staging="staging", reporting="reporting", logs="logs", parent=None, parent_id=None
 ) -> Star:
     """Stages documents (see sources) and builds the star, unless there is nothing new.
 
@@ -28,7 +28,7 @@ def load(
     log, staged = f"{logs}.t_job", f"{staging}.t_match_document"
 
     def step(job, category, function):
-        return run_logged(spark, log, job, function, category, parent)
+        return run_logged(spark, log, job, function, category, parent, parent_id=parent_id)
 
     def keep(df, name):
         table = f"{reporting}.{name}"
@@ -43,7 +43,7 @@ def load(
         step(name, STAR, lambda: tables.create_or_insert_names(squads, table, key, column))
         return spark.table(table)
 
-    step("Gate Staging", STAGING, lambda: tables.require_new_data(spark, staged, documents))
+    step("Gate Staging", STAGING, lambda: tables.require_new_data(spark, staged, documents.select("match_id")))
     step("Stage Documents", STAGING, lambda: tables.replace_table(documents, staged))
     rows = spark.table(staged)
     step("Gate Star", STAR, lambda: tables.require_new_data(spark, f"{reporting}.t_dim_match", rows))

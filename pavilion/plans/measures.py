@@ -301,9 +301,10 @@ def squad_lines(fact, matches, keys, apart, roles, by_player, players=None, team
     )
     if matches is None:
         return lines
-    # The last match of a season, whichever team or player is looked at.
-    last = matches.groupBy(*dict.fromkeys(["season", *apart])).agg(F.max("match_id").alias("match_id"))
-    last = last.select("match_id", F.lit(True).alias("season_last"))
+    # The last match of a season, whichever team or player is looked at; of a match, where the keys name it, itself.
+    named = [k for k in keys if k == "match_id"]
+    last = matches.groupBy(*dict.fromkeys(["season", *apart, *named])).agg(F.max("match_id").alias("last_id"))
+    last = last.select(F.col("last_id").alias("match_id"), F.lit(True).alias("season_last"))
     seasons = matches.select("match_id", *[] if "season" in apart else ["season"]).join(last, "match_id", "left")
     return lines.join(seasons.withColumn("season_last", F.coalesce("season_last", F.lit(False))), "match_id", "left")
 

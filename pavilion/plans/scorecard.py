@@ -13,14 +13,12 @@ from pavilion.functions.cricket import (
     BOWLER_WICKETS, EXTRAS_ID, EXTRAS_NAME, INNINGS_COLOURS, OTHER_WICKETS,
     ball_number, run_colour, switch, total_overs, two_decimals, wicket_text,
 )
-from pavilion.operators.joins import lookup
 from pavilion.operators.running import running_totals
 from pavilion.operators.texts import joined_text
 from pavilion.plans.measures import delivery_lines, evaluate
 from pavilion.plans.star import Star
 
 INNINGS = ["match_id", "innings"]
-PART_BALLS = 4096  # no real innings comes near; keeps the text of an endless one in bounds
 
 
 def person(star: Star, key: str, name: str) -> DataFrame:
@@ -124,9 +122,9 @@ def fall_of_wickets_rows(star: Star) -> DataFrame:
 
 
 def fall_of_wickets(star: Star) -> DataFrame:
-    """Per innings, the falls in one text. An innings of more than PART_BALLS balls has several parts."""
-    rows = fall_of_wickets_rows(star).withColumn("part", F.floor(F.col("ball_no") / PART_BALLS))
-    return joined_text(rows, [*INNINGS, "part"], ["wicket_no", "ball_no"], "fall", ", ", "fall_of_wickets")
+    """Per innings, the falls in one text. It is one value by definition; `fall_of_wickets_rows` has them as rows."""
+    rows = fall_of_wickets_rows(star)
+    return joined_text(rows, INNINGS, ["wicket_no", "ball_no"], "fall", ", ", "fall_of_wickets")
 
 
 def did_not_bat(star: Star) -> DataFrame:
@@ -248,10 +246,10 @@ def ball_map(star: Star) -> DataFrame:
     """Every ball with runs, wicket, colour, players and the axis ends of its match.
 
     Names and axes of a match make one row, so a ball is joined once, whatever the number of
-    players; a match with very many balls is salted.
+    players; a match with very many balls is a skewed join, which Spark splits.
     """
     context = match_axes(star).drop("max_runs_per_over").join(match_names(star), "match_id", "left")
-    rows = lookup(star.deliveries, context, "match_id", spread=["overs", "balls"])
+    rows = star.deliveries.join(context, "match_id", "left")
 
     def name(key):
         return F.try_element_at("names", F.col(key))
@@ -286,7 +284,7 @@ def page(star: Star, match_id, innings=None) -> dict:
     return {
         "batting": batting_scorecard(one).orderBy("innings", "first_ball_faced"),
         "bowling": bowling_scorecard(one).orderBy("innings", "first_ball_bowled"),
-        "fall_of_wickets": fall_of_wickets(one).orderBy("innings", "part"),
+        "fall_of_wickets": fall_of_wickets(one).orderBy("innings"),
         "did_not_bat": did_not_bat(one).orderBy("innings"),
         "header": innings_header(one).orderBy("innings"),
         "manhattan": manhattan(one).orderBy("innings", "overs"),

@@ -72,7 +72,9 @@ def tied(star: Star, where=None, players=None, teams=None) -> DataFrame:
 
 
 def in_team(star: Star, keys, measures, teams, **context) -> DataFrame:
-    """`evaluate` for chosen teams, less the rows that no squad row of these teams stands behind."""
+    """`evaluate` for chosen teams, less the rows that no squad row of these teams stands behind; all rows without a choice."""
+    if teams is None:
+        return evaluate(star, keys, measures, **context)
     asked = list(dict.fromkeys([*measures, "matches"]))
     rows = evaluate(star, keys, asked, teams=teams, **context)
     return rows.filter("matches is not null").select(*keys, *measures)

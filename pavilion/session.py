@@ -1,6 +1,5 @@
 """Session defaults and the shared folder that lineage cuts are written to."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +21,12 @@ def local_session(cpus="*", memory="8g"):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor reaches: spark.checkpoint.dir, as the cluster set it.
-
-    Only a local session may run without the setting; it gets a fresh folder of its own.
-    """
+    """The folder every executor reaches: spark.checkpoint.dir, as the cluster set it, else one in the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch-{uuid.uuid4().hex[:12]}")
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -7,14 +7,12 @@ then read from files, as reports read stored tables.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pavilion.operators.joins import lookup
 from pavilion.operators.ordinals import row_numbers
 from pavilion.plans.star import SQUAD_MATCH_COLUMNS, Star, build_star, date_dim, with_extras
 from pavilion.session import materialize
 from pavilion.sources.match_json import stage
 
 TEAMS, SQUAD = 8, 11
-DOC_OVERS = 64  # overs of a match per document, so that no document grows without bound
 
 _built = {}
 
@@ -132,7 +130,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = ev.groupBy("user_day").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("head"))
     job, head = F.col("event_id").cast("string"), F.col("head").cast("string")
     seconds = F.make_dt_interval(secs=F.floor(F.col("value") * 1000).cast("decimal(18,6)"))
-    return lookup(ev, heads, "user_day", spread=["event_id"]).select(
+    return ev.join(heads, "user_day", "left").select(
         job.alias("job_id"),
         F.nullif(head, job).alias("parent_job_id"),
         F.concat("event_type", F.lit("_"), "user_id").alias("job_name"),
@@ -181,10 +179,9 @@ def sample_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(star: Star) -> DataFrame:
-    """Match documents (match_id, part, info, innings, file_name) with the star's rows as nested JSON.
+    """Match documents (match_id, info, innings, file_name), one a match, with the star's rows as nested JSON.
 
-    A document covers DOC_OVERS overs of both innings; a longer match has several parts,
-    and its file key is match_id * 1000000 + part. Two-team squads, names in place of ids.
+    Two-team squads, names in place of ids; the file key is the match's id.
     """
     def name(prefix, column):
         return F.concat(F.lit(prefix), F.col(column).cast("string"))
@@ -192,7 +189,6 @@ def documents(star: Star) -> DataFrame:
     def person(column):
         return name("Player_", column)
 
-    part = F.expr(f"(overs - 1) div {DOC_OVERS}").cast("long")
     wicket = F.struct(
         F.col("wicket_kind").alias("kind"),
         person("player_out_id").alias("player_out"),
@@ -211,11 +207,11 @@ def documents(star: Star) -> DataFrame:
         rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v"))))
         return df.groupBy(*keys).agg(F.transform(rows, lambda r: r["v"]).alias(out))
 
-    balls = star.deliveries.withColumn("part", part).withColumn("team", name("Team_", "batting_team_id"))
-    keys = ["match_id", "part", "innings", "team"]
+    balls = star.deliveries.withColumn("team", name("Team_", "batting_team_id"))
+    keys = ["match_id", "innings", "team"]
     overs = listed(balls, [*keys, "overs"], "balls", ball, "deliveries")
     innings = listed(overs, keys, "overs", F.struct("deliveries"), "overs")
-    docs = listed(innings, ["match_id", "part"], "innings", F.struct("team", "overs"), "innings")
+    docs = listed(innings, ["match_id"], "innings", F.struct("team", "overs"), "innings")
 
     def squad(team):
         ids = F.sequence(F.lit(0), F.lit(SQUAD - 1))
@@ -223,10 +219,16 @@ def documents(star: Star) -> DataFrame:
 
     info = F.struct(
         F.array(F.col("match_date").cast("string")).alias("dates"),
-        F.lit("male").alias("gender"),
+        F.expr("if(match_id % 4 = 1, 'female', 'male')").alias("gender"),
         "season",
-        F.struct(F.col("event_name").alias("name"), (F.col("match_id") % 100).alias("match_number")).alias("event"),
+        F.struct(
+            F.col("event_name").alias("name"),
+            F.expr("if(match_id % 6 = 2, 'Group ' || match_id % 2, null)").alias("group"),
+            (F.col("match_id") % 100).alias("match_number"),
+        ).alias("event"),
+        F.expr("if(match_id % 5 = 3, null, 'City_' || match_id % 11)").alias("city"),
         "venue",
+        F.expr("if(match_id % 3 = 0, 'club', 'international')").alias("team_type"),
         "match_type",
         F.struct(F.array(F.lit("U1"), name("U_", "season")).alias("umpires")).alias("officials"),
         F.struct(
@@ -249,10 +251,9 @@ def documents(star: Star) -> DataFrame:
     )
     return docs.join(star.matches, "match_id").select(
         "match_id",
-        "part",
         F.to_json(info).alias("info"),
         F.to_json("innings").alias("innings"),
-        F.concat((F.col("match_id") * 1_000_000 + F.col("part")).cast("string"), F.lit(".json")).alias("file_name"),
+        F.concat(F.col("match_id").cast("string"), F.lit(".json")).alias("file_name"),
     )
 
 

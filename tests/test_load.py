@@ -40,7 +40,7 @@ def test_loads_keep_ids_and_log_their_steps(spark, tmp_path):
     assert star.matches.count() == len(MATCHES) + 1
     assert star.deliveries.filter("match_id = 9").first().batting_team_id == 3
     assert {r.player_name: r.batter_runs for r in reports.player_stats(star).collect()}["c1"] == 4
-    jobs = spark.table(f"{schemas[2]}.t_job")
+    jobs = joblog.logged_jobs(spark.table(f"{schemas[2]}.t_job"))
     gates = [r.message for r in jobs.filter("job_name = 'Gate Staging'").orderBy("start_time").collect()]
     assert sorted(gates, key=str) == ["No new data", None, None]
     assert jobs.filter("status <> 'Completed'").count() == 0

@@ -13,16 +13,18 @@ def rows(spark):
     return data, spark.createDataFrame(data, "k string, o int, id int, v int").repartition(5).cache()
 
 
-def test_row_numbers_of_hot_groups(rows):
+@pytest.mark.parametrize("slices", [1, 4, 30])
+def test_row_numbers_of_hot_and_null_groups(rows, slices):
     data, df = rows
+    data = [(None if r[0] == "hot" else r[0], *r[1:]) for r in data]
+    df = df.withColumn("k", F.nullif("k", F.lit("hot")))
     expected = {}
     for k in {r[0] for r in data}:
         for n, r in enumerate(sorted(r[1:3] for r in data if r[0] == k), 1):
             expected[r[1]] = n
-    for hot_rows in (1000, 50, 1):  # none hot, one hot, all hot
-        got = ordinals.row_numbers(df, ["k"], ["o", "id"], "n", hot_rows=hot_rows)
-        assert set(got.columns) == {"k", "o", "id", "v", "n"}
-        assert {r["id"]: r["n"] for r in got.collect()} == expected
+    got = ordinals.row_numbers(df, ["k"], ["o", "id"], "n", slices=slices)
+    assert set(got.columns) == {"k", "o", "id", "v", "n"}
+    assert {r["id"]: r["n"] for r in got.collect()} == expected
 
 
 def test_dense_ids(rows):
@@ -35,7 +37,7 @@ def test_dense_ids(rows):
 @pytest.mark.parametrize("span", [4096, 50, 3])
 def test_running_totals_count_peers_and_cross_spans(spark, span):
     rng = random.Random(span)
-    data = [(f"g{i % 2}", rng.randrange(0, 200), rng.choice([None, 1, 2, 5])) for i in range(400)]
+    data = [(None if i % 3 else f"g{i % 2}", rng.randrange(0, 200), rng.choice([None, 1, 2, 5])) for i in range(400)]
     df = spark.createDataFrame(data, "g string, o int, v int")
     got = running.running_totals(df, ["g"], "o", {"t": "v", "n": F.lit(1)}, span=span).collect()
     assert len(got) == len(data)
@@ -51,16 +53,6 @@ def test_joined_text(spark):
     assert {r.g: r.s for r in got.collect()} == {"a": "t1,t3,t5,t9,t22", "b": "x"}
 
 
-def test_lookup_salts_hot_keys(spark, rows):
-    data, df = rows
-    dim = spark.createDataFrame([("hot", 1), ("k2", 2), ("other", 3)], "k string, w int")
-    keyless = spark.createDataFrame([(None, 1, 999, 1)], df.schema)
-    for hot_rows in (1000, 50, 1):
-        got = joins.lookup(df.unionByName(keyless), dim, "k", spread=["id"], hot_rows=hot_rows).collect()
-        assert sorted(r.id for r in got) == sorted([r[2] for r in data] + [999])
-        assert all(r.w == {"hot": 1, "k2": 2}.get(r.k) for r in got)
-
-
 def test_top_ties(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 9), (4, None)], "id int, v int")
     assert sorted(r.id for r in joins.top_ties(df, "v").collect()) == [2, 3]

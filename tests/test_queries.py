@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, and on skewed input with the hot-key ways forced."""
+"""Every registered query against its SQL, and on skewed input with short spans forced."""
 
 import math
 import os
@@ -6,9 +6,9 @@ import os
 import __spark_entry__ as entry
 import duckdb
 import pytest
-from pavilion.operators import joins, ordinals, running
+from pavilion.operators import running
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.own_queries(), entry.entry_sql.SQL
 
 
 def connect(folder):
@@ -69,8 +69,6 @@ def skewed(sf_dir, tmp_path_factory):
     "name", ["player_stats", "fall_of_wickets", "manhattan", "batting_scorecard", "ball_map", "fact_deliveries", "job_report"]
 )
 def test_skewed(spark, skewed, monkeypatch, name):
-    monkeypatch.setattr(ordinals.row_numbers, "__defaults__", (100,))
-    monkeypatch.setattr(joins.lookup, "__defaults__", (100,))
     monkeypatch.setattr(running.running_totals, "__defaults__", (16,))
     assert_same(spark, connect(skewed), skewed, name)
 

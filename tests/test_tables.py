@@ -97,7 +97,7 @@ def test_logged_runs(spark, schema):
         joblog.run_logged(spark, log, "gate", stop, "Ingest", parent="load")
     with pytest.raises(ValueError):
         joblog.run_logged(spark, log, "build", fail, "Build", parent="load")
-    rows = {r.job_name: r for r in spark.table(log).collect()}
+    rows = {r.job_name: r for r in joblog.logged_jobs(spark.table(log)).collect()}
     assert {n: (r.status, r.message) for n, r in rows.items()} == {
         "load": ("Completed", None), "gate": ("Completed", "No new data"), "build": ("Failed", "broken"),
     }
@@ -105,9 +105,29 @@ def test_logged_runs(spark, schema):
     assert all(r.end_time is not None for r in rows.values())
     joblog.start_job(spark, log, "timed", job_id="j")
     joblog.end_job(spark, log, "j", "Completed", duration=90)
-    timed = spark.table(log).filter("job_id = 'j'").first()
+    timed = joblog.logged_jobs(spark.table(log)).filter("job_id = 'j'").first()
     assert (timed.end_time - timed.start_time).total_seconds() == 90
-    report = joblog.job_report(spark.table(log), F.current_timestamp())
+    report = joblog.job_report(joblog.logged_jobs(spark.table(log)), F.current_timestamp())
     assert {r.job_name: r.is_latest_parent for r in report.collect()} == {
         "load": "Y", "gate": "Y", "build": "Y", "timed": None,
     }
+
+
+def test_merge_with_a_repeated_key_fails(spark, schema):
+    name = f"{schema}.t_twice"
+    tables.replace_table(tables.literal_rows(spark, [(1, "a"), (2, "b")], "k int, v string"), name)
+    twice = tables.literal_rows(spark, [(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        tables.merge_update(twice, name, ["k"], {"v": "s.v"})
+    assert {tuple(r) for r in spark.table(name).collect()} == {(1, "a"), (2, "b")}
+
+
+def test_two_writers_of_the_log(spark, schema):
+    log = f"{schema}.t_shared"
+    first, second = (joblog.start_job(spark, log, name) for name in ("a", "b"))
+    joblog.end_job(spark, log, second, "Failed", "late")
+    joblog.end_job(spark, log, first, "Completed")
+    child = joblog.start_job(spark, log, "c", parent_id=first)
+    rows = {r.job_id: r for r in joblog.logged_jobs(spark.table(log)).collect()}
+    assert (rows[first].status, rows[second].status, rows[child].status) == ("Completed", "Failed", "InProgress")
+    assert rows[child].parent_job_id == first and rows[child].end_time is None
