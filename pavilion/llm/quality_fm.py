@@ -27,6 +27,8 @@ RANK = 8
 MAX_LABELLED = 6000
 EPOCHS = 12
 BATCH = 128
+# Steps at least, so that few labels are gone over more often.
+STEPS = 400
 LEARNING_RATE = 0.05
 DECAY = 1e-4
 THRESHOLD = 0.3
@@ -96,14 +98,14 @@ def sigmoid(z):
 
 
 def fit(x: np.ndarray, y: np.ndarray, rank=RANK, epochs=EPOCHS, batch=BATCH, rate=LEARNING_RATE, decay=DECAY, seed=7):
-    """Adagrad on the log loss, both classes weighing alike in sum up to the bound of three to one."""
+    """Adagrad on the log loss, from the share of ones."""
     rng = np.random.default_rng(seed)
     n, width = x.shape
     ones = y.mean()
     prior = float(np.log(ones / (1 - ones)))
     model = [prior, np.zeros(width, np.float32), rng.normal(0, 0.02, (width, rank)).astype(np.float32)]
     sums = [1e-6, np.full(width, 1e-6, np.float32), np.full((width, rank), 1e-6, np.float32)]
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS // -(-n // batch)))):
         order = rng.permutation(n)
         for start in range(0, n, batch):
             rows = order[start : start + batch]
