@@ -39,6 +39,9 @@ llm = optional("pavilion.llm.queries")
 corpus_pipeline = optional("corpus_pipeline")
 
 
+SEASON_SETS = ["highest_score", "highest_wickets", "hundreds", "highest_sixes", "highest_wickets_in_over", "tied"]
+
+
 def of_star(report):
     return lambda spark, sf: report(sample_star(spark, sf))
 
@@ -71,6 +74,36 @@ def selected(name):
     return run
 
 
+def selected_in(name, where=None, teams=None):
+    """A match set found within a season or a team's balls."""
+
+    def run(spark, sf):
+        star = sample_star(spark, sf)
+        found = SELECTORS[name](star, where=where and F.expr(where), teams=teams)
+        return evaluate(star, ["match_id", "team_id"], ["deliveries", "overall_runs", "sixes"], selector=found)
+
+    return run
+
+
+def on_page(part, match_id, innings=None):
+    return of_star(lambda star: scorecard.page(star, match_id, innings)[part])
+
+
+def logged_jobs(spark, sf):
+    """The sample jobs as log rows, starts and ends apart, and back."""
+    rows = sample_jobs(spark, sf)
+    none = [F.lit(None).cast("string").alias(c) for c in ("parent_job_id", "job_name", "job_category")]
+    starts = rows.select(
+        "job_id", "parent_job_id", "job_name", "job_category", "start_time", F.lit(None).cast("timestamp_ntz").alias("end_time"),
+        F.lit("InProgress").alias("status"), "message", F.lit(None).cast("int").alias("seconds"),
+    )
+    ends = rows.filter("end_time is not null").select(
+        "job_id", *none, F.lit(None).cast("timestamp_ntz"), "end_time", "status", F.lit("ended"),
+        F.when(F.col("status") == "Failed", 30),
+    )
+    return joblog.logged_jobs(starts.union(ends))
+
+
 def filtered_measures(spark, sf):
     where = F.col("match_date").between("1995-03-01", "1996-06-30") & F.col("match_type").isin("T20", "Test")
     rows = evaluate(
@@ -227,6 +260,15 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filtered_measures": filtered_measures,
         **{name: of_star(getattr(scorecard, name)) for name in cards},
         **{f"selector_{name}": selected(name) for name in SELECTORS},
+        **{f"season_{name}": selected_in(name, where="season = '1995'") for name in SEASON_SETS},
+        "team_highest_score": selected_in("highest_score", teams=[3]),
+        "season_wins_by_match": measured(["match_id", "team_id"], "season_wins"),
+        "page_batting": on_page("batting", 3),
+        "page_bowling": on_page("bowling", 3),
+        "page_header": on_page("header", 3),
+        "page_fall_of_wickets": on_page("fall_of_wickets", 3, innings=1),
+        "page_did_not_bat": on_page("did_not_bat", 3, innings=2),
+        "logged_jobs": logged_jobs,
         "job_report": of_jobs(joblog.job_report, timed=True),
         "job_monitor": of_jobs(joblog.monitor, timed=True),
         "job_latest_parent": of_jobs(joblog.latest_run),

@@ -574,3 +574,26 @@ SQL["player_stats_of_team"] = f"""{OF_TEAM}, {_by_player(d="batting", w="bowling
   {_squad_measures(["player_id"], "where tp.team_id = 3")}
   select player_id, player_name, {PLAYER_COLUMNS}
   from players join sm using (player_id) left join dm using (player_id) left join best using (player_id)"""
+
+# Match sets within one season, or a team's balls.
+for _name in ("highest_score", "highest_wickets", "hundreds", "highest_sixes", "highest_wickets_in_over", "tied"):
+    _picked = PICKED[_name].replace("from deliveries", "from of_season").replace("from matches where", "from matches where season = '1995' and")
+    SQL[f"season_{_name}"] = f"""{STAR},
+      of_season as (select * from deliveries where match_id in (select match_id from matches where season = '1995')), {_picked} {SELECTED}"""
+SQL["team_highest_score"] = f"""{STAR}, {PICKED["highest_score"].replace("from deliveries", "from deliveries where batting_team_id = 3")} {SELECTED}"""
+SQL["season_wins_by_match"] = f"""{STAR}
+  select match_id, match_winner_id as team_id, cast(1 as bigint) as season_wins from matches where match_winner_id is not null"""
+
+# The drill-through page: a match, or one innings of it.
+for _part, _query, _where in (
+    ("batting", "batting_scorecard", "match_id = 3"),
+    ("bowling", "bowling_scorecard", "match_id = 3"),
+    ("header", "innings_header", "match_id = 3"),
+    ("fall_of_wickets", "fall_of_wickets", "match_id = 3 and innings = 1"),
+    ("did_not_bat", "did_not_bat", "match_id = 3 and innings = 2"),
+):
+    SQL[f"page_{_part}"] = f"select * from ({SQL[_query]}) where {_where}"
+
+SQL["logged_jobs"] = f"""{JOBS}
+  select job_id, parent_job_id, job_name, job_category, start_time, end_time,
+    if(end_time is null, 'InProgress', status) as status, if(end_time is null, null, 'ended') as message from jobs"""

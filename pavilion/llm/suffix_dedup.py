@@ -36,8 +36,10 @@ LENGTH, GRAM = 50, 16
 CHUNK = 128
 # Parts and groups a shuffle partition.
 PARTS, GROUPS = 8, 8
-# Bytes whose hashes are worked out at a time.
-BLOCK = 1 << 20
+# Bytes whose hashes are worked out at a time, and strings of a run at most.
+BLOCK, RUN = 1 << 20, 64
+# Bytes of runs whose suffixes are ordered at a time; runs that could share a string stay together.
+ORDERED = 150_000
 CHUNKS, SHARED, FIRSTS = 0, 1, 2  # kinds of what comes back to a part
 
 
@@ -94,7 +96,7 @@ def chunks(raw: bytes) -> list[tuple[int, int, bytes]]:
 
 
 def runs(raw: np.ndarray, open_strings: list[tuple[int, int]]):
-    """(starts, ends, minimizers) of maximal runs of strings, within the given ranges, under the same two minimizers."""
+    """(starts, ends, two minimizers) of runs of strings, within the given ranges, under the same two minimizers."""
     out = []
     for low, high in open_strings:
         for a in range(low, high, BLOCK):
@@ -103,7 +105,12 @@ def runs(raw: np.ndarray, open_strings: list[tuple[int, int]]):
             first, second = minimizers(part, 0), minimizers(part, 1)
             edge = np.flatnonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1])) + 1
             starts = np.concatenate([[0], edge])
-            out.append((a + starts, a + np.concatenate([edge, [b - a]]), first[starts], second[starts]))
+            ends = np.concatenate([edge, [b - a]])
+            pieces = -(-(ends - starts) // RUN)
+            of = np.repeat(np.arange(len(starts)), pieces)
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            cut = starts[of] + nth * RUN
+            out.append((a + cut, a + np.minimum(cut + RUN, ends[of]), first[cut], second[cut]))
     if not out:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     return tuple(np.concatenate(column) for column in zip(*out))
@@ -126,16 +133,18 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def suffix_groups(texts: list[bytes]):
     """(text, position, group) arrays of all suffixes of at least LENGTH bytes; equal first LENGTH bytes, equal group.
 
-    Symbols are bytes + 1, and 0 stands for a text's end. Before a round the transform holds, for each suffix inserted so
+    Symbols are the bytes' ranks among those that occur, from 1, and 0 stands for a text's end. Before a round the transform holds, for each suffix inserted so
     far in order, the symbol before it; the suffixes that grow by it take their places by counting.
     """
     m = len(texts)
-    lengths = np.array([len(t) for t in texts], np.int64)
+    lengths = np.array([len(t) for t in texts], np.int32)
     flat = np.frombuffer(b"".join(texts), np.uint8)
-    base = np.cumsum(lengths) - lengths
-    text, place = np.arange(m), lengths.copy()
+    used = np.bincount(flat, minlength=256) > 0
+    flat = np.cumsum(used)[flat].astype(np.uint8 if used.sum() < 256 else np.uint16)
+    base = (np.cumsum(lengths) - lengths).astype(np.int64)
+    text, place = np.arange(m, dtype=np.int32), lengths.copy()
     common = np.zeros(m, np.uint8)  # with the suffix before, LENGTH at most
-    symbols = np.where(lengths > 0, flat[np.maximum(base + lengths - 1, 0)].astype(np.uint16) + 1, 0).astype(np.uint16)
+    symbols = np.where(lengths > 0, flat[np.maximum(base + lengths - 1, 0)], 0).astype(flat.dtype)
     new = np.arange(m)  # ranks of the suffixes inserted last
     while True:
         new = new[symbols[new] > 0]
@@ -163,8 +172,8 @@ def suffix_groups(texts: list[bytes]):
         common = _spread(common, own, old, target)
         beside = target + 1 < size
         common[(target + 1)[beside]] = follow[beside]
-        fresh = np.where(starts > 0, flat[np.maximum(base[text[target]] + starts - 1, 0)].astype(np.uint16) + 1, 0)
-        symbols = _spread(symbols, fresh.astype(np.uint16), old, target)
+        fresh = np.where(starts > 0, flat[np.maximum(base[text[target]] + starts - 1, 0)], 0)
+        symbols = _spread(symbols, fresh.astype(flat.dtype), old, target)
         new = target
     group = np.cumsum(common < LENGTH)
     whole = lengths[text] - place >= LENGTH
@@ -215,22 +224,50 @@ def _shared(side: pd.DataFrame) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(d, np.int64) for d in rows["data"])]))
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted known ones."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _shared_runs(raw: bytes, found, doc_id, settled, shared, groups):
-    """(repeated ranges, [(start, end, bytes, group)]) of a document's runs under shared minimizers."""
+    """(repeated ranges, [(start, end, bytes, both minimizers' hash)]) of a document's runs under shared minimizers."""
     repeated, unsettled = _open_ranges(found, doc_id, settled)
     array = np.frombuffer(raw, np.uint8)
     starts, ends, first, second = runs(array, unsettled)
     group, code = _codes(first, groups)
-    kept = np.flatnonzero(np.isin(group << 32 | code, shared))
+    kept = np.flatnonzero(_among(group << 32 | code, shared))
     with np.errstate(over="ignore"):
-        both = ((first ^ (second * np.uint64(0x9E3779B97F4A7C15))) % np.uint64(groups)).astype(np.int64)
-    return repeated, [(int(starts[i]), int(ends[i]), raw[starts[i] : ends[i] + LENGTH - 1], int(both[i])) for i in kept]
+        both = ((first ^ (second * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(1)).astype(np.int64)
+    return repeated, [(a, b, raw[a : b + LENGTH - 1], h) for a, b, h in zip(starts[kept].tolist(), ends[kept].tolist(), both[kept].tolist())]
 
 
 def _name(run: bytes) -> bytes:
     return hashlib.blake2b(run, digest_size=16).digest()
 
 
+def _firsts(part, runs_, low, high, batch) -> list[tuple]:
+    """For each part's run that a smaller document shares strings with: the least doc_id of each of its strings."""
+    distinct: dict[bytes, int] = {}
+    at = [distinct.setdefault(bytes(runs_[i]), len(distinct)) for i in batch]
+    least = np.full(len(distinct), NULL_ID, np.int64)
+    np.minimum.at(least, at, low[batch])
+    names = list(distinct)
+    text, place, group = suffix_groups(names)
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    first = np.minimum.reduceat(least[text], edge)[np.cumsum(np.r_[False, group[1:] != group[:-1]])]
+    by_text = np.lexsort((place, text))
+    text, first = text[by_text], first[by_text]
+    bounds = np.searchsorted(text, np.arange(len(names) + 1))
+    rows = []
+    for i, which in zip(batch, at):
+        own = first[bounds[which] : bounds[which + 1]]
+        if own.min() < high[i]:
+            rows.append((part[i], FIRSTS, _name(names[which]), None, own.tobytes()))
+    return rows
+
+
 def cuts(raw: bytes, covered: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     """(removed bytes, runs of them, what is left) for sorted ranges of repeated strings."""
     removed, kept, at = 0, [], 0
@@ -310,7 +347,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         shared = np.unique(np.concatenate([code[1:][again], *(np.frombuffer(s, "<u4") for s in pdf["several"])]))
         rows = []
         for part, own in zip(pdf["part"], codes):
-            mine = own[np.isin(own, shared)].astype(np.int64) | (int(key[0]) << 32)
+            mine = own[_among(own, shared)].astype(np.int64) | (int(key[0]) << 32)
             if len(mine):
                 rows.append((part, SHARED, None, None, mine.tobytes()))
         return pd.DataFrame(rows, columns=["part", "kind", "name", "doc", "data"])
@@ -324,33 +361,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         ids: dict[bytes, list] = {}
         for doc, raw in zip(pdf["__id"], pdf["raw"]):
             raw = bytes(raw)
-            for _, _, run, group in _shared_runs(raw, chunks(raw), doc, known, shared, groups)[1]:
-                low, high, _ = ids.get(run, (doc, doc, group))
-                ids[run] = (min(low, doc), max(high, doc), group)
+            for _, _, run, both in _shared_runs(raw, chunks(raw), doc, known, shared, groups)[1]:
+                low, high, _ = ids.get(run, (doc, doc, both))
+                ids[run] = (min(low, doc), max(high, doc), both)
         return pd.DataFrame(
-            [(group, int(key[0]), run, low, high) for run, (low, high, group) in ids.items()],
-            columns=["group", "part", "run", "low", "high"],
+            [(both % groups, both, int(key[0]), run, low, high) for run, (low, high, both) in ids.items()],
+            columns=["group", "both", "part", "run", "low", "high"],
         )
 
-    sent = part_texts.cogroup(side.groupBy("part")).applyInPandas(send, "group int, part int, run binary, low long, high long")
+    sent = part_texts.cogroup(side.groupBy("part")).applyInPandas(
+        send, "group int, both long, part int, run binary, low long, high long"
+    )
 
     def order_suffixes(key, pdf):
-        distinct: dict[bytes, int] = {}
-        at = np.array([distinct.setdefault(bytes(run), len(distinct)) for run in pdf["run"]])
-        least = np.full(len(distinct), NULL_ID, np.int64)
-        np.minimum.at(least, at, pdf["low"].to_numpy())
-        names = list(distinct)
-        text, place, group = suffix_groups(names)
-        edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        first = np.minimum.reduceat(least[text], edge)[np.cumsum(np.r_[False, group[1:] != group[:-1]])]
-        by_text = np.lexsort((place, text))
-        text, first = text[by_text], first[by_text]
-        bounds = np.searchsorted(text, np.arange(len(names) + 1))
-        rows = []
-        for part, which, high in zip(pdf["part"], at, pdf["high"]):
-            own = first[bounds[which] : bounds[which + 1]]
-            if own.min() < high:
-                rows.append((part, FIRSTS, _name(names[which]), None, own.tobytes()))
+        pdf = pdf.sort_values("both", kind="stable")
+        both, runs_, low, high = (pdf[c].to_numpy() for c in ("both", "run", "low", "high"))
+        edge = np.flatnonzero(np.r_[True, both[1:] != both[:-1], True])
+        # Runs of one document alone share nothing with another.
+        least, most = np.minimum.reduceat(low, edge[:-1]), np.maximum.reduceat(high, edge[:-1])
+        rows, batch, size = [], [], 0
+        for a, b in zip(edge[:-1][least < most].tolist(), edge[1:][least < most].tolist()):
+            batch += range(a, b)
+            size += sum(len(r) for r in runs_[a:b])
+            if size > ORDERED:
+                rows += _firsts(pdf["part"].to_numpy(), runs_, low, high, batch)
+                batch, size = [], 0
+        if batch:
+            rows += _firsts(pdf["part"].to_numpy(), runs_, low, high, batch)
         return pd.DataFrame(rows, columns=["part", "kind", "name", "doc", "data"])
 
     firsts_side = sent.groupBy("group").applyInPandas(order_suffixes, SIDE)

@@ -146,6 +146,7 @@ def innings_header(star: Star) -> DataFrame:
         F.count_if(F.col("wicket_kind").isin(*BOWLER_WICKETS, *OTHER_WICKETS)).alias("out"),
         F.max(ball_number()).alias("last_ball"),
         F.sum(illegal).alias("illegal"),
+        F.max("batting_team_id").alias("team_id"),
     )
     sums = overs.groupBy(*INNINGS).agg(
         F.sum("runs").alias("runs"),
@@ -153,17 +154,15 @@ def innings_header(star: Star) -> DataFrame:
         F.count(F.lit(1)).alias("overs"),
         F.max("last_ball").alias("last_ball"),
         F.max_by("illegal", "overs").alias("illegal"),
+        F.max("team_id").alias("team_id"),
     )
-    sides = star.deliveries.select(*INNINGS, "batting_team_id").distinct()
-    sides = sides.join(star.teams, F.col("batting_team_id") == F.col("team_id"))
-    names = sides.groupBy(*INNINGS).agg(F.max("team").alias("team"))
     legal = F.col("last_ball") - F.col("illegal")
     score = text(
         F.col("runs"), "-", F.col("out"),
         " (", ((legal - legal % 6) / 6).cast("long"), ".", legal % 6,
         " Ov, RR: ", two_decimals(F.col("runs"), F.col("overs")), ", Inn: ", F.col("innings"), ")",
     )
-    rows = sums.join(names, INNINGS, "left")
+    rows = sums.join(star.teams, "team_id", "left")
     return rows.select(*INNINGS, "team", score.alias("score"), text(F.col("team"), ": ", score).alias("header"))
 
 
