@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, suffix_dedup, url_filter
 from pavilion.llm.common import table
@@ -13,7 +14,9 @@ def op1_simhash(spark, sf):
 
 
 def op2_line_dedup(spark, sf):
-    return line_dedup.report(table(spark, sf, "documents"))
+    """Positions of dropped lines, and the documents that keep one of each, as texts."""
+    rows = line_dedup.report(table(spark, sf, "documents"))
+    return rows.withColumns({c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("dropped", "classes")})
 
 
 def op3_url_filter(spark, sf):
@@ -89,5 +92,59 @@ def url_filter_sql() -> str:
         from ruled"""
 
 
+LINES = f"""
+    with recursive lines as (
+        select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos
+        from documents),
+    forms as (select doc_id, pos, trim(line, ' ') as form from lines where length(trim(line, ' ')) >= {line_dedup.MIN_CHARS}),
+    texts as (select distinct form, length(form) as n from forms),
+    -- One edit spares the first nine characters or the last nine.
+    links as (
+        select a.form as u, b.form as v from texts a join texts b on a.form[1:9] = b.form[1:9]
+            and b.n between a.n - 1 and a.n + 1 and a.form <> b.form and levenshtein(a.form, b.form) <= 1
+        union
+        select a.form, b.form from texts a join texts b on right(a.form, 9) = right(b.form, 9)
+            and b.n between a.n - 1 and a.n + 1 and a.form <> b.form and levenshtein(a.form, b.form) <= 1),
+    reach as (select distinct u as form, u as other from links union select r.form, l.v from reach r join links l on l.u = r.other),
+    roots as (select form, min(other) as root from reach group by form),
+    placed as (
+        select doc_id, pos, first_value(doc_id) over w as keeper,
+            row_number() over w > 1 as gone
+        from forms left join roots using (form)
+        window w as (partition by coalesce(root, form) order by doc_id, pos)),
+    gone as (
+        select doc_id, count(*) as n_dropped, string_agg(cast(pos as varchar), ',' order by pos) as dropped,
+            string_agg(cast(keeper as varchar), ',' order by pos) as classes
+        from placed where gone group by doc_id)
+    select doc_id, coalesce(len(string_split(text, chr(10))), 0) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+        coalesce(dropped, '') as dropped, coalesce(classes, '') as classes
+    from documents left join gone using (doc_id)"""
+
+WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+WINDOWS = f"""
+    with docs as (select doc_id, {WORDS} as w from documents),
+    items as (select item_id, {WORDS} as w from benchmark where item_id is not null),
+    sized as (select item_id, w, least({decontaminate.SPAN}, len(w)) as n from items where len(w) > 0),
+    asked as (
+        select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as words
+        from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from sized)),
+    sizes as (select distinct n from sized),
+    found as (
+        select doc_id, i, d.n, item_id
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs cross join sizes) d
+        join asked a on a.n = d.n and a.words = array_to_string(w[i : i + d.n - 1], ' ')),
+    covered as (
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, i, n from found)) group by doc_id),
+    named as (
+        select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+        from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id)
+    select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from docs left join covered using (doc_id) left join named using (doc_id)"""
+
+
 def oracle_sql():
-    return {"op3_url_filter": url_filter_sql()}
+    return {"op2_line_dedup": LINES, "op3_url_filter": url_filter_sql(), "op9_decontamination": WINDOWS}
