@@ -64,6 +64,10 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     return df.repartition(parts, *keys)
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """Keeps filters above from being written into the expressions below, where lambdas would repeat them per element."""
-    return df.withColumn("__fence", F.spark_partition_id())
+def where_after(df: DataFrame, condition) -> DataFrame:
+    """df.filter(condition), worked out from df's columns as they are.
+
+    A plain filter is written into the expressions below it, where lambdas would repeat them for each element. It is not moved
+    below a column that depends on the partition, and this one asks for such a column.
+    """
+    return df.withColumn("__fence", F.spark_partition_id()).filter(condition & (F.col("__fence") >= 0)).drop("__fence")

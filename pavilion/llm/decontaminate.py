@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.common import fence, id_or_last, text_key
+from pavilion.llm.common import id_or_last, text_key, where_after
 from pavilion.session import materialize
 
 SPAN, GRAM = 10, 4
@@ -181,5 +181,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, span=SPAN, gram=GRAM) -> DataF
     """The documents without any window of an item, with their own columns."""
     joined = _with_hits(docs, items, span, gram)
     rows = joined.withColumn("__words", F.when(F.col("__hits").isNotNull(), words(F.col("text"))))
-    clean = fence(_verified(rows, span)).filter(F.coalesce(F.size("__spans"), F.lit(0)) <= 0)
+    clean = where_after(_verified(rows, span), F.coalesce(F.size("__spans"), F.lit(0)) <= 0)
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])

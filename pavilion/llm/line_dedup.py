@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.common import NULL_ID, fence, id_or_last, text_key
+from pavilion.llm.common import NULL_ID, id_or_last, text_key, where_after
 from pavilion.llm.components import components
 from pavilion.session import materialize
 
@@ -26,6 +26,8 @@ EDITS = 1
 MIN_CHARS = 20
 # Lines in a group up to which they are compared pair by pair.
 SMALL = 16
+# Times that a pair's texts are cut by half before the distance of what is left is worked out.
+HALVED = 5
 BREAK = "\n"
 
 
@@ -45,19 +47,19 @@ def _segment(n):
     return F.when(n < 2, 0).otherwise(F.pow(F.lit(2), F.length(F.bin(n)) - 2).cast("int"))
 
 
-def _entries(text, key):
-    """The index entries of a text within a group: (entry, segment's length, what is left)."""
+def _entries(text, key, rests=True):
+    """The index entries of a text within a group: (entry, segment's length, what is left), or without rests the entry alone."""
     n = F.length(text)
 
+    def made(entry, width, rest):
+        return F.struct(entry.alias("entry"), width.alias("width"), rest.alias("rest")) if rests else entry
+
     def pair(width):
         prefix = F.xxhash64(key, F.lit("prefix"), width, F.substring(text, F.lit(1), width))
         suffix = F.xxhash64(key, F.lit("suffix"), width, F.substring(text, n - width + 1, width))
         return F.when(width > 0, F.array(
-            F.struct(prefix.alias("entry"), width.alias("width"), F.substring(text, width + 1, n).alias("rest")),
-            F.struct(suffix.alias("entry"), width.alias("width"), F.substring(text, F.lit(1), n - width).alias("rest")),
-        )).otherwise(F.array(
-            F.struct(F.xxhash64(key, F.lit("end")).alias("entry"), width.alias("width"), text.alias("rest"))
-        ))
+            made(prefix, width, F.substring(text, width + 1, n)), made(suffix, width, F.substring(text, F.lit(1), n - width))
+        )).otherwise(F.array(made(F.xxhash64(key, F.lit("end")), width, text)))
 
     own, shorter = _segment(n), _segment(n - 1)
     # A text at a border meets the ones a character shorter under their entries too.
@@ -175,27 +177,36 @@ def within(a, b, edits=EDITS):
     return F.when(F.abs(m - n) > edits, False).when(narrow, F.levenshtein(a, b) <= edits).otherwise(run <= edits)
 
 
-def links(pairs: DataFrame, texts: DataFrame, edits=EDITS) -> DataFrame:
+def _halved(pairs: DataFrame) -> DataFrame:
+    """Pairs (u, v, a, b) without the half that a and b agree on; a pair that agrees on neither is more than an edit apart."""
+    size_a, size_b = F.length("a"), F.length("b")
+    least = F.least(size_a, size_b)
+    half = F.floor(least / 2).cast("int")
+    rest = least - half
+    same_first = F.substring("a", F.lit(1), half) == F.substring("b", F.lit(1), half)
+    same_last = F.substring(F.col("a"), size_a - rest + 1, rest) == F.substring(F.col("b"), size_b - rest + 1, rest)
+
+    def left(text, size):
+        return F.when(F.col("__first"), F.substring(F.col(text), half + 1, size)).otherwise(F.substring(F.col(text), F.lit(1), size - rest))
+
+    close = where_after(pairs, (F.abs(size_a - size_b) <= EDITS) & (same_first | same_last)).withColumn("__first", same_first)
+    return close.select("u", "v", left("a", size_a).alias("a"), left("b", size_b).alias("b"))
+
+
+def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(u, v, both lids) of the pairs that are within the edits."""
     near = pairs.join(texts.withColumnRenamed("form", "a"), "lid")
     near = near.join(texts.select(F.col("lid").alias("other"), F.col("form").alias("b")), "other")
-    # What both begin and end with is left out, as far as halving finds it at once.
-    half = F.floor(F.least(F.length("a"), F.length("b")) / 2).cast("int")
-    same_first = F.substring("a", F.lit(1), half) == F.substring("b", F.lit(1), half)
-    size_a, size_b = F.length("a"), F.length("b")
-    rest = F.least(size_a, size_b) - half
-    same_last = F.substring(F.col("a"), size_a - rest + 1, rest) == F.substring(F.col("b"), size_b - rest + 1, rest)
-    cut = near.filter((F.abs(size_a - size_b) <= edits) & (same_first | same_last)).select(
-        F.col("lid").alias("u"), F.col("other").alias("v"),
-        F.when(same_first, F.substring(F.col("a"), half + 1, size_a)).otherwise(F.substring(F.col("a"), F.lit(1), size_a - rest)).alias("a"),
-        F.when(same_first, F.substring(F.col("b"), half + 1, size_b)).otherwise(F.substring(F.col("b"), F.lit(1), size_b - rest)).alias("b"),
-    )
-    return fence(cut).withColumn("near", within(F.col("a"), F.col("b"), edits)).transform(fence).filter("near").select("u", "v")
+    near = near.select(F.col("lid").alias("u"), F.col("other").alias("v"), "a", "b")
+    # What both begin or end with adds nothing to their distance: most pairs differ in both halves of what is left soon.
+    for _ in range(HALVED):
+        near = _halved(near)
+    return where_after(near.withColumn("near", within(F.col("a"), F.col("b"), EDITS)), F.col("near")).select("u", "v")
 
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(per line, roots): lid with its first place and number of places; (node, root) of lids in links."""
-    entries = F.transform(_entries(F.col("__form"), F.lit(0).cast("long")), lambda e: e["entry"])
+    entries = _entries(F.col("__form"), F.lit(0).cast("long"), rests=False)
     lines = _lines(docs).select(_line_id(), F.struct("__id", "__key", "__pos").alias("place"), entries.alias("entries"))
     per_line = lines.groupBy("lid").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.max("entries").alias("entries"))
     per_line = materialize(per_line, "lines")
@@ -252,8 +263,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     rows = _with(docs, dropped(docs))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped.pos"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), BREAK)
-    cut = fence(rows.withColumn("__left", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept)))
-    cut = cut.filter(F.col("__dropped").isNull() | F.col("__left").rlike(r"\S"))
+    cut = rows.withColumn("__left", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))
+    cut = where_after(cut, F.col("__dropped").isNull() | F.col("__left").rlike(r"\S"))
     new = {"text": F.col("__left")}
     if "n_chars" in docs.columns:
         changed = F.length("__left").cast(docs.schema["n_chars"].dataType)
