@@ -5,10 +5,10 @@ all suffixes by their first LENGTH bytes decides that, and is built in pieces th
 
 1. Documents fall into parts by a hash of their id; a part is what a task holds. Content-defined chunks whose bytes (with the
    strings that start in them) also occur in a smaller document are settled at once: their strings are all repeats.
-2. Any other string is named by its minimizer, the least hash of a GRAM in it. Equal strings have equal minimizers. Parts
-   tell which minimizers they have, once each, and learn which ones a second document has too.
-3. Runs of strings under one shared minimizer (and a second one of another order, so that no common gram gathers
-   too much) are the small documents whose suffixes are ordered, group by group: each round inserts one more symbol of every
+2. Any other string is named by two minimizers, the least hashes of a GRAM in it in two orders, so that no common gram gathers
+   too much. Equal strings have equal minimizers. Parts tell which pairs they have, once each, and learn which ones a
+   second document has too.
+3. Runs of strings under one shared pair are the small documents whose suffixes are ordered, group by group: each round inserts one more symbol of every
    run, from its end, into the collection's Burrows-Wheeler transform and updates the longest common prefixes beside the
    new suffixes. Neighbours that share LENGTH bytes or more are equal strings, and the least doc_id goes to all of them.
 4. Parts read those ids and cut their texts.
@@ -34,8 +34,8 @@ from pavilion.llm.common import NULL_ID, id_or_last, map_rows
 LENGTH, GRAM = 50, 16
 # Average bytes of a chunk is about twice CHUNK, none is shorter than CHUNK (but for a text's last).
 CHUNK = 128
-# Parts and groups a shuffle partition.
-PARTS, GROUPS = 8, 8
+# Bytes of text a part and a group stand for.
+PART_BYTES, GROUP_BYTES = 2_000_000, 4_000_000
 # Bytes whose hashes are worked out at a time, and strings of a run at most.
 BLOCK, RUN = 1 << 20, 64
 # Bytes of runs whose suffixes are ordered at a time; runs that could share a string stay together.
@@ -46,18 +46,34 @@ CHUNKS, SHARED, FIRSTS = 0, 1, 2  # kinds of what comes back to a part
 # --- strings of a text
 
 
-def gram_hashes(raw: np.ndarray, seed: int) -> np.ndarray:
+def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """64-bit hashes of the GRAM bytes at each position."""
     n = len(raw) - GRAM + 1
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     words = np.lib.stride_tricks.sliding_window_view(padded, 8)[: n + 8].copy().view("<u8").ravel()
     with np.errstate(over="ignore"):
-        mixed = words[:n] * np.uint64(0x9E3779B97F4A7C15 + 2 * seed) + words[8 : n + 8] * np.uint64(0xC2B2AE3D27D4EB4F + 4 * seed)
+        mixed = words[:n] * np.uint64(0x9E3779B97F4A7C15) + words[8 : n + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0x94D049BB133111EB)
-    return mixed ^ (mixed >> np.uint64(31))
+    mixed ^= mixed >> np.uint64(31)
+    return mixed
+
+
+class Hashed:
+    """A text with its gram hashes block by block of strings; those of a text of one block are kept."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.array = raw, np.frombuffer(raw, np.uint8)
+        self.strings = max(len(raw) - LENGTH + 1, 0)
+        self.kept = gram_hashes(self.array) if 0 < self.strings <= BLOCK else None
+
+    def __iter__(self):
+        """(first string, strings, hashes of the grams in them) of each block."""
+        for at in range(0, self.strings, BLOCK):
+            n = min(BLOCK, self.strings - at)
+            yield at, n, self.kept if self.kept is not None else gram_hashes(self.array[at : at + n + LENGTH - 1])
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,49 +86,54 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(done[: len(done) - rest], done[rest:]) if rest else done
 
 
-def minimizers(raw: np.ndarray, seed: int) -> np.ndarray:
-    """Of the string that starts at each position the least gram hash."""
-    return sliding_min(gram_hashes(raw, seed), LENGTH - GRAM + 1)
+def minimizers(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the string that starts at each position the least gram hash, in two unrelated orders."""
+    width = LENGTH - GRAM + 1
+    with np.errstate(over="ignore"):
+        other = (hashes ^ (hashes >> np.uint64(23))) * np.uint64(0xD6E8FEB86659FD93)
+    return sliding_min(hashes, width), sliding_min(other, width)
+
 
+def chunks(text: Hashed) -> list[tuple[int, int, bytes]]:
+    """(first string, end of strings, digest of the bytes that these strings cover) of each chunk with a string.
 
-def chunk_starts(raw: np.ndarray) -> list[int]:
-    """Starts of chunks, at places that the bytes there decide."""
-    starts, last = [0], 0
-    for at in range(0, max(len(raw) - GRAM + 1, 0), BLOCK):
-        hashes = gram_hashes(raw[at : at + BLOCK + GRAM - 1], 3)
-        for place in (np.flatnonzero((hashes & np.uint64(CHUNK - 1)) == 0) + at).tolist():
+    Chunks start where the bytes there say so.
+    """
+    starts, last, mark = [0], 0, np.uint64(CHUNK - 1) << np.uint64(40)
+    for at, n, hashes in text:
+        for place in (np.flatnonzero((hashes[:n] & mark) == 0) + at).tolist():
             if place - last >= CHUNK:
                 starts.append(place)
                 last = place
-    return starts
-
-
-def chunks(raw: bytes) -> list[tuple[int, int, bytes]]:
-    """(first string, end of strings, digest of the bytes that these strings cover) of each chunk with a string."""
-    strings = len(raw) - LENGTH + 1
-    starts = [s for s in chunk_starts(np.frombuffer(raw, np.uint8)) if s < strings]
-    ends = [*starts[1:], strings]
-    return [(a, b, hashlib.blake2b(raw[a : b + LENGTH - 1], digest_size=16).digest()) for a, b in zip(starts, ends)] if strings > 0 else []
-
-
-def runs(raw: np.ndarray, open_strings: list[tuple[int, int]]):
-    """(starts, ends, two minimizers) of runs of strings, within the given ranges, under the same two minimizers."""
-    out = []
-    for low, high in open_strings:
-        for a in range(low, high, BLOCK):
-            b = min(a + BLOCK, high)
-            part = raw[a : b + LENGTH - 1]
-            first, second = minimizers(part, 0), minimizers(part, 1)
-            edge = np.flatnonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1])) + 1
-            starts = np.concatenate([[0], edge])
-            ends = np.concatenate([edge, [b - a]])
-            pieces = -(-(ends - starts) // RUN)
-            of = np.repeat(np.arange(len(starts)), pieces)
-            nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            cut = starts[of] + nth * RUN
-            out.append((a + cut, a + np.minimum(cut + RUN, ends[of]), first[cut], second[cut]))
-    if not out:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+    raw, ends = text.raw, [*starts[1:], text.strings]
+    return [(a, b, hashlib.blake2b(raw[a : b + LENGTH - 1], digest_size=16).digest()) for a, b in zip(starts, ends) if a < b]
+
+
+def runs(text: Hashed, open_strings: list[tuple[int, int]]):
+    """(starts, ends, hash of both minimizers) of runs of strings, within the given ranges, under the same minimizers."""
+    out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)]
+    for at, n, hashes in text if open_strings else ():
+        # 0 outside the ranges, and inside each range a number of its own.
+        turns = np.zeros(n + 1, np.int32)
+        for i, (low, high) in enumerate(open_strings, 1):
+            if low < at + n and high > at:
+                turns[max(low - at, 0)] += i
+                turns[min(high - at, n)] -= i
+        inside = np.cumsum(turns[:n])
+        if not inside.any():
+            continue
+        first, second = minimizers(hashes)
+        edge = np.flatnonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (inside[1:] != inside[:-1])) + 1
+        starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [n]])
+        there = inside[starts] > 0
+        starts, ends = starts[there], ends[there]
+        pieces = -(-(ends - starts) // RUN)
+        of = np.repeat(np.arange(len(starts)), pieces)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        cut = starts[of] + nth * RUN
+        with np.errstate(over="ignore"):
+            both = first[cut] ^ (second[cut] * np.uint64(0x9E3779B97F4A7C15))
+        out.append((at + cut, at + np.minimum(cut + RUN, ends[of]), both >> np.uint64(1)))
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
@@ -137,25 +158,27 @@ def suffix_groups(texts: list[bytes]):
     far in order, the symbol before it; the suffixes that grow by it take their places by counting.
     """
     m = len(texts)
-    lengths = np.array([len(t) for t in texts], np.int32)
-    flat = np.frombuffer(b"".join(texts), np.uint8)
-    used = np.bincount(flat, minlength=256) > 0
-    flat = np.cumsum(used)[flat].astype(np.uint8 if used.sum() < 256 else np.uint16)
-    base = (np.cumsum(lengths) - lengths).astype(np.int64)
-    text, place = np.arange(m, dtype=np.int32), lengths.copy()
+    lengths = np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+    base = np.cumsum(lengths + 1) - lengths - 1
+    ends = base + lengths
+    used = np.zeros(256, bool)
+    used[flat] = True
+    small = used.sum() < 256
+    flat = np.cumsum(used)[flat].astype(np.uint8 if small else np.uint16)
+    flat[ends] = 0
+    flat = np.concatenate([flat, [0]]).astype(flat.dtype)  # what is before the first text, by index -1
+    place = ends.astype(np.int32)  # where each suffix starts
     common = np.zeros(m, np.uint8)  # with the suffix before, LENGTH at most
-    symbols = np.where(lengths > 0, flat[np.maximum(base + lengths - 1, 0)], 0).astype(flat.dtype)
-    new = np.arange(m)  # ranks of the suffixes inserted last
+    symbols = flat[place - 1]
+    fresh = np.ones(m, bool)  # the suffixes inserted last
     while True:
-        new = new[symbols[new] > 0]
-        if not len(new):
-            break
         order = np.argsort(symbols, kind="stable")
-        ends = int((symbols == 0).sum())
-        order = order[ends:]  # ranks whose symbol is followed by their suffix, in the order of those
-        rank = np.empty(len(symbols), np.int64)
-        rank[order] = np.arange(len(order))
-        at = np.sort(rank[new])
+        # Whole texts have no symbol before them; the others' symbols are followed by their suffixes, in this order.
+        order = order[len(symbols) - np.count_nonzero(symbols) :]
+        at = np.flatnonzero(fresh[order])
+        if not len(at):
+            break
         source = order[at]
         grown, starts = symbols[source], place[source] - 1
         before = np.where((at > 0) & (symbols[order[at - 1]] == grown), order[at - 1], -1)
@@ -163,21 +186,20 @@ def suffix_groups(texts: list[bytes]):
         after = np.where((at + 1 < len(order)) & (symbols[order[nxt]] == grown), order[nxt], -1)
         own = _least_between(common, before, source)
         follow = _least_between(common, source, after)
-        size = len(symbols) + len(new)
+        size = len(symbols) + len(at)
         # The empty suffixes stay in front; the others are ranked by what they begin with.
         target = m + at
-        old = np.ones(size, bool)
-        old[target] = False
-        text, place = _spread(text, text[source], old, target), _spread(place, starts, old, target)
-        common = _spread(common, own, old, target)
+        fresh = np.zeros(size, bool)
+        fresh[target] = True
+        old = ~fresh
+        place, common = _spread(place, starts, old, target), _spread(common, own, old, target)
         beside = target + 1 < size
         common[(target + 1)[beside]] = follow[beside]
-        fresh = np.where(starts > 0, flat[np.maximum(base[text[target]] + starts - 1, 0)], 0)
-        symbols = _spread(symbols, fresh.astype(flat.dtype), old, target)
-        new = target
+        symbols = _spread(symbols, flat[starts - 1], old, target)
     group = np.cumsum(common < LENGTH)
-    whole = lengths[text] - place >= LENGTH
-    return text[whole], place[whole], group[whole]
+    text = np.searchsorted(ends, place)
+    whole = ends[text] - place >= LENGTH
+    return text[whole], place[whole] - base[text[whole]], group[whole]
 
 
 def _spread(values, added, old, target):
@@ -210,7 +232,7 @@ def _open_ranges(found: list[tuple[int, int, bytes]], doc_id: int, settled: dict
 
 
 def _codes(values: np.ndarray, groups: int):
-    """Group of a minimizer and the 32 bits that name it there."""
+    """Group of a pair of minimizers and the 32 bits that name it there."""
     return (values % np.uint64(groups)).astype(np.int64), ((values // np.uint64(groups)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
@@ -231,15 +253,13 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _shared_runs(raw: bytes, found, doc_id, settled, shared, groups):
+def _shared_runs(text: Hashed, doc_id, settled, shared, groups):
     """(repeated ranges, [(start, end, bytes, both minimizers' hash)]) of a document's runs under shared minimizers."""
-    repeated, unsettled = _open_ranges(found, doc_id, settled)
-    array = np.frombuffer(raw, np.uint8)
-    starts, ends, first, second = runs(array, unsettled)
-    group, code = _codes(first, groups)
+    repeated, unsettled = _open_ranges(chunks(text), doc_id, settled)
+    raw = text.raw
+    starts, ends, both = runs(text, unsettled)
+    group, code = _codes(both, groups)
     kept = np.flatnonzero(_among(group << 32 | code, shared))
-    with np.errstate(over="ignore"):
-        both = ((first ^ (second * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(1)).astype(np.int64)
     return repeated, [(a, b, raw[a : b + LENGTH - 1], h) for a, b, h in zip(starts[kept].tolist(), ends[kept].tolist(), both[kept].tolist())]
 
 
@@ -285,9 +305,8 @@ SIDE = "part int, kind int, name binary, doc long, data binary"
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes left) of every row."""
-    spark = docs.sparkSession
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts, groups = PARTS * shuffles, GROUPS * shuffles
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts, groups = size // PART_BYTES + 1, size // GROUP_BYTES + 1
     part_of = F.pmod(F.xxhash64("__id"), F.lit(parts)).cast("int")
     texts = docs.select(
         id_or_last().alias("__id"), F.col("doc_id").isNull().alias("null_id"), F.coalesce("text", F.lit("")).cast("binary").alias("raw")
@@ -295,7 +314,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     # 1. Chunks that more than one document has.
     def cut_chunks():
-        return lambda doc, part, raw: (part, doc, b"".join(digest for _, _, digest in chunks(raw)))
+        return lambda doc, part, raw: (part, doc, b"".join(digest for _, _, digest in chunks(Hashed(raw))))
 
     cut = map_rows(texts.select("__id", "part", "raw"), cut_chunks, "part int, doc long, names binary")
     positions = F.sequence(F.lit(0), (F.octet_length("names") / 16).cast("int") - 1)
@@ -306,14 +325,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     settled = named.join(ends, "name").filter("doc > first").select("part", "name", F.col("first").alias("doc")).distinct()
     chunk_side = settled.select("part", F.lit(CHUNKS).alias("kind"), "name", "doc", F.lit(None).cast("binary").alias("data"))
 
-    # 2. Minimizers of the other strings that more than one document has.
+    # 2. Pairs of minimizers of the other strings that more than one document has.
     def tell(key, pdf, side):
         known = _settled(side)
         codes, ids = [], []
         for doc, raw in zip(pdf["__id"], pdf["raw"]):
-            raw = bytes(raw)
-            _, unsettled = _open_ranges(chunks(raw), doc, known)
-            first = np.unique(runs(np.frombuffer(raw, np.uint8), unsettled)[2])
+            text = Hashed(bytes(raw))
+            _, unsettled = _open_ranges(chunks(text), doc, known)
+            first = np.unique(runs(text, unsettled)[2])
             codes.append(first)
             ids.append(np.full(len(first), doc, np.int64))
         first, doc = np.concatenate([np.zeros(0, np.uint64), *codes]), np.concatenate([np.zeros(0, np.int64), *ids])
@@ -355,13 +374,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared_side = told.groupBy("group").applyInPandas(answer, SIDE)
     side = chunk_side.union(shared_side)
 
-    # 3. Runs of strings under shared minimizers, each once a part, and the order of their suffixes.
+    # 3. Runs of strings under shared pairs, each once a part, and the order of their suffixes.
     def send(key, pdf, side):
         known, shared = _settled(side), _shared(side)
         ids: dict[bytes, list] = {}
         for doc, raw in zip(pdf["__id"], pdf["raw"]):
-            raw = bytes(raw)
-            for _, _, run, both in _shared_runs(raw, chunks(raw), doc, known, shared, groups)[1]:
+            for _, _, run, both in _shared_runs(Hashed(bytes(raw)), doc, known, shared, groups)[1]:
                 low, high, _ = ids.get(run, (doc, doc, both))
                 ids[run] = (min(low, doc), max(high, doc), both)
         return pd.DataFrame(
@@ -379,15 +397,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         edge = np.flatnonzero(np.r_[True, both[1:] != both[:-1], True])
         # Runs of one document alone share nothing with another.
         least, most = np.minimum.reduceat(low, edge[:-1]), np.maximum.reduceat(high, edge[:-1])
-        rows, batch, size = [], [], 0
-        for a, b in zip(edge[:-1][least < most].tolist(), edge[1:][least < most].tolist()):
+        part, rows, batch, size = pdf["part"].to_numpy(), [], [], 0
+        for a, b, smallest in zip(*(x[least < most].tolist() for x in (edge[:-1], edge[1:], least))):
+            if all(run == runs_[a] for run in runs_[a + 1 : b]):
+                # One run in several documents: all its strings are the smallest one's.
+                name, data = _name(bytes(runs_[a])), np.full(len(runs_[a]) - LENGTH + 1, smallest, np.int64).tobytes()
+                rows += [(part[i], FIRSTS, name, None, data) for i in range(a, b) if smallest < high[i]]
+                continue
             batch += range(a, b)
             size += sum(len(r) for r in runs_[a:b])
             if size > ORDERED:
-                rows += _firsts(pdf["part"].to_numpy(), runs_, low, high, batch)
+                rows += _firsts(part, runs_, low, high, batch)
                 batch, size = [], 0
         if batch:
-            rows += _firsts(pdf["part"].to_numpy(), runs_, low, high, batch)
+            rows += _firsts(part, runs_, low, high, batch)
         return pd.DataFrame(rows, columns=["part", "kind", "name", "doc", "data"])
 
     firsts_side = sent.groupBy("group").applyInPandas(order_suffixes, SIDE)
@@ -399,7 +422,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         rows = []
         for doc, null_id, raw in zip(pdf["__id"], pdf["null_id"], pdf["raw"]):
             raw = bytes(raw)
-            covered, found = _shared_runs(raw, chunks(raw), doc, known, shared, groups)
+            covered, found = _shared_runs(Hashed(raw), doc, known, shared, groups)
             for start, _, run, _ in found:
                 first = firsts.get(_name(run))
                 if first is not None:

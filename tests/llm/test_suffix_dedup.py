@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pavilion.llm import suffix_dedup
 
 
@@ -38,6 +39,12 @@ def test_suffix_groups():
         assert len(set(seen.values())) == len(seen)
 
 
+@pytest.fixture(autouse=True)
+def several_parts(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 30_000)
+
+
 def test_small_cases(spark):
     rng = random.Random(9)
     passage = "".join(rng.choice("abc de") for _ in range(300))
@@ -64,6 +71,8 @@ def test_blocks_of_a_long_text(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 70)
     rng = random.Random(4)
     raw = bytes(rng.choice(b"abcd") for _ in range(900))
-    starts, ends, first, _ = suffix_dedup.runs(np.frombuffer(raw, np.uint8), [(0, 851)])
-    whole = suffix_dedup.minimizers(np.frombuffer(raw, np.uint8), 0)
-    assert [v for s, e, f in zip(starts, ends, first) for v in [f] * (e - s)] == whole.tolist()
+    starts, ends, both = suffix_dedup.runs(suffix_dedup.Hashed(raw), [(0, 300), (310, 851)])
+    first, second = suffix_dedup.minimizers(suffix_dedup.gram_hashes(np.frombuffer(raw, np.uint8)))
+    whole = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(1)
+    assert [v for s, e, f in zip(starts, ends, both) for v in [f] * (e - s)] == np.r_[whole[:300], whole[310:]].tolist()
+    assert all(e <= 300 or s >= 310 for s, e in zip(starts, ends))
