@@ -100,7 +100,8 @@ def candidates(index: DataFrame, texts_of) -> tuple[DataFrame, DataFrame]:
     """
     rows = _grouped(index.select("lid", F.explode("entries").alias("entry")), "entries")
     texts = materialize(texts_of(rows.select("lid").distinct()), "texts")
-    found = [_pairs(rows)]
+    # Written level by level, so that the plan of the pairs stays a scan however many levels there are.
+    found = [materialize(_pairs(rows), "pairs")]
     hot = rows.filter(F.col("size") > SMALL).select("entry", "lid")
     rests = texts.select("lid", F.explode_outer(_entries(F.col("form"), F.lit(0).cast("long"))).alias("e")).select("lid", "e.*")
     rests = rests.join(hot, ["entry", "lid"])
@@ -110,9 +111,8 @@ def candidates(index: DataFrame, texts_of) -> tuple[DataFrame, DataFrame]:
             break
         split = level.select("lid", F.explode_outer(_entries(F.col("rest"), F.col("entry"))).alias("e")).select("lid", "e.*")
         rows = _grouped(split.distinct(), "entries")
-        found.append(_pairs(rows))
         large = rows.filter(F.col("size") > SMALL)
-        found.append(_ends(large.filter("width = 0")))
+        found.append(materialize(_pairs(rows).union(_ends(large.filter("width = 0"))), "pairs"))
         rests = large.filter("width > 0").select("lid", "entry", "width", "rest")
     pairs = found[0]
     for more in found[1:]:
