@@ -7,7 +7,7 @@ a parent's own children pass the threshold. Nodes whose tag or class says menu,
 are taken out before, so that they neither weigh nor show.
 
 Defined cases: a null or empty html, or one without text, gives an empty text; broken markup (open tags, no
-body, stray ends) is read as far as it goes; rows repeat as they come; no page is cut.
+body, stray ends) is read as far as it goes, and what is left out ends where an open tag's end is implied; rows repeat as they come; no page is cut.
 """
 
 from __future__ import annotations
@@ -45,6 +45,12 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"thead", "tbody"}, "thead": {"tbody"}, "tfoot": {"tbody"},
 }
+# Open tags that end a paragraph in a part that is left out, and tags that a head may hold; any other ends it.
+ENDS_PARAGRAPH = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
+    "h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
+) | CLOSES.keys()
+IN_HEAD = frozenset("base basefont bgsound head html link meta".split()) | RAW
 TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<other>[!?])[^>]*>?|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
     r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -86,6 +92,8 @@ def parse(page: str) -> Node:
     while position < end:
         found = TOKEN.search(page, position)
         start = found.start() if found else end
+        if skipped == ["head"] and page[position:start].strip():
+            skipped.clear()
         if start > position and not skipped:
             at.parts.append(html.unescape(page[position:start]))
         if not found:
@@ -100,9 +108,12 @@ def parse(page: str) -> Node:
                 if tag in skipped:
                     while skipped and skipped.pop() != tag:
                         pass
-                elif tag in ("body", "html"):
-                    skipped.clear()
-                continue
+                    continue
+                if tag in INLINE and any(t not in INLINE for t in skipped):
+                    continue
+                if tag not in ("body", "html") and tag not in _open_tags(at, root):
+                    continue
+                skipped.clear()  # the end of what holds the part that is left out
             node = at
             while node is not root and node.tag != tag:
                 node = node.parent
@@ -118,6 +129,8 @@ def parse(page: str) -> Node:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, position)
             position = close.end() if close else end
             continue
+        if skipped:
+            _end_implied(skipped, at, tag)
         if skipped:
             if not closed:
                 skipped.append(tag)
@@ -141,6 +154,27 @@ def _open_tags(at: Node, until: Node):
         at = at.parent
 
 
+def _end_implied(skipped: list[str], at: Node, tag: str) -> None:
+    """Take what an opening tag ends from the open tags of a part that is left out; none is left where the part itself ends."""
+    if tag == "body" and "head" in skipped or skipped == ["head"] and tag not in IN_HEAD:
+        skipped.clear()
+    ends = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_PARAGRAPH else set())
+    while skipped and ends:
+        open_inline = 0
+        while open_inline < len(skipped) and skipped[-1 - open_inline] in INLINE:
+            open_inline += 1
+        if open_inline == len(skipped):
+            # Inline tags alone: they end with the paragraph or item around them.
+            while at.tag in INLINE:
+                at = at.parent
+            if at.tag in ends:
+                skipped.clear()
+            return
+        if skipped[-1 - open_inline] not in ends:
+            return
+        del skipped[-1 - open_inline :]
+
+
 def _close_paragraph(at: Node, tag: str) -> Node:
     """A block ends an open paragraph with the inline tags in it, an item the item before it."""
     if tag in INLINE:
