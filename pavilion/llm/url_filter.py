@@ -25,7 +25,7 @@ PATTERN_RULES = (
     (r"^[a-z]+://([^/?#]*\.)?adult\.", ("adult",), "block"),
     (r"[?&]utm_medium=(cpc|banner|popup)(&|#|$)", ("utm", "medium"), "block"),
     (r"\.exe([?#]|$)", ("exe",), "block"),
-    (r"/(wp-login|xmlrpc)\.php", ("php",), "block"),
+    (r"/(wp-login|xmlrpc)\.php", (), "block"),  # also fits .php5, so no token is in every match
 )
 # Key of rules without a literal token of their own: such rules are tried on every URL.
 ANY = ""

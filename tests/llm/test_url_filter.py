@@ -51,3 +51,10 @@ def test_allow_goes_first_and_any_token_rules_run(spark):
     got = {r.page_id: (r.verdict, r.pattern) for r in url_filter.judge(pages, (), rules).collect()}
     assert got == {1: ("allow", "track.*/ok"), 2: ("block", "track"), 3: ("allow", None)}
     assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_longer_tokens(spark):
+    urls = ["http://a.com/wp-login.php5", "http://a.com/xmlrpc.php7?x", "http://a.com/wp-login.php", "http://a.com/login.php5"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages).collect()}
+    assert got == {0: "block", 1: "block", 2: "block", 3: "allow"}
