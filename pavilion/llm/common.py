@@ -24,6 +24,22 @@ def id_or_last(doc_id="doc_id"):
     return F.coalesce(F.col(doc_id), F.lit(NULL_ID))
 
 
+class Remembered(dict):
+    """make(key) of every key asked for. The last bound keys and those asked again since the bound before them are kept."""
+
+    def __init__(self, make, bound: int):
+        super().__init__()
+        self.make, self.bound, self.older = make, bound, {}
+
+    def __missing__(self, key):
+        value = self.older[key] if key in self.older else self.make(key)
+        if len(self) >= self.bound:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def map_rows(df: DataFrame, row, schema: str) -> DataFrame:
     """Each row's tuple of values to a tuple of the schema's, batch by batch; no state outlives a task.
 
