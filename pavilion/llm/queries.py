@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter
 from pavilion.llm.common import table
 
 
@@ -52,10 +52,14 @@ def op10_quality_classifier(spark, sf):
     return quality_fm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op13_sentence_pieces(spark, sf):
+    return sentence_pieces.digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries():
     own = (
         op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op5_suffix_dedup, op6_quality_rules, op7_sharding, op8_html_text,
-        op9_decontamination, op10_quality_classifier,
+        op9_decontamination, op10_quality_classifier, op13_sentence_pieces,
     )
     return {query.__name__: query for query in own}
 

@@ -10,8 +10,8 @@ Two tokens may stand beside each other if merging their characters never joins a
 found by running both tokens' own merges against each other, the best score first, the leftmost of equal ones.
 
 A text is cut before each run of space marks (if no piece has a mark behind another character, as is tested on the model) and
-around characters that occur in no longer piece: no piece spans such a cut, so the parts are encoded apart, and a part that comes
-again is remembered.
+between characters that no piece has side by side: no piece spans such a cut, so the parts are encoded apart, and a part that
+comes again is remembered.
 
 Defined cases: a null text counts as empty and has no ids, as an empty one; rows repeat as they come; other columns are not
 read. Models that are not BPE with byte fallback, or normalise more than spaces, are refused.
@@ -33,7 +33,7 @@ UNKNOWN_SURFACE = " ⁇ "
 NORMAL, UNKNOWN, CONTROL, BYTE, BPE = 1, 2, 3, 6, 2  # fixed values of the model format
 NEVER = float("-inf")
 # Parts, and pairs of tokens, that a task remembers; longer parts are encoded anew.
-PARTS, PAIRS, LONGEST_PART = 150_000, 400_000, 48
+PARTS, PAIRS, LONGEST_PART = 400_000, 400_000, 48
 
 
 def _fields(raw: bytes):
@@ -89,6 +89,46 @@ class Model:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
 
 
+def cuts(longer: list[str]) -> re.Pattern:
+    """The parts of a text that no piece of more than one character goes beyond.
+
+    Characters that stand side by side in a piece are of one kind, and so are those that they lead to. A part is a run of
+    characters of one kind with the marks before it; characters in no longer piece are parts of their own.
+    """
+    if any(MARK in p.lstrip(MARK) for p in longer):
+        return re.compile("(?s).+")
+    kind: dict[str, str] = {}
+
+    def of(c):
+        while kind.setdefault(c, c) != c:
+            kind[c] = c = kind[kind[c]]
+        return c
+
+    for piece in longer:
+        rest = piece.lstrip(MARK)
+        for a, b in zip(rest, rest[1:]):
+            kind[of(a)] = of(b)
+    runs: dict[str, list] = {}
+    for c in sorted(kind):
+        runs.setdefault(of(c), []).append(re.escape(c))
+    either = "|".join(f"[{''.join(run)}]+" for run in sorted(runs.values(), key=len, reverse=True))
+    return re.compile(f"(?s){MARK}*(?:{either}|[^{MARK}])|{MARK}+" if either else f"(?s){MARK}*[^{MARK}]|{MARK}+")
+
+
+class Fits(dict):
+    """Whether a token may stand behind a given one, for each that was asked about."""
+
+    def __init__(self, token: str, encoder: "Encoder"):
+        super().__init__()
+        self.token, self.encoder = token, encoder
+
+    def __missing__(self, before: str) -> bool:
+        fits = self.encoder.beside(before, self.token)
+        self.encoder.remember(self)
+        self[before] = fits
+        return fits
+
+
 class Encoder:
     def __init__(self, model: Model):
         import ahocorasick
@@ -96,18 +136,14 @@ class Encoder:
         self.model = model
         self.automaton = ahocorasick.Automaton()
         for piece in model.ids:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (piece, len(piece) - 1, Fits(piece, self)))
         self.automaton.make_automaton()
         self.traces: dict[str, list | None] = {}
-        self.beside = Remembered(lambda pair: self._beside(*pair), PAIRS)
+        self.asked: list[Fits] = []
         self.parts = Remembered(self.encode_part, PARTS)
-        longer = [p for p in model.ids if len(p) > 1]
-        inside = {c for p in longer for c in p}
-        alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in inside))
-        if any(MARK in p.lstrip(MARK) for p in longer):
-            self.cut = re.compile(r"(?s).+")
-        else:
-            self.cut = re.compile(f"(?s){MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else ""))
+        self.spelt = Remembered(self.spell, len(model.pieces))
+        self.cut = cuts([p for p in model.ids if len(p) > 1])
 
     def trace(self, token: str):
         """The merges that make a token of its characters: (score, first symbol, last symbol after it), or None if they end elsewhere."""
@@ -121,14 +157,21 @@ class Encoder:
                 at = found.index(best)
                 symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
                 steps.append((best, symbols[0], symbols[-1]))
-            self.traces[token] = steps if len(symbols) == 1 else None
+            self.traces[token] = steps if len(symbols) <= 1 else None
         return self.traces[token]
 
-    def _beside(self, left: str, right: str) -> bool:
-        """Whether merging left + right ends with these two tokens."""
+    def remember(self, fits: Fits) -> None:
+        if len(self.asked) >= PAIRS:
+            for known in self.asked:
+                known.clear()
+            self.asked.clear()
+        self.asked.append(fits)
+
+    def beside(self, left: str, right: str) -> bool:
+        """Whether merging left + right ends with these two tokens; with nothing on the left, whether right is a token at all."""
         a, b, scores = self.trace(left), self.trace(right), self.model.scores
-        if a is None or b is None:
-            return False
+        if a is None or b is None or not left:
+            return a is not None and b is not None
         i = j = 0
         end, start = left[-1], right[0]
         while True:
@@ -148,35 +191,27 @@ class Encoder:
 
     def prefix_table(self, text: str) -> list:
         """The last token of the encoding of text[:i], for every i from 1 on."""
-        last: list = [None] * (len(text) + 1)
-        beside, at = self.beside, 0
-        for stop, token in self.automaton.iter(text):
-            while at < stop:  # no piece ends there, or none that fits: a character of its own
-                at += 1
-                if last[at] is None:
-                    last[at] = text[at - 1]
-            stop += 1
-            if last[stop] is None:
-                start = stop - len(token)
-                if beside[last[start], token] if start else self.trace(token) is not None:
-                    last[stop] = token
-        for at in range(at + 1, len(text) + 1):
-            if last[at] is None:
-                last[at] = text[at - 1]
+        # One character, unless a longer piece ends there that fits.
+        last = ["", *text]
+        for stop, (token, before, fits) in self.automaton.iter(text):
+            if fits[last[stop - before]]:
+                last[stop + 1] = token
         return last
 
     def encode_part(self, text: str) -> bytes:
         """Ids of a part as the bytes of an int array."""
-        last, at, ids, out = self.prefix_table(text), len(text), self.model.ids, []
+        last, at, spelt, ids = self.prefix_table(text), len(text), self.spelt, []
         while at:
             token = last[at]
+            ids.append(spelt[token])
             at -= len(token)
-            one = ids.get(token)
-            if one is not None:
-                out.append(one)
-            else:
-                out += [self.model.bytes[b] for b in reversed(token.encode())]
-        return array("i", reversed(out)).tobytes()
+        ids.reverse()
+        return b"".join(ids)
+
+    def spell(self, token: str) -> bytes:
+        """A token's own id, or those of its bytes."""
+        one = self.model.ids.get(token)
+        return array("i", [self.model.bytes[b] for b in token.encode()] if one is None else [one]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
