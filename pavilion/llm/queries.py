@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, importance, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter
 from pavilion.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op10_quality_classifier(spark, sf):
     return quality_fm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_importance_resampling(spark, sf):
+    rows = importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_sentence_pieces(spark, sf):
     return sentence_pieces.digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -59,7 +64,8 @@ def op13_sentence_pieces(spark, sf):
 def queries():
     own = (
         op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op5_suffix_dedup, op6_quality_rules, op7_sharding, op8_html_text,
-        op9_decontamination, op10_quality_classifier, op13_sentence_pieces,
+        op9_decontamination, op10_quality_classifier, op12_importance_resampling,
+        op13_sentence_pieces,
     )
     return {query.__name__: query for query in own}
 
@@ -150,5 +156,45 @@ WINDOWS = f"""
     from docs left join covered using (doc_id) left join named using (doc_id)"""
 
 
+# crc32 byte by byte, over a table of the 256 remainders; once for each distinct word.
+RESAMPLED = f"""
+    with docs as (select doc_id, {WORDS} as w from documents),
+    remainders as (
+        select list(r order by b) as t from (
+            select b, list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, b) as r
+            from range(256) x(b))),
+    words as (select distinct unnest(w) as word from docs union select distinct unnest({WORDS}) from benchmark),
+    spelt as (select word, hex(encode(word)) as h from words),
+    hashed as (
+        select word, xor(4294967295, list_reduce(
+            list_transform(range(len(h) // 2), lambda i: cast('0x' || substr(h, 2 * i + 1, 2) as bigint)),
+            lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]), 4294967295)) % {importance.BUCKETS} as bucket
+        from spelt, remainders),
+    found as (select doc_id, bucket from (select doc_id, unnest(w) as word from docs) join hashed using (word)),
+    asked as (select bucket from (select unnest({WORDS}) as word from benchmark) join hashed using (word)),
+    sums as (select (select count(*) from found) as s_all, (select count(*) from asked) as t_all),
+    gains as (
+        select bucket, cast(floor({importance.SCALE} * ln((coalesce(t, 0) + 1.0::double) * (s_all + {importance.BUCKETS})::double
+            / ((s + 1.0::double) * (t_all + {importance.BUCKETS})::double))) as bigint) as gain
+        from (select bucket, count(*) as s from found group by bucket)
+        left join (select bucket, count(*) as t from asked group by bucket) using (bucket), sums),
+    summed as (select doc_id, count(*) as n, sum(gain) as total from found join gains using (bucket) group by doc_id),
+    scored as (
+        select doc_id, len(w) as n_features,
+            case when n > 0 then (total - ((total % n) + n) % n) // n else 0 end as weight,
+            cast('0x' || substr(sha256('{importance.SEED}:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) as h
+        from docs left join summed using (doc_id)),
+    noised as (
+        select doc_id, n_features, weight,
+            weight + cast(floor(-{importance.SCALE} * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score
+        from scored),
+    ranked as (
+        select doc_id, row_number() over (order by score desc, doc_id) as place, {importance.PERCENT} * count(*) over () // 100 as drawn
+        from noised where n_features >= {importance.MIN_WORDS})
+    select doc_id, cast(n_features as bigint) as n_features, cast(weight as bigint) as weight, cast(score as bigint) as score,
+        case when place <= drawn then place end as rank
+    from noised left join ranked using (doc_id)"""
+
+
 def oracle_sql():
-    return {"op2_line_dedup": LINES, "op3_url_filter": url_filter_sql(), "op9_decontamination": WINDOWS}
+    return {"op12_importance_resampling": RESAMPLED, "op2_line_dedup": LINES, "op3_url_filter": url_filter_sql(), "op9_decontamination": WINDOWS}
