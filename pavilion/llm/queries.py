@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pavilion.llm import bpe, decontaminate, html_text, importance, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, importance, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter, whitening
 from pavilion.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_quality_classifier(spark, sf):
     return quality_fm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 def op12_importance_resampling(spark, sf):
     rows = importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
@@ -64,8 +68,7 @@ def op13_sentence_pieces(spark, sf):
 def queries():
     own = (
         op1_simhash, op2_line_dedup, op3_url_filter, op4_byte_bpe, op5_suffix_dedup, op6_quality_rules, op7_sharding, op8_html_text,
-        op9_decontamination, op10_quality_classifier, op12_importance_resampling,
-        op13_sentence_pieces,
+        op9_decontamination, op10_quality_classifier, op11_whitening, op12_importance_resampling, op13_sentence_pieces,
     )
     return {query.__name__: query for query in own}
 
