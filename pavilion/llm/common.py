@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -59,7 +60,7 @@ def map_rows(df: DataFrame, row, schema: str) -> DataFrame:
                 for values in zip(*columns):
                     made = one(*values)
                     out.append(made)
-                    size += sum(len(v) for v in made if isinstance(v, (str, bytes, list)))
+                    size += sum(v.nbytes if isinstance(v, np.ndarray) else len(v) for v in made if isinstance(v, (str, bytes, list, np.ndarray)))
                     if size > FLUSH_BYTES:
                         yield _batch(out, target)
                         out, size = [], 0

@@ -20,10 +20,12 @@ read. Models that are not BPE with byte fallback, or normalise more than spaces,
 from __future__ import annotations
 
 import codecs
+import gc
 import re
 import struct
 from array import array
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm.common import Remembered, map_rows
@@ -33,7 +35,7 @@ UNKNOWN_SURFACE = " ⁇ "
 NORMAL, UNKNOWN, CONTROL, BYTE, BPE = 1, 2, 3, 6, 2  # fixed values of the model format
 NEVER = float("-inf")
 # Parts, and pairs of tokens, that a task remembers; longer parts are encoded anew.
-PARTS, PAIRS, LONGEST_PART = 400_000, 400_000, 48
+PARTS, PAIRS, LONGEST_PART = 250_000, 400_000, 48
 
 
 def _fields(raw: bytes):
@@ -249,12 +251,13 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def factory():
+        gc.collect()  # an encoder holds itself, and this worker may have one of an earlier task
         read = Model(model.value)
         encoder, decoder = Encoder(read), Decoder(read)
 
         def row(doc_id, text):
-            ids = array("i", encoder.encode(text or "")).tolist()
-            return doc_id, len(ids), ids, decoder.decode(ids)
+            ids = np.frombuffer(encoder.encode(text or ""), np.int32)
+            return doc_id, len(ids), ids, decoder.decode(ids.tolist())
 
         return row
 
