@@ -19,8 +19,10 @@ from pavilion.plans import joblog, reports, scorecard, star as star_plan  # noqa
 from pavilion.plans.measures import DELIVERY_MEASURES, SQUAD_MEASURES, evaluate  # noqa: E402
 from pavilion.plans.selectors import SELECTORS  # noqa: E402
 from pavilion.session import shared_dir  # noqa: E402
-from pavilion.sources.match_json import file_key, split_documents, stage  # noqa: E402
-from pavilion.sources.sample_star import document_star, documents, sample_jobs, sample_star, table  # noqa: E402
+from pavilion.sources.match_json import (  # noqa: E402
+    file_key, list_files, new_files, problems, read_files, read_matches, split_documents, stage,
+)
+from pavilion.sources.sample_star import document_folder, document_star, documents, sample_jobs, sample_star, table  # noqa: E402
 
 OPTIONAL = {"corpus_pipeline", "pavilion.llm", "pavilion.llm.queries"}
 
@@ -190,11 +192,26 @@ def file_keys(spark, sf):
 
 
 def compacted_table(spark, sf):
-    schema = scratch_schema(spark)
-    tables.replace_table(sample_star(spark, sf).deliveries, f"{schema}.t_fact_deliveries")
-    tables.maintain(spark, f"{schema}:t_fact_deliveries")
-    rows = spark.table(f"{schema}.t_fact_deliveries")
-    return rows.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_runs").alias("runs"))
+    """A fact stored in files of the session's advisory size, and read back."""
+    name = f"{scratch_schema(spark)}.t_fact_deliveries"
+    tables.replace_table(tables.evenly(sample_star(spark, sf).deliveries), name)
+    return spark.table(name).groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_runs").alias("runs"))
+
+
+def match_files(spark, sf):
+    """Match files read back as staging rows, and the files in their folder that are none."""
+    folder = document_folder(spark, sf)
+    read = read_matches(spark, folder).drop("file_bytes", "file_time", "last_update_ts")
+    refused = problems(read_files(spark, folder)).select("file_name", "problem")
+    return read.unionByName(refused, allowMissingColumns=True)
+
+
+def gate_files(spark, sf):
+    """The names that a load has to read, where files of even numbers are staged in the version that the folder has."""
+    folder, name = document_folder(spark, sf), f"{scratch_schema(spark)}.t_match_document"
+    staged = read_matches(spark, folder).filter("match_id % 2 = 0")
+    tables.replace_table(staged, name)
+    return new_files(list_files(spark, folder), spark.table(name)).select("file_name")
 
 
 def squad_explode(spark, sf):
@@ -214,7 +231,7 @@ def document_matches(staging, star):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the player table."""
-    return reports.player_stats(sample_star(spark, "/root/testdata/sf0.001"))
+    return reports.player_stats(sample_star(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001")))
 
 
 def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -279,6 +296,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duration_by_category": of_jobs(joblog.duration_by_category, timed=True),
         "job_cards": of_jobs(joblog.job_cards, timed=True),
         "staged_matches": of_documents(lambda staging, star: staging.select("match_id", "file_name")),
+        "compacted_table": compacted_table,
+        "match_files": match_files,
+        "gate_files": gate_files,
         "squad_explode": squad_explode,
         "first_team_case": of_documents(first_team_case),
         "dim_player": of_documents(lambda staging, star: star.players),
@@ -295,7 +315,6 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "new_matches": new_matches,
         "digits_cleanup": digits_cleanup,
         "file_keys": file_keys,
-        "compacted_table": compacted_table,
     }
 
 

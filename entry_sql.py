@@ -327,6 +327,37 @@ named_teams as (select row_number() over (order by team) as tid, team_id, team f
                 where team_id in (select team_id from team_players)),
 parts as (select distinct match_id, match_id as doc_id from deliveries)"""
 
+# The match documents as JSON texts. A member without a value is left out.
+FILES = """
+balls as (
+  select match_id, innings, overs, balls, '{"batter":"Player_' || batter_id || '","bowler":"Player_' || bowler_id
+    || '","non_striker":"Player_' || non_striker_id || '","runs":{"batter":' || batter_runs || ',"total":' || total_runs || '},"extras":{'
+    || concat_ws(',', '"byes":' || byes, '"legbyes":' || leg_byes, '"noballs":' || no_balls, '"wides":' || wides) || '}'
+    || coalesce(',"wickets":[{"kind":"' || wicket_kind || '","player_out":"Player_' || player_out_id || '"'
+      || coalesce(',"fielders":[{"name":"Player_' || fielder_id || '"}]', '') || '}]', '') || '}' as ball
+  from deliveries),
+over_texts as (
+  select match_id, innings, overs, '{"deliveries":[' || string_agg(ball, ',' order by balls) || ']}' as text from balls group by all),
+innings_texts as (
+  select match_id, o.innings, '{"team":"Team_' || any_value(batting_team_id) || '","overs":[' || any_value(texts) || ']}' as text
+  from (select match_id, innings, string_agg(text, ',' order by overs) as texts from over_texts group by all) o
+  join deliveries using (match_id, innings) group by match_id, o.innings),
+all_innings as (select match_id, '[' || string_agg(text, ',' order by innings) || ']' as innings from innings_texts group by match_id),
+infos as (
+  select match_id, '{"dates":["' || strftime(match_date, '%Y-%m-%d') || '"],"gender":"' || if(match_id % 4 = 1, 'female', 'male')
+    || '","season":"' || season || '","event":{"name":"' || event_name || '",' || if(match_id % 6 = 2, '"group":"Group ' || match_id % 2 || '",', '')
+    || '"match_number":' || match_id % 100 || '},' || if(match_id % 5 = 3, '', '"city":"City_' || match_id % 11 || '",')
+    || '"venue":"' || venue || '","team_type":"' || if(match_id % 3 = 0, 'club', 'international') || '","match_type":"' || match_type
+    || '","officials":{"umpires":["U1","U_' || season || '"]},"outcome":{'
+    || concat_ws(',', case when match_result is null then '"winner":"Team_' || match_winner_id || '"' end, '"result":"' || match_result || '"',
+      case when match_result = 'tie' then '"eliminator":"Team_' || match_winner_id || '"' end, '"method":"' || match_result_method || '"',
+      '"by":{' || concat_ws(',', '"runs":' || match_won_by_runs, '"wickets":' || match_won_by_wickets, '"innings":' || match_won_by_innings) || '}')
+    || '},"toss":{"winner":"Team_' || toss_winner_id || '","decision":"' || toss_decision || '"}'
+    || coalesce(',"player_of_match":["Player_' || player_of_match_id || '"]', '') || ',"players":{'
+    || (select string_agg('"Team_' || team || '":[' || (select string_agg('"Player_' || (team * 11 + i) || '"', ',' order by i) from range(11) p(i)) || ']', ',' order by pos)
+        from (select first_bat_id as team, 1 as pos union all select first_field_id, 2)) || '}}' as info
+  from matches)"""
+
 SQL = {
     "player_stats": PLAYER_STATS,
     "team_stats": f"""{STAR}, {_squad_measures(["team_id"])}
@@ -480,6 +511,15 @@ SQL = {
               case when count(distinct status) = 1 then max(status) end as st, cast(sum(sec) filter (job_category <> 'Orchestrator') as bigint) as own from jobs)
       select {_elapsed_measure("rs")} as overall_duration, nullif(n, 0) as overall_jobs, st as current_status, own as own_duration_sec from s""",
     "staged_matches": f"{DOCS} select doc_id as match_id, doc_id || '.json' as file_name from parts",
+    "compacted_table": f"{STAR} select match_id, count(*) as n, cast(sum(total_runs) as bigint) as runs from deliveries group by all",
+    "match_files": f"""{STAR}, {FILES}
+      select match_id, match_id || '.json' as file_name, info as match_info, innings as match_innings, null as problem
+      from infos join all_innings using (match_id)
+      union all select null, '900001.json', null, null, 'not a JSON object' union all select null, '900002.json', null, null, 'no innings'
+      union all select null, 'notes.json', null, null, 'no number in the name'""",
+    "gate_files": f"""{STAR}
+      select match_id || '.json' as file_name from matches where match_id % 2 = 1
+      union all select unnest(['900001.json', '900002.json', 'notes.json'])""",
     "squad_explode": f"""{DOCS}
       select doc_id as match_id, team, player_name from team_players join parts using (match_id) join teams using (team_id)
         join players using (player_id)""",
@@ -546,7 +586,6 @@ SQL = {
           when o_orderstatus = 'P' then o_orderpriority || '.json' else o_orderkey || '.json' end as file_name from orders)
       select file_name, case when file_name like 'wi\\_%' escape '\\' then -1 else 1 end
         * try_cast(nullif(regexp_extract(file_name, '[0-9]+'), '') as bigint) as match_id from f""",
-    "compacted_table": f"{STAR} select match_id, count(*) as n, cast(sum(total_runs) as bigint) as runs from deliveries group by all",
 }
 
 # Balls with attributes of their match, and the two sides of team 3.

@@ -1,13 +1,11 @@
-"""Tables by name: read, replace, append, merge, gate, compact.
+"""Tables by name: read, replace, append, merge, gate.
 
 A table is an external catalog table over a versioned folder. Replacing it writes a new
 folder and then points the table to it, so readers see the old rows or the new ones, and a
 job that reads a table may replace it.
 """
 
-import math
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -56,6 +54,11 @@ def _add_missing_columns(df: DataFrame, name: str) -> None:
         df.sparkSession.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """Rows dealt out so that a write makes files of the session's advisory partition size."""
+    return df.hint("rebalance")
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Creates or replaces a table; new columns are added, columns df lacks read as null."""
     spark = df.sparkSession
@@ -158,30 +161,3 @@ def require_new_data(spark: SparkSession, name: str, offered: DataFrame) -> int:
     if not gate["has_new"]:
         raise NoNewData()
     return gate["delta"]
-
-
-def compact_table(spark: SparkSession, name: str, target_bytes=256 * 1024 * 1024) -> int:
-    """Rewrites a table into files of about target_bytes. Files are packed, not shuffled."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_location(spark, name))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = max(1, math.ceil(fs.getContentSummary(path).getLength() / target_bytes))
-    replace_table(spark.table(name).coalesce(files), name)
-    return files
-
-
-def maintenance_tasks(spark: SparkSession, spec: str = None) -> list:
-    """(schema, table) pairs of "S1:T1,T2|S2"; nothing or "All" means every table."""
-    if not spec or spec == "All":
-        chosen = [(schema, None) for schema in list_schemas(spark)]
-    else:
-        parts = [part.partition(":") for part in spec.split("|")]
-        chosen = [(s.strip(), [t.strip() for t in ts.split(",")] if colon else None) for s, colon, ts in parts]
-    return [(s, t) for s, ts in chosen for t in (list_tables(spark, s) if ts is None else ts)]
-
-
-def maintain(spark: SparkSession, spec: str = None, parallelism=4) -> list:
-    """Compacts the planned tables, a few at a time; the first error is raised."""
-    tasks = maintenance_tasks(spark, spec)
-    with ThreadPoolExecutor(parallelism) as pool:
-        list(pool.map(lambda task: compact_table(spark, f"{task[0]}.{task[1]}"), tasks))
-    return tasks

@@ -5,11 +5,13 @@ make a match, odd and even line numbers its two innings. Built once per session
 then read from files, as reports read stored tables.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pavilion.operators.ordinals import row_numbers
 from pavilion.plans.star import SQUAD_MATCH_COLUMNS, Star, build_star, date_dim, with_extras
-from pavilion.session import materialize
+from pavilion.session import materialize, shared_dir
 from pavilion.sources.match_json import stage
 
 TEAMS, SQUAD = 8, 11
@@ -257,6 +259,35 @@ def documents(star: Star) -> DataFrame:
     )
 
 
+# Files beside the sample's that are no match documents.
+ODD_FILES = {"900001.json": '{"info": {"season": "1995"}, "innings": [', "900002.json": '{"info": {}}', "notes.json": '{"info": {}, "innings": []}'}
+
+
+def write_files(texts: DataFrame, folder: str) -> None:
+    """A file per row of (file_name, content). Spark writes them, each into a folder of its name; then they get that name."""
+    spark = texts.sparkSession
+    texts.repartition("file_name").write.partitionBy("file_name").text(f"{folder}-parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for part in fs.globStatus(path(f"{folder}-parts/file_name=*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), path(f"{folder}/{name}"))
+
+
+def document_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of the sample's match documents, over several lines each, and of files that are none."""
+    def build():
+        folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/files-{uuid.uuid4().hex[:12]}"
+        parts = documents(sample_star(spark, sf_dir))
+        content = F.concat(F.lit('{\n "info": '), "info", F.lit(',\n "innings": '), "innings", F.lit("\n}"))
+        odd = spark.createDataFrame(list(ODD_FILES.items()), "file_name string, content string")
+        write_files(parts.select("file_name", content.alias("content")).union(odd), folder)
+        return folder
+
+    return _once(spark, sf_dir, "files", build)
+
+
 def document_star(spark: SparkSession, sf_dir: str):
     """(staging, star) with the star built from the JSON documents rather than from line items."""
     def build():

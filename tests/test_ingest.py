@@ -1,9 +1,8 @@
 import json
-import zipfile
+import os
 
-from matches import MATCHES, document, write_all
-from pavilion.sources.archive import read_archives, stage_archives
-from pavilion.sources.match_json import file_key, read_matches
+from matches import MATCHES, write_all
+from pavilion.sources.match_json import file_key, list_files, new_files, problems, read_files, read_matches
 from pyspark.sql import functions as F
 
 
@@ -24,16 +23,37 @@ def test_multi_line_files_keep_nested_json_as_text(spark, tmp_path):
         assert rows[name].last_update_ts is not None
 
 
-def test_archives_are_read_in_chunks(spark, tmp_path):
-    for part in range(2):
-        with zipfile.ZipFile(tmp_path / f"all_{part}.zip", "w") as z:
-            z.writestr("README.txt", "not a match")
-            for i, name in enumerate(MATCHES):
-                if i % 2 == part:
-                    z.writestr(f"in/{name}", document(name))
-    sizes = [(tmp_path / f"all_{part}.zip").stat().st_size for part in range(2)]
-    for how in ({}, {"chunk_bytes": min(sizes) // 3, "largest": max(sizes)}):
-        entries = read_archives(spark, str(tmp_path), **how).collect()
-        assert sorted(e.entry for e in entries) == sorted(f"in/{n}" for n in MATCHES)
-        staged = {r.file_name: r for r in stage_archives(spark, str(tmp_path), **how).collect()}
-        assert {n: json.loads(r.match_innings) for n, r in staged.items()} == {n: m[1] for n, m in MATCHES.items()}
+ODD = {
+    "8.json": '{"info": {"a": 1}, "innings": [1,', "9 x+y é%20.json": '{"info": {"a": 1},\n "innings": []}', "11.json": "[1,2]",
+    "12.json": '{"info": {}}', "13.json": " \n", "14.json": '"x"', "no.json": '{"info": {"a": 1}, "innings": []}', "15.json": '{"innings": []}',
+}
+
+
+def test_files_that_do_not_parse_are_named(spark, tmp_path):
+    write_all(tmp_path)
+    for name, text in ODD.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "16.txt").write_text("{}")
+    found = {r.file_name: r.problem for r in problems(read_files(spark, str(tmp_path))).collect()}
+    broken = "not a JSON object"
+    assert found == {"8.json": broken, "11.json": broken, "13.json": broken, "14.json": broken, "12.json": "no innings", "15.json": "no info", "no.json": "no number in the name"}
+    staged = {r.file_name: r for r in read_matches(spark, str(tmp_path)).collect()}
+    assert set(staged) == {*MATCHES, "9 x+y é%20.json"} and staged["9 x+y é%20.json"].match_id == 9
+    listed = {(r.file_name, r.file_bytes, r.file_time) for r in list_files(spark, str(tmp_path)).collect()}
+    assert {(r.file_name, r.file_bytes, r.file_time) for r in staged.values()} < listed and len(listed) == len(MATCHES) + len(ODD)
+
+
+def test_only_new_files_are_opened(spark, tmp_path):
+    write_all(tmp_path)
+    folder = str(tmp_path)
+    for i, name in enumerate(sorted(MATCHES)):
+        os.utime(tmp_path / name, (1_000_000 + i, 1_000_000 + i))
+    seen = list_files(spark, folder)
+    assert "content" not in seen._jdf.queryExecution().executedPlan().toString()
+    assert new_files(seen, read_matches(spark, folder)).count() == 0
+    new = new_files(seen, seen.filter("file_name <> '5.json' and file_name <> 'wi_4.json'"))
+    some = read_files(spark, folder, new)
+    assert {r.file_name for r in some.collect()} == {"5.json", "wi_4.json"}
+    # Files older than the new ones are passed over by the scan.
+    scan = some._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" in scan and "file_modification_time" in scan.split("DataFilters:")[1].split("Format")[0]

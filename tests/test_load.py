@@ -45,3 +45,35 @@ def test_loads_keep_ids_and_log_their_steps(spark, tmp_path):
     assert sorted(gates, key=str) == ["No new data", None, None]
     assert jobs.filter("status <> 'Completed'").count() == 0
     assert joblog.monitor(jobs, F.current_timestamp()).count() == jobs.count() == 1 + 2 * 9
+
+
+def test_a_folder_is_loaded_by_its_new_files(spark, tmp_path):
+    suffix = uuid.uuid4().hex[:8]
+    schemas = [f"{s}_{suffix}" for s in ("staging", "reporting", "logs")]
+    for s in schemas:
+        spark.sql(f"CREATE SCHEMA {s} LOCATION '{shared_dir(spark)}/{s}'")
+    write_all(tmp_path)
+    (tmp_path / "77.json").write_text("{")
+
+    def staged():
+        return {r.file_name: r for r in spark.table(f"{schemas[0]}.t_match_document").collect()}
+
+    load(spark, str(tmp_path), *schemas)
+    first = staged()
+    assert set(first) == set(MATCHES)
+    assert [(r.file_name, r.problem) for r in spark.table(f"{schemas[0]}.t_refused_file").collect()] == [("77.json", "not a JSON object")]
+    with pytest.raises(NoNewData):
+        load(spark, str(tmp_path), *schemas)
+    # A mended file, a new version of one, and one more: the others keep the row of the first load.
+    for name in ("77.json", "5.json", "78.json"):
+        more = info("2022-01-01", "A", {"runs": 1}, season=name)
+        (tmp_path / name).write_text(json.dumps({"info": more, "innings": [innings("A", [ball("a1", "b1", "a2", 4)])]}))
+    star = load(spark, str(tmp_path), *schemas)
+    second = staged()
+    assert set(second) == {*MATCHES, "77.json", "78.json"}
+    assert {n for n in first if second[n] != first[n]} == {"5.json"}
+    assert {r.season for r in star.matches.collect()} >= {"77.json", "5.json", "78.json"}
+    jobs = joblog.logged_jobs(spark.table(f"{schemas[2]}.t_job"))
+    assert sorted((r.status, str(r.message)) for r in jobs.filter("job_name = 'Gate Staging'").collect()) == [
+        ("Completed", "No new data"), ("Completed", "None"), ("Completed", "None"),
+    ]

@@ -32,8 +32,8 @@ def test_additive_measures_take_two_small_exchanges_and_no_sort(star):
     assert "SortAggregate" not in text and "Sort [" not in text
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(("dim_upsert", "merge", "compacted"))])
+@pytest.mark.parametrize("name", [n for n in entry.own_queries() if not n.startswith(("dim_upsert", "merge", "compacted"))])
 def test_no_nested_loops_and_no_python(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(entry.own_queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "Python" not in text and "InPandas" not in text
     assert "BroadcastNestedLoopJoin" not in text

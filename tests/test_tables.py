@@ -61,15 +61,9 @@ def test_gate(spark, schema):
     assert tables.new_rows(spark.table(name), spark.range(1, 4).toDF("id"), ["id"]).first().id == 3
 
 
-def test_compaction_and_plan(spark, schema):
-    for t in ("a", "b"):
-        tables.replace_table(spark.range(100).repartition(7), f"{schema}.{t}")
-    assert len(spark.table(f"{schema}.a").inputFiles()) == 7
-    assert tables.maintenance_tasks(spark, f"{schema}: a ,b") == [(schema, "a"), (schema, "b")]
-    assert sorted(tables.maintenance_tasks(spark, f"{schema}|{schema}:a")) == [(schema, "a"), (schema, "a"), (schema, "b")]
-    assert (schema, "b") in tables.maintenance_tasks(spark, "All")
-    tables.maintain(spark, f"{schema}")
-    assert len(spark.table(f"{schema}.a").inputFiles()) == 1 == len(spark.table(f"{schema}.b").inputFiles())
+def test_small_parts_are_written_as_one_file(spark, schema):
+    tables.replace_table(tables.evenly(spark.range(100).repartition(7)), f"{schema}.b")
+    assert len(spark.table(f"{schema}.b").inputFiles()) == 1
     assert content(spark, f"{schema}.b") == [(i,) for i in range(100)]
 
 
