@@ -120,37 +120,32 @@ def cuts(longer: list[str]) -> re.Pattern:
 class Fits(dict):
     """Whether a token may stand behind a given one, for each that was asked about."""
 
-    def __init__(self, token: str, encoder: "Encoder"):
+    def __init__(self, token: str, pairs: "Pairs"):
         super().__init__()
-        self.token, self.encoder = token, encoder
+        self.token, self.pairs = token, pairs
 
     def __missing__(self, before: str) -> bool:
-        fits = self.encoder.beside(before, self.token)
-        self.encoder.remember(self)
+        fits = self.pairs.beside(before, self.token)
+        self.pairs.remember(self)
         self[before] = fits
         return fits
 
 
-class Encoder:
-    def __init__(self, model: Model):
-        import ahocorasick
+class Pairs:
+    """Which tokens may stand beside each other.
 
-        self.model = model
-        self.automaton = ahocorasick.Automaton()
-        for piece in model.ids:
-            if len(piece) > 1:
-                self.automaton.add_word(piece, (piece, len(piece) - 1, Fits(piece, self)))
-        self.automaton.make_automaton()
+    Apart from the automaton, whose values lead here: garbage collection cannot see through it, so nothing may lead back.
+    """
+
+    def __init__(self, scores: dict[str, float]):
+        self.scores = scores
         self.traces: dict[str, list | None] = {}
         self.asked: list[Fits] = []
-        self.parts = Remembered(self.encode_part, PARTS)
-        self.spelt = Remembered(self.spell, len(model.pieces))
-        self.cut = cuts([p for p in model.ids if len(p) > 1])
 
     def trace(self, token: str):
         """The merges that make a token of its characters: (score, first symbol, last symbol after it), or None if they end elsewhere."""
         if token not in self.traces:
-            scores, symbols, steps = self.model.scores, list(token), []
+            scores, symbols, steps = self.scores, list(token), []
             while len(symbols) > 1:
                 found = [scores.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
                 best = max(found)
@@ -162,16 +157,9 @@ class Encoder:
             self.traces[token] = steps if len(symbols) <= 1 else None
         return self.traces[token]
 
-    def remember(self, fits: Fits) -> None:
-        if len(self.asked) >= PAIRS:
-            for known in self.asked:
-                known.clear()
-            self.asked.clear()
-        self.asked.append(fits)
-
     def beside(self, left: str, right: str) -> bool:
         """Whether merging left + right ends with these two tokens; with nothing on the left, whether right is a token at all."""
-        a, b, scores = self.trace(left), self.trace(right), self.model.scores
+        a, b, scores = self.trace(left), self.trace(right), self.scores
         if a is None or b is None or not left:
             return a is not None and b is not None
         i = j = 0
@@ -191,6 +179,29 @@ class Encoder:
                 start = b[j][1]
                 j += 1
 
+    def remember(self, fits: Fits) -> None:
+        if len(self.asked) >= PAIRS:
+            for known in self.asked:
+                known.clear()
+            self.asked.clear()
+        self.asked.append(fits)
+
+
+class Encoder:
+    def __init__(self, model: Model):
+        import ahocorasick
+
+        self.model = model
+        pairs = Pairs(model.scores)
+        self.automaton = ahocorasick.Automaton()
+        for piece in model.ids:
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (piece, len(piece) - 1, Fits(piece, pairs)))
+        self.automaton.make_automaton()
+        self.parts = Remembered(self.encode_part, PARTS)
+        self.spelt = Remembered(self.spell, len(model.pieces))
+        self.cut = cuts([p for p in model.ids if len(p) > 1])
+
     def prefix_table(self, text: str) -> list:
         """The last token of the encoding of text[:i], for every i from 1 on."""
         # One character, unless a longer piece ends there that fits.
