@@ -15,14 +15,14 @@ import heapq
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.common import map_rows, spread
+from pavilion.llm.common import Remembered, map_rows, spread
 
 CHUNK_CHARS = 65536
 OVERLAP_CHARS = 4096
 # A match that ends this near to a window's end might go on in the text; the pattern looks no further ahead.
 LOOKAHEAD = 8
 # Pieces whose ids a task remembers.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 # Longer pieces are merged with a heap instead of a list.
 SHORT_PIECE = 256
 
@@ -80,26 +80,22 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts if part is not None]
 
 
-class Encoder(dict):
-    """Ids of a piece as little-endian unsigned 32-bit integers, remembered up to a bound."""
+def merged(piece: str, ranks: dict[bytes, int]) -> bytes:
+    """Ids of a piece as little-endian unsigned 32-bit integers."""
+    raw = piece.encode()
+    whole = ranks.get(raw)
+    ids = [whole] if whole is not None else (merge_short if len(raw) < SHORT_PIECE else merge_long)(raw, ranks)
+    return np.array(ids, "<u4").tobytes()
+
+
+class Encoder(Remembered):
+    """Ids of pieces; all but very long ones are remembered, up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
+        super().__init__(lambda piece: merged(piece, ranks), REMEMBERED)
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        whole = self.ranks.get(raw)
-        if whole is not None:
-            ids = [whole]
-        else:
-            ids = (merge_short if len(raw) < SHORT_PIECE else merge_long)(raw, self.ranks)
-        out = np.array(ids, "<u4").tobytes()
-        if len(raw) < SHORT_PIECE:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = out
-        return out
+        return super().__missing__(piece) if len(piece) < SHORT_PIECE else self.make(piece)
 
 
 def pieces_until(pattern, text: str, end: int) -> list[str]:
