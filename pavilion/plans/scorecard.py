@@ -35,11 +35,9 @@ def batting_scorecard(star: Star) -> DataFrame:
     sums = ["balls", "wides", "fours", "sixes", "batter_runs", "total_runs", "nsr_balls"]
     outs = ["out_kind", "out_bowler_id", "out_fielder_id"]
     # Texts make an aggregate sort its input, so the dismissals, few next to the balls, go apart.
-    scores = delivery_lines(
-        star.deliveries, keys, "innings", ["bat", "nsr"], [*sums, "first_faced"], True, False
-    )
+    scores = delivery_lines(star.deliveries, keys, {"innings": (["bat", "nsr"], INNINGS)}, [*sums, "first_faced"], True, False)
     dismissed = star.deliveries.filter("player_out_id is not null")
-    dismissed = delivery_lines(dismissed, keys, "innings", ["out"], outs, True, False)
+    dismissed = delivery_lines(dismissed, keys, {"innings": (["out"], INNINGS)}, outs, True, False)
     lines = scores.unionByName(dismissed, allowMissingColumns=True)
     rows = lines.groupingSets([keys, INNINGS], *keys).agg(
         F.grouping("player_id").alias("is_total"),
