@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 import entry_sql  # noqa: E402
 from pavilion.operators import tables  # noqa: E402
+from pavilion.operators.ordinals import positions  # noqa: E402
 from pavilion.operators.shred import match_facts, squads  # noqa: E402
 from pavilion.plans import joblog, reports, scorecard, star as star_plan  # noqa: E402
 from pavilion.plans.measures import DELIVERY_MEASURES, SQUAD_MEASURES, evaluate  # noqa: E402
@@ -91,6 +92,14 @@ def on_page(part, match_id, innings=None):
     return of_star(lambda star: scorecard.page(star, match_id, innings)[part])
 
 
+def placed(query, *order):
+    """A query's rows with their place in the display order, which is compared as a value. "-" goes before falling columns."""
+    def by(column):
+        return F.desc(column[1:]) if column.startswith("-") else F.asc(column)
+
+    return lambda spark, sf: positions(query(spark, sf), *map(by, order))
+
+
 def logged_jobs(spark, sf):
     """The sample jobs as log rows, starts and ends apart, and back."""
     rows = sample_jobs(spark, sf)
@@ -235,6 +244,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = plain_queries()
+    return own | {name: placed(own[name], *order) for name, order in ORDERS.items()}
+
+
+def plain_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = ("player_stats", "team_stats", "kpi_cards", "wins_by_year", "wins_by_month", "match_results", "match_cards",
              "slicer_values", "player_teams")
     cards = ("batting_scorecard", "bowling_scorecard", "fall_of_wickets_rows", "fall_of_wickets", "did_not_bat",
@@ -318,6 +332,15 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# Total orders of the reports that are shown sorted.
+ORDERS = {
+    "match_results": ["-match_date", "-match_id"],
+    "wins_by_month": ["month_number"],
+    "job_report": ["-start_time", "job_id"],
+    "page_batting": ["innings", "first_ball_faced", "player_name"],
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = own_queries()
     if llm:

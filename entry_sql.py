@@ -636,3 +636,12 @@ for _part, _query, _where in (
 SQL["logged_jobs"] = f"""{JOBS}
   select job_id, parent_job_id, job_name, job_category, start_time, end_time,
     if(end_time is null, 'InProgress', status) as status, if(end_time is null, null, 'ended') as message from jobs"""
+
+# The place of each row in the display order.
+for _name, _order in {
+    "match_results": "match_date desc nulls last, match_id desc nulls last",
+    "wins_by_month": "month_number nulls first",
+    "job_report": "start_time desc nulls last, job_id nulls first",
+    "page_batting": "innings nulls first, first_ball_faced nulls first, player_name nulls first",
+}.items():
+    SQL[_name] = f"select *, row_number() over (order by {_order}) as position from ({SQL[_name]})"

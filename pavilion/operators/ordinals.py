@@ -42,3 +42,8 @@ def dense_ids(names: DataFrame, name: str, id_name: str, first=1) -> DataFrame:
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
     ids = row_numbers(distinct, [], [name], id_name)
     return ids.select((F.col(id_name) + (first - 1)).alias(id_name), name)
+
+
+def positions(df: DataFrame, *order, name="position") -> DataFrame:
+    """df with the place of each row in a total order, so that the order is a value and survives any shuffle."""
+    return row_numbers(df, [], list(order), name)

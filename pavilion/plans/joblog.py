@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pavilion.functions.blanks import blank_zero
 from pavilion.functions.elapsed import elapsed_measure, elapsed_report, seconds_between
+from pavilion.operators.joins import left_join_apart
 from pavilion.operators.tables import NoNewData, append_table, literal_rows, table_exists
 
 
@@ -14,8 +15,10 @@ def duration(now: Column) -> Column:
     return seconds_between(F.col("start_time"), F.coalesce(F.col("end_time"), now))
 
 
-def parent_names(jobs: DataFrame) -> DataFrame:
-    return jobs.select(F.col("job_id").alias("parent_job_id"), F.col("job_name").alias("parent_job_name"))
+def with_parent_names(jobs: DataFrame) -> DataFrame:
+    """Jobs and their parents' names. Root jobs, which may be most, have none to be looked up."""
+    names = jobs.select(F.col("job_id").alias("parent_job_id"), F.col("job_name").alias("parent_job_name"))
+    return left_join_apart(jobs, names, "parent_job_id")
 
 
 def latest_root(jobs: DataFrame) -> DataFrame:
@@ -36,8 +39,7 @@ def job_report(jobs: DataFrame, now: Column) -> DataFrame:
     latest = latest_root(jobs).select(F.col("latest_id").alias("root_id"), F.lit("Y").alias("flag"))
     flags = roots.join(parents, "root_id", "left_semi").join(F.broadcast(latest), "root_id", "left")
     flags = flags.select("root_id", F.coalesce("flag", F.lit("N")).alias("is_latest_parent"))
-    rows = jobs.join(parent_names(jobs), "parent_job_id", "left")
-    rows = rows.withColumn("root_id", F.coalesce("parent_job_id", "job_id"))
+    rows = with_parent_names(jobs).withColumn("root_id", F.coalesce("parent_job_id", "job_id"))
     rows = rows.join(flags, "root_id", "left").withColumn("duration_sec", duration(now))
     return rows.select(
         "job_category", "job_name", "parent_job_name", "is_latest_parent", "start_time", "end_time",
@@ -64,7 +66,7 @@ def of_latest_run(report: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def monitor(jobs: DataFrame, now: Column) -> DataFrame:
-    rows = jobs.join(parent_names(jobs), "parent_job_id", "left").withColumn("duration_sec", duration(now))
+    rows = with_parent_names(jobs).withColumn("duration_sec", duration(now))
     return rows.select(
         "job_id", "job_name", "job_category", "start_time", "end_time", "status", "message", "parent_job_name",
         elapsed_measure(F.col("duration_sec")).alias("time_elapsed"), "duration_sec",

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.functions.blanks import text
+from pavilion.operators.joins import left_join_spread
 from pavilion.operators.texts import joined_text
 from pavilion.plans.measures import evaluate
 from pavilion.plans.selectors import in_team
@@ -83,10 +84,12 @@ def match_texts(star: Star) -> DataFrame:
     """Per match with squads: result, toss, best player, event and venue lines."""
     played = star.team_players.groupBy("match_id").agg(F.max("match_date").alias("played"))
     rows = star.matches.join(played, "match_id")
-    rows = rows.join(_team(star, "match_winner_id", "match_winner"), "match_winner_id", "left")
-    rows = rows.join(_team(star, "toss_winner_id", "toss_winner"), "toss_winner_id", "left")
+    # Ids are -1 and from 1 on.
+    nobody = -2 - F.abs(F.col("match_id"))
+    rows = left_join_spread(rows, _team(star, "match_winner_id", "match_winner"), "match_winner_id", nobody)
+    rows = left_join_spread(rows, _team(star, "toss_winner_id", "toss_winner"), "toss_winner_id", nobody)
     best = star.players.select(F.col("player_id").alias("player_of_match_id"), F.col("player_name").alias("best"))
-    rows = rows.join(best, "player_of_match_id", "left")
+    rows = left_join_spread(rows, best, "player_of_match_id", nobody)
     toss = text(F.col("toss_winner"), " won the toss and elected to ", F.col("toss_decision"))
     return rows.select(
         "match_id", "season", "match_date",

@@ -13,10 +13,12 @@ from pavilion.functions.cricket import (
     BOWLER_WICKETS, EXTRAS_ID, EXTRAS_NAME, INNINGS_COLOURS, OTHER_WICKETS,
     ball_number, run_colour, switch, total_overs, two_decimals, wicket_text,
 )
+from pavilion.operators.joins import left_join_spread
 from pavilion.operators.running import running_totals
 from pavilion.operators.texts import joined_text
 from pavilion.plans.measures import delivery_lines, evaluate
 from pavilion.plans.star import Star
+from pavilion.session import materialize
 
 INNINGS = ["match_id", "innings"]
 
@@ -164,24 +166,30 @@ def innings_header(star: Star) -> DataFrame:
     return rows.select(*INNINGS, "team", score.alias("score"), text(F.col("team"), ": ", score).alias("header"))
 
 
-def over_progress(star: Star) -> DataFrame:
-    """Per over: runs, wickets, and the running runs, wickets and rate of its innings."""
+def over_sums(star: Star) -> DataFrame:
+    """Per over: runs, wickets, balls and the bowler (the last by name, where there were several)."""
     kind = F.col("wicket_kind")
-    overs = star.deliveries.groupBy(*INNINGS, "overs").agg(
+    spells = star.deliveries.groupBy(*INNINGS, "overs", "bowler_id").agg(
         F.sum("total_runs").alias("runs"),
         F.count_if(kind.isin(*BOWLER_WICKETS)).alias("wickets"),
         F.count(kind).alias("fallen"),
-        F.lit(1).alias("one"),
+        F.max("balls").alias("balls"),
     )
+    spells = spells.join(person(star, "bowler_id", "bowler"), "bowler_id", "left")
+    return spells.groupBy(*INNINGS, "overs").agg(
+        *[F.sum(c).alias(c) for c in ("runs", "wickets", "fallen")],
+        F.max("balls").alias("balls"), F.max("bowler").alias("bowler_name"), F.lit(1).alias("one"),
+    )
+
+
+def over_progress(overs: DataFrame) -> DataFrame:
+    """Overs with the running runs, wickets and rate of their innings."""
     totals = {"cumulative_runs": "runs", "cumulative_wickets": "wickets", "overs_so_far": "one"}
     return running_totals(overs, INNINGS, "overs", totals)
 
 
-def match_axes(star: Star) -> DataFrame:
-    """Per match: highest runs in an over, most balls in an over, and the overs axis."""
-    overs = star.deliveries.groupBy(*INNINGS, "overs").agg(
-        F.sum("total_runs").alias("runs"), F.max("balls").alias("balls")
-    )
+def match_axes(star: Star, overs: DataFrame) -> DataFrame:
+    """Per match: highest runs in an over, most balls in an over, and the overs axis. overs needs runs and balls only."""
     per_match = overs.groupBy("match_id").agg(
         F.max("runs").alias("max_runs_per_over"),
         F.max("balls").alias("total_balls_per_over"),
@@ -193,11 +201,12 @@ def match_axes(star: Star) -> DataFrame:
 
 
 def manhattan(star: Star) -> DataFrame:
-    """Runs per over with wickets, run rate so far and bowler, and the axis ends of the match."""
-    bowlers = star.deliveries.select(*INNINGS, "overs", "bowler_id").distinct()
-    bowlers = bowlers.join(person(star, "bowler_id", "bowler"), "bowler_id")
-    bowlers = bowlers.groupBy(*INNINGS, "overs").agg(F.max("bowler").alias("bowler_name"))
-    rows = over_progress(star).join(bowlers, [*INNINGS, "overs"], "left").join(match_axes(star), "match_id")
+    """Runs per over with wickets, run rate so far and bowler, and the axis ends of the match.
+
+    The overs are written once: running totals and axes are made from these few rows, and the balls are read once.
+    """
+    overs = materialize(over_sums(star), "overs")
+    rows = over_progress(overs).join(match_axes(star, overs), "match_id")
     return rows.select(
         *INNINGS, "overs",
         F.col("runs").alias("overall_runs"),
@@ -209,7 +218,7 @@ def manhattan(star: Star) -> DataFrame:
 
 def worm(star: Star) -> DataFrame:
     """Cumulative runs by over, with marks (and their error bars) on overs with a wicket."""
-    rows = over_progress(star)
+    rows = over_progress(over_sums(star))
     mark = F.when(F.col("fallen") > 0, F.col("cumulative_runs"))
     return rows.select(
         *INNINGS, "overs", "cumulative_runs",
@@ -231,37 +240,30 @@ def worm_tooltip(star: Star) -> DataFrame:
     )
 
 
-def match_names(star: Star) -> DataFrame:
-    """Per match: a map of player id to name, of everybody its balls name."""
-    roles = F.array("bowler_id", "batter_id", "player_out_id", "fielder_id")
-    named = star.deliveries.select("match_id", F.explode(roles).alias("player_id")).distinct()
-    named = named.join(star.players, "player_id").groupBy("match_id")
-    return named.agg(F.map_from_entries(F.collect_list(F.struct("player_id", "player_name"))).alias("names"))
-
-
 def ball_map(star: Star) -> DataFrame:
     """Every ball with runs, wicket, colour, players and the axis ends of its match.
 
-    Names and axes of a match make one row, so a ball is joined once, whatever the number of
-    players; a match with very many balls is a skewed join, which Spark splits.
+    Names are looked up by id, each role on its own: broadcast while there are few players, else by shuffles, in which balls
+    without a wicket or a fielder are spread over the tasks.
     """
-    context = match_axes(star).drop("max_runs_per_over").join(match_names(star), "match_id", "left")
-    rows = star.deliveries.join(context, "match_id", "left")
-
-    def name(key):
-        return F.try_element_at("names", F.col(key))
-
-    kind, out = F.col("wicket_kind"), name("player_out_id")
+    sums = star.deliveries.groupBy(*INNINGS, "overs").agg(F.sum("total_runs").alias("runs"), F.max("balls").alias("balls"))
+    axes = match_axes(star, sums).drop("max_runs_per_over")
+    rows = star.deliveries.join(axes, "match_id", "left")
+    # Ids are -1 and from 1 on.
+    nobody = -2 - F.abs(F.xxhash64("match_id", "innings", "overs", "balls") % 2**40)
+    for key, name in (("bowler_id", "bowler"), ("batter_id", "batter"), ("player_out_id", "player_out"), ("fielder_id", "fielder")):
+        rows = left_join_spread(rows, person(star, key, name), key, nobody)
+    kind, out = F.col("wicket_kind"), F.col("player_out")
     # The wicket's names hang on the player out: without one, the details stay blank.
-    status = wicket_text(kind, name("bowler_id"), name("fielder_id"))
+    status = wicket_text(kind, F.col("bowler"), F.col("fielder"))
     return rows.select(
         *INNINGS, "overs", "balls",
         F.col("total_runs").alias("overall_runs"),
         F.when(kind.isin(*BOWLER_WICKETS), 1).alias("wickets"),
         F.when(F.col("wides") != 0, 1).alias("wides"),
         F.when(F.col("no_balls") != 0, 1).alias("no_balls"),
-        name("bowler_id").alias("bowler_name"),
-        name("batter_id").alias("batsman_name"),
+        F.col("bowler").alias("bowler_name"),
+        F.col("batter").alias("batsman_name"),
         F.when(out.isNotNull(), text(out, " - ", status)).alias("wicket_details"),
         run_colour(kind, F.col("total_runs")).alias("colour"),
         "total_balls_per_over", "total_overs",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pavilion.functions.cricket import EXTRAS_ID, EXTRAS_NAME
 from pavilion.operators import shred
+from pavilion.operators.joins import left_join_spread
 from pavilion.operators.ordinals import dense_ids
 from pavilion.session import materialize
 
@@ -35,7 +36,9 @@ def team_dim(squads: DataFrame) -> DataFrame:
 
 
 def match_dim(staging: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
-    """Names become ids by role. The dims are joined by whatever way their size allows."""
+    """Names become ids by role. The dims are joined by whatever way their size allows; matches without a winner or a best
+    player may be most, so a missing name is spread by match.
+    """
     rows = shred.match_facts(staging)
     roles = {
         "toss_winner": "toss_winner_id",
@@ -44,10 +47,12 @@ def match_dim(staging: DataFrame, teams: DataFrame, players: DataFrame) -> DataF
         "first_bat": "first_bat_id",
         "first_field": "first_field_id",
     }
+    # No name starts so.
+    nobody = F.concat(F.lit("\0"), F.col("match_id").cast("string"))
     for role, key in roles.items():
-        rows = rows.join(teams.select(F.col("team").alias(role), F.col("team_id").alias(key)), role, "left")
+        rows = left_join_spread(rows, teams.select(F.col("team").alias(role), F.col("team_id").alias(key)), role, nobody)
     best = players.select(F.col("player_name").alias("player_of_match"), F.col("player_id").alias("player_of_match_id"))
-    rows = rows.join(best, "player_of_match", "left")
+    rows = left_join_spread(rows, best, "player_of_match", nobody)
     return rows.withColumn("match_winner_id", F.coalesce("outright_id", "eliminator_id")).select(
         "match_id", "match_date", "match_gender", "season", "event_name", "event_group", "event_match_number",
         "city", "venue", "team_type", "match_type", "match_result", "match_won_by_runs", "match_won_by_wickets",
@@ -85,50 +90,41 @@ def opponents(team_players: DataFrame) -> DataFrame:
     return own.select("match_id", "team_id", F.when(F.col("least") != F.col("greatest"), other).alias("next_team_id"))
 
 
-def deliveries_fact(staging, teams, players, matches, team_players) -> DataFrame:
-    """One row per ball.
+NAMES = ["batter", "non_striker", "bowler", "player_out", "fielder"]
 
-    All lookups happen per match, not per ball: a match's date, its team ids and the ids of
-    the names in its document are gathered into one small row, which meets the document
-    once. That join is the only shuffle of documents, in place of a plain repartition, and
-    the balls are exploded after it.
-    """
-    sides = opponents(team_players).join(teams, "team_id")
-    sides = sides.groupBy("match_id").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("team", F.struct("team_id", "next_team_id").alias("ids")))
-        ).alias("sides")
-    )
-    balls = shred.explode_deliveries(shred.explode_innings(staging), ["match_id"])
-    names = balls.select(
-        "match_id",
-        F.explode(F.array("batter", "non_striker", "bowler", "player_out", "fielder")).alias("player_name"),
-    ).distinct()
-    ids = names.join(players, "player_name").groupBy("match_id")
-    ids = ids.agg(F.map_from_entries(F.collect_list(F.struct("player_name", "player_id"))).alias("ids"))
-    context = matches.select("match_id", "match_date").join(sides, "match_id").join(ids, "match_id", "left")
 
-    documents = staging.select("match_id", "match_innings").join(context, "match_id")
-    innings = shred.explode_innings(documents, ["match_id", "match_date", "sides", "ids"])
-    innings = innings.withColumn("side", F.try_element_at("sides", F.col("inn.team"))).filter("side is not null")
-    keep = [F.col(c) for c in ("match_id", "match_date", "innings", "side", "ids")]
-    balls = shred.explode_deliveries(innings, keep)
+def ball_rows(staging: DataFrame) -> DataFrame:
+    """One narrow row per ball, with teams and players by name. The documents are parsed here, where they are read, and nowhere else."""
+    innings = shred.explode_innings(staging, ["match_id"]).withColumn("team", F.col("inn.team"))
+    return shred.explode_deliveries(innings, ["match_id", "innings", "team"])
+
 
-    def player(name):
-        return F.try_element_at("ids", F.col(name))
+def deliveries_fact(balls, teams, players, matches, team_players) -> DataFrame:
+    """Stored ball_rows with ids in place of names.
+
+    All lookups happen per match, not per ball: a match's date, the ids of its teams, and those of the names in its balls are
+    gathered into one small row, which meets the balls once.
+    """
+    def as_map(key, value):
+        return F.map_from_entries(F.collect_list(F.struct(key, value)))
+
+    sides = opponents(team_players).join(teams, "team_id").groupBy("match_id")
+    sides = sides.agg(as_map(F.col("team"), F.struct("team_id", "next_team_id")).alias("sides"))
+    names = balls.select("match_id", F.explode(F.array(*NAMES)).alias("player_name")).distinct()
+    ids = names.join(players, "player_name").groupBy("match_id").agg(as_map(F.col("player_name"), F.col("player_id")).alias("ids"))
+    context = matches.select("match_id", "match_date").join(sides, "match_id").join(ids, "match_id", "left")
 
-    return balls.select(
+    rows = balls.join(context, "match_id").withColumn("side", F.try_element_at("sides", F.col("team"))).filter("side is not null")
+    player = {name: F.try_element_at("ids", F.col(name)).alias(f"{name}_id") for name in NAMES}
+    return rows.select(
         "match_id",
         "match_date",
         F.col("side.team_id").alias("batting_team_id"),
         F.col("side.next_team_id").alias("bowling_team_id"),
         "innings", "overs", "balls",
-        player("batter").alias("batter_id"),
-        player("non_striker").alias("non_striker_id"),
-        player("bowler").alias("bowler_id"),
+        player["batter"], player["non_striker"], player["bowler"],
         "byes", "leg_byes", "no_balls", "wides", "batter_runs", "total_runs", "wicket_kind",
-        player("player_out").alias("player_out_id"),
-        player("fielder").alias("fielder_id"),
+        player["player_out"], player["fielder"],
     )
 
 
@@ -148,5 +144,7 @@ def build_star(staging: DataFrame, store=materialize, store_names=store_name_dim
     matches = store(match_dim(staging, teams, players), "t_dim_match")
     dates = store(date_dim(matches), "t_dim_date")
     team_players = store(team_players_fact(squads, teams, players, matches), "t_fact_team_players")
-    deliveries = store(deliveries_fact(staging, teams, players, matches, team_players), "t_fact_deliveries")
+    # Stored as narrow rows: the names are looked up before the balls are read again.
+    balls = materialize(ball_rows(staging), "balls")
+    deliveries = store(deliveries_fact(balls, teams, players, matches, team_players), "t_fact_deliveries")
     return Star(matches, teams, players, dates, team_players, deliveries)
