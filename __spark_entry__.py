@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import time
 import uuid
 from collections.abc import Callable
 
@@ -175,6 +176,51 @@ def merge_update(spark, sf):
     return spark.table(name).select("job_id", "start_time", "end_time", "status", "message")
 
 
+def merge_update_month(spark, sf):
+    """Orders by month, the urgent ones of one month closed. "rewritten" is told from the times of the files."""
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", month)
+    name = f"{scratch_schema(spark)}.t_order"
+    tables.create_partitioned(orders, name, ["month"])
+    written = F.col("_metadata.file_modification_time")
+    before = spark.table(name).agg(F.max(written)).first()[0]
+    urgent = orders.filter("month = '1995-03' and o_orderpriority = '1-URGENT'").select("o_orderkey")
+    time.sleep(0.01)  # so that files of the update are younger
+    tables.merge_update(urgent, name, ["o_orderkey"], {"o_orderstatus": "'C'"})
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "month", (written > F.lit(before)).alias("rewritten"))
+
+
+def dim_hashed_ids(spark, sf):
+    """Two loads that see the same empty dimension and both append. How many ids a name has, and how many names an id: also
+    with hashes of eight bits, most of which clash.
+    """
+    name = f"{scratch_schema(spark)}.t_dim_customer"
+    loads = [tables.hashed_rows(names, name, "c_name") for names in (early_customers(spark, sf), customers(spark, sf))]
+    for rows in loads:
+        tables.append_table(rows, name)
+    found = None
+    for bits in (63, 8):
+        ids = tables.hashed_ids(spark.table(name), "customer_id", "c_name", bits)
+        per_id = ids.groupBy("customer_id").agg(F.count(F.lit(1)).alias("names"))
+        ids = ids.join(per_id, "customer_id").groupBy("c_name").agg(
+            F.countDistinct("customer_id").alias("ids"), F.max("names").alias("names"), F.count(F.lit(1)).alias("rows")
+        )
+        ids = ids.withColumn("bits", F.lit(bits))
+        found = ids if found is None else found.union(ids)
+    return found
+
+
+def schema_merge(spark, sf):
+    """Customers appended three times, with columns that come and go, read through the merged schema of the files."""
+    name, rows = f"{scratch_schema(spark)}.t_customer", table(spark, sf, "customer")
+    tables.replace_table(rows.filter("c_custkey % 3 = 0").select("c_custkey", "c_name"), name)
+    tables.append_table(rows.filter("c_custkey % 3 = 1").select("c_custkey", "c_nationkey", "c_mktsegment"), name)
+    tables.append_table(rows.filter("c_custkey % 3 = 2").select("c_mktsegment", "c_custkey", "c_name"), name)
+    both = spark.table(name).withColumn("reader", F.lit("catalog"))
+    files = tables.merged_files(spark, name).withColumn("reader", F.lit("files"))
+    return both.unionByName(files)
+
+
 def new_data_gate(spark, sf):
     matches = sample_star(spark, sf).matches
     return tables.count_gate(matches.filter("match_result is null"), matches)
@@ -325,6 +371,9 @@ def plain_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_upsert": dim_upsert,
         "merge_insert": merge_insert,
         "merge_update": merge_update,
+        "merge_update_month": merge_update_month,
+        "dim_hashed_ids": dim_hashed_ids,
+        "schema_merge": schema_merge,
         "new_data_gate": new_data_gate,
         "new_matches": new_matches,
         "digits_cleanup": digits_cleanup,

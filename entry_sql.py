@@ -574,6 +574,16 @@ SQL = {
       select job_id, start_time, case when status = 'Failed' then null
         when status = 'InProgress' then start_time + to_seconds(90) else end_time end as end_time, status,
         case when status = 'Failed' then null else 'ended' end as message from jobs""",
+    "merge_update_month": """
+      select o_orderkey, if(month = '1995-03' and o_orderpriority = '1-URGENT', 'C', o_orderstatus) as o_orderstatus, month,
+        month in (select strftime(o_orderdate, '%Y-%m') from orders where o_orderpriority = '1-URGENT') and month = '1995-03' as rewritten
+      from (select *, strftime(o_orderdate, '%Y-%m') as month from orders)""",
+    "dim_hashed_ids": """
+      select c_name, 1 as ids, 1 as names, 1 as rows, unnest([63, 8]) as bits from (select distinct c_name from customer)""",
+    "schema_merge": """
+      select c_custkey, if(c_custkey % 3 = 1, null, c_name) as c_name, if(c_custkey % 3 = 1, c_nationkey, null) as c_nationkey,
+        if(c_custkey % 3 = 0, null, c_mktsegment) as c_mktsegment, unnest(['catalog', 'files']) as reader
+      from customer""",
     "new_data_gate": f"""{STAR}
       select (select count(*) from matches where match_result is null) as have, (select count(*) from matches) as offered,
         (select count(*) from matches where match_result is not null) as delta,

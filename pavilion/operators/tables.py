@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pavilion.operators.ordinals import dense_ids
+from pavilion.session import materialize
 
 
 def create_schemas(spark: SparkSession, *schemas) -> None:
@@ -86,6 +87,37 @@ def append_table(df: DataFrame, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def merged_files(spark: SparkSession, name: str) -> DataFrame:
+    """A table's rows under one schema merged from those of its files, whatever the catalog knows of later columns."""
+    return spark.read.option("mergeSchema", True).parquet(_location(spark, name))
+
+
+def create_partitioned(df: DataFrame, name: str, by: list) -> None:
+    """Creates a table with a folder for each value of the columns by, which come last. Writes overwrite only the folders they have
+    rows for.
+    """
+    spark = df.sparkSession
+    schema, table = name.split(".")
+    home = spark.sql(f"DESCRIBE SCHEMA {schema}").filter("info_name = 'Location'").first()["info_value"]
+    ordered = df.select(*[c for c in df.columns if c not in by], *by)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+        f"PARTITIONED BY ({', '.join(by)}) LOCATION '{home}/{table}/{uuid.uuid4().hex}'"
+    )
+    _overwrite_partitions(ordered, name, by)
+
+
+def _overwrite_partitions(df: DataFrame, name: str, by: list) -> None:
+    # A folder's rows are dealt out evenly, not all to one task, and make files of the advisory size.
+    df.hint("rebalance", *by).write.mode("overwrite").insertInto(name)
+    df.sparkSession.catalog.refreshTable(name)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def merge_insert(source: DataFrame, name: str, on) -> None:
     """Appends the source rows whose key the table does not have."""
     target = source.sparkSession.table(name).select(*on)
@@ -113,7 +145,20 @@ def updated(target: DataFrame, source: DataFrame, on, changes: dict) -> DataFram
 
 
 def merge_update(source: DataFrame, name: str, on, changes: dict) -> None:
-    replace_table(updated(source.sparkSession.table(name), source, on, changes), name)
+    """Updates a table's rows. Of a partitioned table only the folders that have a row to be updated are written again.
+
+    The columns of the partitioning cannot change. Rows are written apart before they replace the folders they are read from.
+    """
+    spark = source.sparkSession
+    target, by = spark.table(name), partition_columns(spark, name)
+    if not by:
+        return replace_table(updated(target, source, on, changes), name)
+    if set(by) & set(changes):
+        raise ValueError(f"rows cannot move between partitions: {', '.join(by)}")
+    matched = target.join(source.select(*on), on, "left_semi").select(*[F.col(c).alias(f"__{c}") for c in by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    rows = materialize(updated(target.join(matched, same, "left_semi"), source, on, changes), "updated")
+    _overwrite_partitions(rows, name, by)
 
 
 def upsert_names(existing: DataFrame, names: DataFrame, id_name: str, name: str) -> DataFrame:
@@ -132,6 +177,43 @@ def create_or_insert_names(names: DataFrame, table: str, id_name: str, name: str
         replace_table(dense_ids(names, name, id_name), table)
 
 
+def name_hash(name, bits=63, seed="") -> Column:
+    """A number from 1 to 2^bits that follows from a name alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(name)), F.lit((1 << bits) - 1)) + 1
+
+
+def hashed_rows(names: DataFrame, table: str, name: str) -> DataFrame:
+    """The names that a dimension does not have, with the moment; what create_or_insert_hashed appends."""
+    spark = names.sparkSession
+    new = names.select(name).filter(F.col(name).isNotNull()).distinct()
+    if table_exists(spark, table):
+        new = new.join(spark.table(table).select(name), name, "left_anti")
+    return new.withColumn("since", F.current_timestamp())
+
+
+def create_or_insert_hashed(names: DataFrame, table: str, name: str) -> None:
+    """Dimension upsert for writers that do not know of each other: rows are only appended, and no highest id is looked up."""
+    append_table(hashed_rows(names, table, name), table)
+
+
+def hashed_ids(rows: DataFrame, id_name: str, name: str, bits=63) -> DataFrame:
+    """One id per name of a dimension of hashed_rows, however often writers put the name in.
+
+    The id is a hash of the name. Of different names with one hash the first to come keeps it; those that come after take a
+    number below zero, by a hash of their own, so no id that has been given out changes. Should two of these clash again, the
+    read fails rather than to mix them up.
+    """
+    first = rows.groupBy(name).agg(F.min("since").alias("since")).withColumn("__hash", name_hash(name, bits))
+    # Names of one hash: one, but for clashes.
+    place = F.row_number().over(Window.partitionBy("__hash").orderBy("since", name))
+    ids = first.withColumn("__place", place)
+    late = F.col("__place") > 1
+    ids = ids.withColumn(id_name, F.when(late, -1 - name_hash(name, 62, "late")).otherwise(F.col("__hash")))
+    sharing = F.count(F.lit(1)).over(Window.partitionBy(id_name))
+    clash = F.raise_error(F.concat(F.lit("two names share an id: "), name)).cast("bigint")
+    return ids.select(F.when(sharing == 1, F.col(id_name)).otherwise(clash).alias(id_name), name)
+
+
 class NoNewData(Exception):
     """Raised by the gate; a job that ends with it counts as completed."""
 

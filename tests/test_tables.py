@@ -125,3 +125,60 @@ def test_two_writers_of_the_log(spark, schema):
     rows = {r.job_id: r for r in joblog.logged_jobs(spark.table(log)).collect()}
     assert (rows[first].status, rows[second].status, rows[child].status) == ("Completed", "Failed", "InProgress")
     assert rows[child].parent_job_id == first and rows[child].end_time is None
+
+
+def folders(spark, name):
+    """Files of each partition."""
+    found = {}
+    for path in spark.table(name).inputFiles():
+        folder, file = path.rsplit("/", 2)[1:]
+        found.setdefault(folder, set()).add(file)
+    return found
+
+
+def test_an_update_writes_only_the_folders_it_touches(spark, schema):
+    name = f"{schema}.t_parted"
+    rows = [(i, f"v{i}", None if i % 4 == 3 else i % 4) for i in range(40)]
+    tables.create_partitioned(tables.literal_rows(spark, rows, "k int, v string, part int"), name, ["part"])
+    before = folders(spark, name)
+    assert len(before) == 4 and tables.partition_columns(spark, name) == ["part"]
+    change = tables.literal_rows(spark, [(5, "x"), (9, "y"), (3, "z"), (999, "none")], "k int, v string")
+    tables.merge_update(change, name, ["k"], {"v": "t.v || s.v"})
+    after = folders(spark, name)
+    assert set(after) == set(before)
+    touched = {"part=1", "part=__HIVE_DEFAULT_PARTITION__"}
+    assert {f for f in before if before[f] != after[f]} == touched
+    new = {5: "v5x", 9: "v9y", 3: "v3z"}
+    assert sorted(spark.table(name).collect(), key=lambda r: r.k) == [(k, new.get(k, v), p) for k, v, p in rows]
+    # Nothing to update writes nothing; a partition column stays.
+    tables.merge_update(change.filter("k = 999"), name, ["k"], {"v": "s.v"})
+    assert folders(spark, name) == after
+    with pytest.raises(ValueError, match="part"):
+        tables.merge_update(change, name, ["k"], {"part": "1"})
+    with pytest.raises(Exception, match="several source rows"):
+        tables.merge_update(change.union(change), name, ["k"], {"v": "s.v"})
+    assert folders(spark, name) == after
+
+
+def test_ids_of_two_loads_at_once(spark, schema):
+    name = f"{schema}.t_hashed"
+
+    def names(*values):
+        return tables.literal_rows(spark, [(v,) for v in values], "n string")
+
+    def ids(bits):
+        return {r.n: r.id for r in tables.hashed_ids(spark.table(name), "id", "n", bits).collect()}
+
+    # Both look before either writes.
+    first, second = tables.hashed_rows(names("a", "b", "b", None), name, "n"), tables.hashed_rows(names("b", "c"), name, "n")
+    tables.append_table(first, name)
+    tables.append_table(second, name)
+    before = {bits: ids(bits) for bits in (63, 2)}
+    assert all(set(found) == {"a", "b", "c"} and len(set(found.values())) == 3 for found in before.values())
+    # Later names change no id, clash or not, and known ones add no row.
+    tables.create_or_insert_hashed(names("c", *[f"n{i}" for i in range(30)]), name, "n")
+    assert spark.table(name).count() == 4 + 30
+    for bits, known in before.items():
+        found = ids(bits)
+        assert len(set(found.values())) == 33 and {n: found[n] for n in known} == known
+    assert sum(i < 0 for i in ids(2).values()) >= 29 and all(i > 0 for i in ids(63).values())
