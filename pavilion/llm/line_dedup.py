@@ -8,7 +8,8 @@ never: what is left of its lines beside the shared segment is split again, until
 left is a character, where neighbours are found by equality. So the work follows the rows, not the squares of groups.
 
 Linked lines form classes (with everything reachable), and of a class only the first line stays: that of the least doc_id, then
-position. Lines shorter than MIN_CHARS without outer white space stay as they are.
+position. Outer spaces do not count. Equal lines are one class whatever their length; edits link lines of MIN_CHARS characters or
+more, as one edit makes another word of a short line. Lines without content stay.
 
 Defined cases: a null text has no lines and stays null; a null doc_id comes after all others; rows equal in doc_id and text are one
 document and lose the same lines; rows that share a doc_id only are told apart by their text.
@@ -35,7 +36,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(__id, __key, __pos, __form) of the lines that are judged; the form is the line without outer white space."""
     rows = docs.select(id_or_last().alias("__id"), text_key().alias("__key"), F.posexplode_outer(F.split("text", BREAK)).alias("__pos", "__line"))
     formed = rows.select("__id", "__key", "__pos", F.trim("__line").alias("__form"))
-    return formed.filter(F.length("__form") >= MIN_CHARS)
+    return formed.filter(F.length("__form") > 0)
 
 
 def _line_id():
@@ -206,7 +207,7 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(per line, roots): lid with its first place and number of places; (node, root) of lids in links."""
-    entries = _entries(F.col("__form"), F.lit(0).cast("long"), rests=False)
+    entries = F.when(F.length("__form") >= MIN_CHARS, _entries(F.col("__form"), F.lit(0).cast("long"), rests=False))
     lines = _lines(docs).select(_line_id(), F.struct("__id", "__key", "__pos").alias("place"), entries.alias("entries"))
     per_line = lines.groupBy("lid").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.max("entries").alias("entries"))
     per_line = materialize(per_line, "lines")

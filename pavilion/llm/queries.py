@@ -109,8 +109,8 @@ LINES = f"""
     with recursive lines as (
         select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos
         from documents),
-    forms as (select doc_id, pos, trim(line, ' ') as form from lines where length(trim(line, ' ')) >= {line_dedup.MIN_CHARS}),
-    texts as (select distinct form, length(form) as n from forms),
+    forms as (select doc_id, pos, trim(line, ' ') as form from lines where length(trim(line, ' ')) > 0),
+    texts as (select distinct form, length(form) as n from forms where length(form) >= {line_dedup.MIN_CHARS}),
     -- One edit spares the first nine characters or the last nine.
     links as (
         select a.form as u, b.form as v from texts a join texts b on a.form[1:9] = b.form[1:9]

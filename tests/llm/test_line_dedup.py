@@ -30,7 +30,7 @@ def brute(rows):
     places = collections.defaultdict(set)
     for doc, text in rows:
         for position, line in enumerate(text.split("\n") if text is not None else []):
-            if len(line.strip(" ")) >= line_dedup.MIN_CHARS:
+            if line.strip(" "):
                 places[line.strip(" ")].add((*key(doc, text), position))
     forms = sorted(places, key=len)
     parent = {f: f for f in forms}
@@ -41,7 +41,7 @@ def brute(rows):
         return x
 
     for i, a in enumerate(forms):
-        for b in forms[i + 1 :]:
+        for b in forms[i + 1 :] if len(a) >= line_dedup.MIN_CHARS else []:
             if len(b) > len(a) + 1:
                 break
             if apart_by_one(a, b):
@@ -107,3 +107,12 @@ def test_banded_distance(spark, edits):
     pairs = spark.createDataFrame(rows, "a string, b string")
     wrong = line_dedup.within(F.col("a"), F.col("b"), edits) != (F.levenshtein("a", "b") <= edits)
     assert pairs.filter(F.coalesce(wrong, F.lit(True))).count() == 0
+
+
+def test_an_exact_copy_leaves_no_stub(spark):
+    text = "A title\nLes.\nsome line that is long enough\n\n  x"
+    rows = [(1, text), (2, text), (3, "Les.\nown words of this document\nx"), (4, "\n \n"), (5, "Les?")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(map(tuple, line_dedup.drop_repeats(docs).collect()))
+    # White space alone is no content, but nothing was taken from it.
+    assert got == {1: text, 3: "own words of this document", 4: "\n \n", 5: "Les?"}
