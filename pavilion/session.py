@@ -39,3 +39,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove what materialize() wrote, once nothing reads it any more."""
+    for df in written:
+        spark = df.sparkSession
+        home = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/"
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            # Never anything but a folder of this session's own.
+            if path(folder).toUri().getPath().startswith(path(home).toUri().getPath()):
+                path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(folder), True)
