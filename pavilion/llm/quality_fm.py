@@ -128,6 +128,16 @@ def dense(rows, buckets=WORD_BUCKETS) -> np.ndarray:
     return x
 
 
+class Sparse:
+    """Learnt rows as they are collected; only the batch at hand is laid out in full."""
+
+    def __init__(self, rows, buckets=WORD_BUCKETS):
+        self.rows, self.shape = rows, (len(rows), buckets + STRUCTURE)
+
+    def __getitem__(self, some) -> np.ndarray:
+        return dense([self.rows[i] for i in some], self.shape[1] - STRUCTURE)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled=MAX_LABELLED):
     """A model from at most max_labelled labelled rows outside the held-out fold, or the share of ones alone."""
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -140,18 +150,16 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled=MAX_LABELLED):
     def factory():
         def made(doc_id, quality, text):
             at, weights, form = features(text)
-            return doc_id, quality, at.tolist(), weights.tolist(), form
+            return doc_id, quality, at.astype("<i4").tobytes(), weights.astype("<f4").tobytes(), np.array(form, "<f4").tobytes()
 
         return made
 
-    shaped = map_rows(
-        rows, factory, "id long, quality int, at array<int>, weights array<float>, form array<float>"
-    ).limit(max_labelled)
-    found = sorted(shaped.collect(), key=lambda r: (r.id, r.quality, r.at))
+    shaped = map_rows(rows, factory, "id long, quality int, at binary, weights binary, form binary").limit(max_labelled)
+    found = sorted(shaped.collect(), key=lambda r: (r.id, r.quality, np.frombuffer(r["at"], "<i4").tolist()))
     y = np.array([r.quality for r in found], np.float32)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 1.0
-    return fit(dense([(r["at"], r["weights"], r["form"]) for r in found]), y)
+    return fit(Sparse([(np.frombuffer(r["at"], "<i4"), np.frombuffer(r.weights, "<f4"), np.frombuffer(r.form, "<f4")) for r in found]), y)
 
 
 def score(docs: DataFrame, model, threshold=THRESHOLD) -> DataFrame:
