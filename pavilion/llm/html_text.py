@@ -3,8 +3,9 @@
 Every DOM node has a density: its characters per tag, adjusted for links (text within links counts against
 it). The node with the largest sum of its children's densities is the body of the article; the smallest density
 on the path from it to the body element is the threshold, and the subtree goes up along that path as far as
-a parent's own children pass the threshold. Nodes whose tag or class says menu, advert, comment and the like
-are taken out before, so that they neither weigh nor show.
+a parent's own children pass the threshold. Elements that are never part of an article go while the page is read. Nodes whose
+class, role or tag only says header, advert, comment and the like are weighed first: one that holds the article stays, the others
+are taken out, so that they neither weigh nor show.
 
 Defined cases: a null or empty html, or one without text, gives an empty text; broken markup (open tags, no
 body, stray ends) is read as far as it goes, and what is left out ends where an open tag's end is implied; rows repeat as they come; no page is cut.
@@ -28,18 +29,16 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 # Not part of an article, whatever they hold.
-DROPPED_TAGS = frozenset(
-    "head nav header footer aside form button select option input menu dialog svg math canvas object audio video "
-    "figure".split()
-) | RAW
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-DROPPED_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverts?|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side"
-    r"|footer\w*|header\w*|masthead|cookies?|consent|gdpr|notices?|notification|popup|modal|overlay|newsletter"
-    r"|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies"
-    r"|pager|pagination|widgets?|toolbar|skip)(?=$|[\s_-])",
-    re.I,
+DROPPED_TAGS = frozenset("head nav footer aside form button select option input menu dialog svg math canvas object audio video".split()) | RAW
+DOUBTFUL_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+# Parts of a class or id between hyphens that tell what surrounds an article.
+DOUBTFUL_WORDS = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|header\w*|masthead"
+    r"|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*"
+    r"|comments?|commentlist|disqus|respond|reply|replies|pager|pagination|widgets?|toolbar|skip|notices?|notification"
 )
+# A class that begins so says what state an element is in, not what it is; one of the second begins as an article's own header does.
+STATES, OWN = frozenset("has no not with without is".split()), frozenset("entry post article content story page title".split())
 # An opening tag of the first closes an open one of the second.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -60,27 +59,43 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 
 
 class Node:
-    __slots__ = ("tag", "parts", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag, parent):
-        self.tag, self.parent, self.parts = tag, parent, []
+    def __init__(self, tag, parent, doubtful=False):
+        self.tag, self.parent, self.parts, self.doubtful = tag, parent, [], doubtful
 
 
-def dropped(tag: str, attrs: str) -> bool:
+def named_so(tag: str, value: str) -> bool:
+    """Whether a class or id names something beside the article. A paragraph may be called a notice, and is still one."""
+    for token in value.lower().split():
+        parts = re.split(r"[-_]+", token)
+        if parts[0] in STATES:
+            continue
+        words = [p for p in parts if DOUBTFUL_WORDS.fullmatch(p)]
+        if parts[0] in OWN:
+            words = [w for w in words if not w.startswith("header")]
+        if tag in ("p", "li", "td", "dd") or tag in INLINE:
+            words = [w for w in words if not w.startswith("noti")]
+        if words:
+            return True
+    return False
+
+
+def judged(tag: str, attrs: str) -> tuple[bool, bool]:
+    """(left out whatever it holds, doubtful): what a tag says of an element before its content is known."""
     if tag in DROPPED_TAGS:
-        return True
+        return True, False
+    doubtful = tag == "header"
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return False, doubtful
     for name, *values in ATTRIBUTE.findall(attrs):
         value = "".join(values)
         name = name.lower()
-        if name in ("class", "id") and DROPPED_WORDS.search(value):
-            return True
-        if name == "role" and value.lower() in DROPPED_ROLES:
-            return True
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs), re.I))
+            return True, False
+        doubtful = doubtful or name in ("class", "id") and named_so(tag, value) or name == "role" and value.lower() in DOUBTFUL_ROLES
+    hidden = re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs), re.I)
+    return bool(hidden), doubtful
 
 
 def parse(page: str) -> Node:
@@ -135,13 +150,14 @@ def parse(page: str) -> Node:
             if not closed:
                 skipped.append(tag)
             continue
-        if not closed and dropped(tag, attrs):
+        out, doubtful = judged(tag, attrs)
+        if not closed and out:
             at = _close_paragraph(at, tag)
             skipped.append(tag)
             continue
         if tag not in INLINE:
             at = _close_paragraph(at, tag)
-        node = Node(tag, at)
+        node = Node(tag, at, doubtful)
         at.parts.append(node)
         if not closed:
             at = node
@@ -179,7 +195,7 @@ def _close_paragraph(at: Node, tag: str) -> Node:
     """A block ends an open paragraph with the inline tags in it, an item the item before it."""
     if tag in INLINE:
         return at
-    ends = CLOSES.get(tag, set()) | {"p"}
+    ends = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_PARAGRAPH else set())
     node = at
     while node.parent is not None and (node.tag in INLINE or node.tag in ends):
         if node.tag in ends:
@@ -212,6 +228,31 @@ def weigh(root: Node) -> list[Node]:
     return order
 
 
+def take_out(root: Node) -> None:
+    """Removes the doubtful nodes that do not hold the article.
+
+    One stays that holds an article or main element, or the main heading within such an element, or, where a page has no such
+    element, more than half of the text outside links.
+    """
+    order = weigh(root)
+    core = {id(n) for n in order if n.tag in ("article", "main")}
+    marked, heading = set(core), {id(n) for n in order if n.tag == "h1"}
+    for node in order:  # children first
+        for found in (marked, heading):
+            if id(node) in found and node.parent is not None:
+                found.add(id(node.parent))
+    plain = order[-1].chars - order[-1].link_chars
+    within: set[int] = set()
+    for node in reversed(order):  # parents first
+        if node.parent is not None and (id(node.parent) in within or id(node.parent) in core):
+            within.add(id(node))
+        if not node.doubtful:
+            continue
+        most = not core and 2 * (node.chars - node.link_chars) > plain
+        if id(node) not in marked and not (id(node) in within and id(node) in heading) and not most:
+            node.parent.parts = [p for p in node.parent.parts if p is not node]
+
+
 def composite_density(node: Node, link_share: float) -> float:
     """Characters per tag, times a logarithm that shrinks with links and grows with plain text."""
     if not node.chars:
@@ -287,6 +328,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    take_out(root)
     chosen = best(root)
     return "\n".join(blocks(chosen)) if chosen is not None else ""
 
