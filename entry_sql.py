@@ -6,8 +6,8 @@ joins over plain rows, no pre-aggregation.
 
 DELIVERIES = """
 b as (
-  select l_orderkey // 50 as match_id, 1 + l_linenumber % 2 as innings, l.*,
-         row_number() over (partition by l_orderkey // 50, l_linenumber % 2
+  select l_orderkey // 50 as match_id, 1 + l_linenumber % if(l_orderkey // 50 % 3 = 2, 4, 2) as innings, l.*,
+         row_number() over (partition by l_orderkey // 50, l_linenumber % if(l_orderkey // 50 % 3 = 2, 4, 2)
            order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) as seq
   from lineitem l),
 t as (
@@ -19,25 +19,30 @@ t as (
          case when l_tax = 0.05 and l_linestatus = 'F' then 1 end as leg_byes,
          cast(l_quantity as int) % 7 as batter_runs
   from b),
-u as (select *, case innings when 1 then t1 else t2 end as bt, case innings when 1 then t2 else t1 end as wt from t),
+u as (select *, if(innings % 2 = 1, t1, t2) as bt, if(innings % 2 = 1, t2, t1) as wt from t),
+k as (
+  select *, case when l_discount > 0.01 then null
+    when l_returnflag = 'A' then if(l_suppkey % 4 = 0, 'stumped', 'caught')
+    when l_returnflag = 'N' then case l_partkey % 5 when 0 then 'lbw' when 1 then 'hit wicket' else 'bowled' end
+    when l_linestatus = 'F' then case l_partkey % 7 when 0 then 'obstructing the field' when 1 then 'retired hurt' else 'run out' end
+    else 'caught and bowled' end as kind
+  from u),
 deliveries as (
   select match_id, date '1995-01-01' + cast(match_id * 3 as int) as match_date,
     bt as batting_team_id, wt as bowling_team_id, innings, overs, balls,
     bt * 11 + l_partkey % 5 as batter_id, bt * 11 + (l_partkey + 1) % 5 as non_striker_id,
     wt * 11 + 5 + overs % 6 as bowler_id, byes, leg_byes, no_balls, wides, batter_runs,
     batter_runs + coalesce(wides, 0) + coalesce(no_balls, 0) + coalesce(byes, 0) + coalesce(leg_byes, 0) as total_runs,
-    case when l_discount <= 0.01 then case l_returnflag when 'A' then 'caught' when 'N' then 'bowled'
-         else case l_linestatus when 'F' then 'run out' else 'caught and bowled' end end end as wicket_kind,
-    case when l_discount <= 0.01 then bt * 11 + l_partkey % 5 end as player_out_id,
-    case when l_discount <= 0.01 and (l_returnflag = 'A' or (l_returnflag = 'R' and l_linestatus = 'F'))
-         then wt * 11 + l_suppkey % 11 end as fielder_id
-  from u)"""
+    kind as wicket_kind,
+    case when kind is not null then bt * 11 + l_partkey % 5 end as player_out_id,
+    case when kind in ('caught', 'stumped', 'run out') then wt * 11 + l_suppkey % 11 end as fielder_id
+  from k)"""
 
 MATCHES = """
 sides as (
   select match_id, any_value(match_date) as match_date,
          max(case innings when 1 then batting_team_id end) as t1, max(case innings when 2 then batting_team_id end) as t2,
-         sum(case innings when 1 then total_runs else 0 end) as r1, sum(case innings when 2 then total_runs else 0 end) as r2,
+         sum(if(innings % 2 = 1, total_runs, 0)) as r1, sum(if(innings % 2 = 0, total_runs, 0)) as r2,
          min(case when batter_runs = 6 then batter_id end) as player_of_match_id
   from deliveries group by match_id),
 matches as (
@@ -445,7 +450,7 @@ SQL = {
         no_balls_bowled, wides_bowled, economy from dm join players using (player_id) where first_ball_bowled is not null""",
     "fall_of_wickets_rows": f"{STAR}, {FALLS} select * from falls",
     "fall_of_wickets": f"""{STAR}, {FALLS}
-      select match_id, innings, string_agg(fall, ', ' order by wicket_no, ball_no) as fall_of_wickets
+      select match_id, innings, string_agg(fall, ', ' order by wicket_no nulls first, ball_no) as fall_of_wickets
       from falls group by all""",
     "did_not_bat": f"""{STAR},
       bats as (select match_id, innings, batter_id as player_id from deliveries union select match_id, innings, non_striker_id from deliveries),
@@ -474,7 +479,7 @@ SQL = {
     "worm": f"""{STAR}, {OVERS}
       select match_id, innings, overs, cast(cum as bigint) as cumulative_runs, cast(nullif(cum_w, 0) as bigint) as cumulative_wickets,
         case when fallen > 0 then cast(cum as bigint) end as wicket_mark, wicket_mark - 1 as mark_low, wicket_mark + 1 as mark_high,
-        case innings when 1 then '#41A4FF' when 2 then '#12239E' end as innings_colour from run""",
+        case innings when 1 then '#41A4FF' when 2 then '#12239E' when 3 then '#A666B0' when 4 then '#E8D166' end as innings_colour from run""",
     "worm_tooltip": f"""{STAR}
       select match_id, innings, team_id, team, max(overs) as max_overs, cast(sum(total_runs) as bigint) as cumulative_runs,
         nullif(count(*) filter (wicket_kind in {CREDITED}), 0) as team_wickets, team_wickets as cumulative_wickets

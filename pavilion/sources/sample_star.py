@@ -1,7 +1,7 @@
 """A cricket-shaped star derived from the sample tables, and match documents made from it.
 
 The sample tables have no matches in them, so line items play the balls: fifty order keys
-make a match, odd and even line numbers its two innings. Built once per session and input,
+make a match, the rest of a line number its innings: two, or four where a match is a test. Built once per session and input,
 then read from files, as reports read stored tables.
 """
 
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.expr("l_orderkey div 50").alias("match_id"),
-        (1 + F.col("l_linenumber") % 2).cast("int").alias("innings"),
+        F.expr("cast(1 + l_linenumber % if((l_orderkey div 50) % 3 = 2, 4, 2) as int)").alias("innings"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
@@ -34,11 +34,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     balls = row_numbers(li, ["match_id", "innings"], order, "seq")
     t1 = F.expr("match_id % 8 + 1")
     t2 = F.expr("(match_id % 8 + 1 + (match_id div 8) % 7) % 8 + 1")
-    tax, flag, status = F.col("l_tax"), F.col("l_returnflag"), F.col("l_linestatus")
+    tax, status = F.col("l_tax"), F.col("l_linestatus")
     balls = balls.select(
         "*",
-        F.when(F.col("innings") == 1, t1).otherwise(t2).alias("bt"),
-        F.when(F.col("innings") == 1, t2).otherwise(t1).alias("wt"),
+        F.when(F.col("innings") % 2 == 1, t1).otherwise(t2).alias("bt"),
+        F.when(F.col("innings") % 2 == 1, t2).otherwise(t1).alias("wt"),
         F.expr("1 + (seq - 1) div 6").alias("overs"),
         F.expr("1 + (seq - 1) % 6").alias("balls"),
         F.when(tax == 0.08, 1).alias("wides"),
@@ -47,14 +47,13 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((tax == 0.05) & (status == "F"), 1).alias("leg_byes"),
         (F.col("l_quantity").cast("int") % 7).alias("batter_runs"),
     )
-    wicket = F.col("l_discount") <= 0.01
     batter = F.expr("bt * 11 + l_partkey % 5")
-    kind = (
-        F.when(flag == "A", "caught")
-        .when(flag == "N", "bowled")
-        .otherwise(F.when(status == "F", "run out").otherwise("caught and bowled"))
-    )
-    fielded = wicket & ((flag == "A") | ((flag == "R") & (status == "F")))
+    kind = F.expr("""case when l_discount > 0.01 then null
+        when l_returnflag = 'A' then if(l_suppkey % 4 = 0, 'stumped', 'caught')
+        when l_returnflag = 'N' then case l_partkey % 5 when 0 then 'lbw' when 1 then 'hit wicket' else 'bowled' end
+        when l_linestatus = 'F' then case l_partkey % 7 when 0 then 'obstructing the field' when 1 then 'retired hurt' else 'run out' end
+        else 'caught and bowled' end""")
+    fielded = kind.isin("caught", "stumped", "run out")
     extras = [F.coalesce(c, F.lit(0)) for c in ("wides", "no_balls", "byes", "leg_byes")]
     return balls.select(
         "match_id",
@@ -67,14 +66,14 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("wt * 11 + 5 + overs % 6").alias("bowler_id"),
         "byes", "leg_byes", "no_balls", "wides", "batter_runs",
         (F.col("batter_runs") + extras[0] + extras[1] + extras[2] + extras[3]).alias("total_runs"),
-        F.when(wicket, kind).alias("wicket_kind"),
-        F.when(wicket, batter).alias("player_out_id"),
+        kind.alias("wicket_kind"),
+        F.when(kind.isNotNull(), batter).alias("player_out_id"),
         F.when(fielded, F.expr("wt * 11 + l_suppkey % 11")).alias("fielder_id"),
     )
 
 
 def matches(balls: DataFrame) -> DataFrame:
-    first, second = F.col("innings") == 1, F.col("innings") == 2
+    first, second = F.col("innings") % 2 == 1, F.col("innings") % 2 == 0
     sums = balls.groupBy("match_id").agg(
         F.any_value("match_date").alias("match_date"),
         F.max(F.when(first, F.col("batting_team_id"))).alias("t1"),
