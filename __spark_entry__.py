@@ -18,6 +18,7 @@ from pavilion.operators import tables  # noqa: E402
 from pavilion.operators.ordinals import positions  # noqa: E402
 from pavilion.operators.shred import match_facts, squads  # noqa: E402
 from pavilion.plans import joblog, reports, scorecard, star as star_plan  # noqa: E402
+from pavilion.plans.load import load  # noqa: E402
 from pavilion.plans.measures import DELIVERY_MEASURES, SQUAD_MEASURES, evaluate  # noqa: E402
 from pavilion.plans.selectors import SELECTORS  # noqa: E402
 from pavilion.session import shared_dir  # noqa: E402
@@ -261,6 +262,40 @@ def match_files(spark, sf):
     return read.unionByName(refused, allowMissingColumns=True)
 
 
+def load_log(spark, sf):
+    """A folder loaded twice and a job that fails: what the log says of each, and how many rows each table has."""
+    schema, folder = scratch_schema(spark), document_folder(spark, sf)
+    log = f"{schema}.t_job"
+
+    def logged_load(job_id):
+        run = lambda: load(spark, folder, schema, schema, schema, parent_id=job_id)
+        return joblog.run_logged(spark, log, "Load", run, "Orchestrator", job_id=job_id)
+
+    def fail():
+        raise RuntimeError("refresh failed")
+
+    star = logged_load("first")
+    for again in (lambda: logged_load("second"), lambda: joblog.run_logged(spark, log, "Refresh", fail, parent="Load")):
+        try:
+            again()
+        except (tables.NoNewData, RuntimeError):
+            pass
+    jobs = joblog.with_parent_names(joblog.logged_jobs(spark.table(log)))
+    found = jobs.groupBy(
+        F.lit("job").alias("kind"), F.col("job_name").alias("name"), F.col("job_category").alias("category"),
+        F.col("parent_job_id").alias("parent"), "parent_job_name", "status", "message",
+    ).agg(F.count(F.lit(1)).alias("n"))
+    stored = {
+        "t_dim_match": star.matches, "t_dim_team": star.teams, "t_dim_player": star.players, "t_dim_date": star.dates,
+        "t_fact_team_players": star.team_players, "t_fact_deliveries": star.deliveries,
+        "t_refused_file": spark.table(f"{schema}.t_refused_file"),
+    }
+    for name, df in stored.items():
+        count = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("table").alias("kind"), F.lit(name).alias("name"), "n")
+        found = found.unionByName(count, allowMissingColumns=True)
+    return found
+
+
 def gate_files(spark, sf):
     """The names that a load has to read, where files of even numbers are staged in the version that the folder has."""
     folder, name = document_folder(spark, sf), f"{scratch_schema(spark)}.t_match_document"
@@ -286,7 +321,7 @@ def document_matches(staging, star):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the player table."""
-    return reports.player_stats(sample_star(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001")))
+    return reports.player_stats(sample_star(spark, "/root/testdata/sf0.001"))
 
 
 def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -359,6 +394,7 @@ def plain_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compacted_table": compacted_table,
         "match_files": match_files,
         "gate_files": gate_files,
+        "load_log": load_log,
         "squad_explode": squad_explode,
         "first_team_case": of_documents(first_team_case),
         "dim_player": of_documents(lambda staging, star: star.players),

@@ -525,6 +525,21 @@ SQL = {
     "gate_files": f"""{STAR}
       select match_id || '.json' as file_name from matches where match_id % 2 = 1
       union all select unnest(['900001.json', '900002.json', 'notes.json'])""",
+    "load_log": f"""{DOCS},
+      steps as (select unnest(['t_dim_player', 't_dim_team', 't_dim_match', 't_dim_date', 't_fact_team_players', 't_fact_deliveries']) as name),
+      logged as (
+        select 'Load' as name, 'Orchestrator' as category, null as parent, null as parent_job_name, 'Completed' as status, unnest([null, 'No new data']) as message
+        union all select 'Gate Staging', 'Ingest to Raw', unnest(['first', 'second']), 'Load', 'Completed', unnest([null, 'No new data'])
+        union all select 'Stage Documents', 'Ingest to Raw', 'first', 'Load', 'Completed', null
+        union all select name, 'Build Star Schema', 'first', 'Load', 'Completed', null from steps
+        union all select 'Refresh', 'Adhoc', 'second', 'Load', 'Failed', 'refresh failed'),
+      stored as (
+        select 't_dim_match' as name, (select count(*) from matches) as n union all select 't_dim_team', (select count(*) from named_teams)
+        union all select 't_dim_player', (select count(*) + 1 from named) union all select 't_fact_team_players', (select count(*) from team_players)
+        union all select 't_fact_deliveries', (select count(*) from deliveries) union all select 't_refused_file', 3
+        union all select 't_dim_date', (select 1 + date_diff('day', make_date(year(min(match_date)), 1, 1), make_date(year(max(match_date)), 12, 31)) from matches))
+      select 'job' as kind, *, 1 as n from logged
+      union all select 'table', name, null, null, null, null, null, n from stored""",
     "squad_explode": f"""{DOCS}
       select doc_id as match_id, team, player_name from team_players join parts using (match_id) join teams using (team_id)
         join players using (player_id)""",
