@@ -2,11 +2,12 @@
 
 import corpus_pipeline
 import pytest
-from pavilion.llm import bpe, decontaminate, html_text, line_dedup, quality_fm, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from pavilion.llm import bpe, decontaminate, html_text, importance, line_dedup, quality_fm, quality_rules, sentence_pieces, sharding, simhash, suffix_dedup, url_filter
 from test_bpe import PATH, PATTERN, reference
 from test_decontaminate import brute as brute_windows
+from test_jaccard import brute_kept
 from test_line_dedup import brute as brute_lines
-from test_simhash import brute_components
+from test_sentence_pieces import PATH as PIECES
 
 COLUMNS = ["doc_id", "lang", "n_chars", "source", "text"]
 
@@ -41,8 +42,7 @@ def test_stages(spark, sf_dir):
     assert rows_of(after) == sorted(want, key=str) and any(gone.values())
 
     before, after = outputs[2]
-    groups = brute_components([(r.doc_id, r.text) for r in before.collect()])
-    heads = {doc for doc, _, component in groups if doc == component}
+    heads = set(brute_kept([(r.doc_id, r.text) for r in before.collect()]))
     assert rows_of(after) == [r for r in rows_of(before) if r[0] in heads]
 
     before, after = outputs[3]
@@ -61,32 +61,36 @@ EDGES = [
     (None, None, None, None, None, None), (None, None, None, None, None, None), (2, "", "en", "s", 0, "x"), (2, "other text", None, "s", None, "x"),
     (3, "é🙂\x00 " * 30000, "de", None, 120000, None), (4, "a" * 70000, "fr", "s", 70000, "x"),
 ]
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, {} string"
-
-
-@pytest.mark.parametrize("extra", ["fingerprint", "words", "entry", "part", "hash", "lid", "ids", "pos", "label"])
-def test_edges_of_stages(spark, sf_dir, extra):
-    docs = spark.createDataFrame(EDGES, SCHEMA.format(extra))
-    few = [corpus_pipeline.STAGES[i % 4] for i in [len(extra)]] if extra != "words" else corpus_pipeline.STAGES
-    for name, stage in few:
-        for given in (docs, docs.limit(0)):
-            got = stage(spark, given, sf_dir)
-            if name != "tokens":
-                assert got.columns == docs.columns
-            n = got.count()
-            assert n <= given.count()
-            if name in ("quality classifier", "tokens") and given is docs:
-                assert name != "tokens" or n == len(EDGES)
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use inside, all at once.
+CLASHING = (
+    "fingerprint words entry entries part hash lid ids pos label node root u v lo hi n size prefix sketch hashes other leader component member line form "
+    "stays place n_words score weight rank quality predicted kept key doc bucket shard value row item_id items grams left right middle"
+).split()
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_edges_of_stages(spark, sf_dir, name):
+    rows = [(*r[:5], *[r[5]] * len(CLASHING)) for r in EDGES]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in CLASHING))
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for given in (docs, docs.limit(0)):
+        got = stage(spark, given, sf_dir)
+        if name != "tokens":
+            assert got.columns == docs.columns
+        n = got.count()
+        assert n <= given.count() and (name != "tokens" or n == given.count())
 
 
 def test_edges_of_operators(spark):
-    docs = spark.createDataFrame(EDGES, SCHEMA.format("size"))
+    docs = spark.createDataFrame([(*r[:5], *[r[5]] * len(CLASHING)) for r in EDGES], SCHEMA + "".join(f", `{c}` string" for c in CLASHING))
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, None), (1, 1)], "doc_id long, quality int")
     items = spark.createDataFrame([(1, None), (1, ""), (None, "w w")], "item_id long, text string")
     over_docs = {
         "simhash": simhash.near_duplicates, "lines": line_dedup.report, "suffixes": suffix_dedup.report, "shards": sharding.shard,
         "tokens": lambda d: bpe.digests(d, PATH, PATTERN), "rules": lambda d: quality_rules.judge(d, labels),
         "windows": lambda d: decontaminate.judge(d, items), "classifier": lambda d: quality_fm.classify(d, labels),
+        "pieces": lambda d: sentence_pieces.digests(d, PIECES), "draw": lambda d: importance.resample(d, items),
     }
     for name, operator in over_docs.items():
         assert len(operator(docs).collect()) == len(EDGES), name

@@ -13,9 +13,8 @@ def test_sum_of_squares_identity():
         assert abs(0.5 + row @ linear + pairs - score) < 1e-9
 
 
-def test_held_out_rows(spark):
-    folder = "/root/testdata/sf0.01"
-    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+def test_held_out_rows(spark, more_labels):
+    docs, labels = (spark.read.parquet(f"{more_labels}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_fm.classify(docs, labels).join(labels, "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
@@ -23,9 +22,8 @@ def test_held_out_rows(spark):
     assert len(held) > 40 and sum(r.predicted == r.quality for r in held) >= 0.93 * len(held)
 
 
-def test_labels_lang_and_source_do_not_count(spark):
-    folder = "/root/testdata/sf0.01"
-    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+def test_labels_lang_and_source_do_not_count(spark, more_labels):
+    docs, labels = (spark.read.parquet(f"{more_labels}/{t}.parquet") for t in ("documents", "labels"))
     held = quality_fm.held_out()
     told = labels.withColumn("quality", 1 - labels.quality).filter(held).union(labels.filter(~held).select("doc_id", "quality", "toxic").toDF("doc_id", "quality", "toxic").select(*labels.columns))
     a = {r.doc_id: r.score for r in quality_fm.classify(docs, labels).collect()}

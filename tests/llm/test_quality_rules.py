@@ -37,9 +37,8 @@ def test_counts(spark, sf_dir):
             assert not (r.kept and r.base_failed)
 
 
-def test_held_out_accuracy(spark):
-    folder = "/root/testdata/sf0.01"
-    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+def test_held_out_accuracy(spark, more_labels):
+    docs, labels = (spark.read.parquet(f"{more_labels}/{t}.parquet") for t in ("documents", "labels"))
     train, test = labels.filter("doc_id % 5 <> 0"), labels.filter("doc_id % 5 = 0")
     rows = quality_rules.judge(docs, train).join(test, "doc_id").filter("not base_failed").collect()
     right = sum(r.kept == bool(r.quality) for r in rows)
