@@ -21,26 +21,31 @@ def with_parent_names(jobs: DataFrame) -> DataFrame:
     return left_join_apart(jobs, names, "parent_job_id")
 
 
-def latest_root(jobs: DataFrame) -> DataFrame:
-    """The root job with children that started last: one row."""
-    parents = jobs.filter("parent_job_id is not null").select(F.col("parent_job_id").alias("job_id")).distinct()
-    roots = jobs.filter("parent_job_id is null").join(parents, "job_id", "left_semi")
-    return roots.agg(F.max_by("job_id", F.struct("start_time", "job_id")).alias("latest_id"))
+def known_jobs(jobs: DataFrame) -> DataFrame:
+    """Per id that is a job's or a parent's: the job's name and start, whether it is a root, and how many children it has."""
+    own = "struct(job_id as id, job_name as name, start_time as start, parent_job_id is null as is_root, 0 as child)"
+    named = "if(false, job_name, null) as name, if(false, start_time, null) as start, if(false, true, null) as is_root"
+    rows = jobs.selectExpr(f"inline(array({own}, struct(parent_job_id as id, {named}, 1 as child)))").filter("id is not null")
+    return rows.groupBy("id").agg(
+        F.max("name").alias("name"), F.max("start").alias("start"), F.max("is_root").alias("is_root"), F.sum("child").alias("children")
+    )
 
 
 def job_report(jobs: DataFrame, now: Column) -> DataFrame:
     """Every job with its parent's name, whether it belongs to the latest run, and its time.
 
-    A job meets its root by one key, its parent's id or else its own. The flag needs only
-    two small frames: the ids of roots with children, and the one that started last.
+    A job meets its root by one key, its parent's id or else its own, so none is without a key. The latest run is that of the
+    root with children that started last: one row.
     """
-    parents = jobs.filter("parent_job_id is not null").select(F.col("parent_job_id").alias("root_id")).distinct()
-    roots = jobs.filter("parent_job_id is null").select(F.col("job_id").alias("root_id"))
-    latest = latest_root(jobs).select(F.col("latest_id").alias("root_id"), F.lit("Y").alias("flag"))
-    flags = roots.join(parents, "root_id", "left_semi").join(F.broadcast(latest), "root_id", "left")
-    flags = flags.select("root_id", F.coalesce("flag", F.lit("N")).alias("is_latest_parent"))
-    rows = with_parent_names(jobs).withColumn("root_id", F.coalesce("parent_job_id", "job_id"))
-    rows = rows.join(flags, "root_id", "left").withColumn("duration_sec", duration(now))
+    known = known_jobs(jobs)
+    headed = F.col("is_root") & (F.col("children") > 0)
+    latest = known.filter(headed).agg(F.max_by("id", F.struct("start", "id")).alias("latest_id"))
+    roots = known.join(F.broadcast(latest), F.col("id") == F.col("latest_id"), "left").select(
+        F.col("id").alias("root_id"), "name",
+        F.when(headed, F.when(F.col("latest_id").isNotNull(), "Y").otherwise("N")).alias("is_latest_parent"),
+    )
+    rows = jobs.withColumn("root_id", F.coalesce("parent_job_id", "job_id")).join(roots, "root_id", "left")
+    rows = rows.withColumns({"parent_job_name": F.when(F.col("parent_job_id").isNotNull(), F.col("name")), "duration_sec": duration(now)})
     return rows.select(
         "job_category", "job_name", "parent_job_name", "is_latest_parent", "start_time", "end_time",
         elapsed_report(F.col("duration_sec")).alias("time_elapsed"),

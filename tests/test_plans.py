@@ -3,10 +3,10 @@
 import __spark_entry__ as entry
 import pytest
 from pavilion.operators import joins
-from pavilion.plans import scorecard, star as star_plan
+from pavilion.plans import joblog, scorecard, star as star_plan
 from pavilion.plans.measures import evaluate
 from pavilion.session import materialize
-from pavilion.sources.sample_star import document_star, sample_star
+from pavilion.sources.sample_star import document_star, sample_jobs, sample_star
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,14 @@ def test_progress_reads_the_balls_once(star, monkeypatch):
     assert scans(scorecard.ball_map(star), "t_fact_deliveries") == 2
 
 
+def test_job_report_reads_the_log_twice(spark, sf_dir):
+    report = joblog.job_report(sample_jobs(spark, sf_dir), F.lit("2024-02-15").cast("timestamp_ntz"))
+    # A third scan is the exchange of the second, used again.
+    report.collect()
+    text = plan(report).split("Initial Plan")[0]
+    assert sum("/t_job-" in line for line in text.splitlines() if "FileScan" in line) <= 3 and "NestedLoop" not in text
+
+
 def test_documents_are_parsed_once_and_never_shuffled(spark, sf_dir, monkeypatch):
     staging = document_star(spark, sf_dir)[0]
     written = []
