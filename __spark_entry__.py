@@ -257,11 +257,26 @@ def compacted_table(spark, sf):
 def match_files(spark, sf):
     """Match files read back as staging rows, and the files in their folder that are none."""
     folder = document_folder(spark, sf)
-    read = read_matches(spark, folder).drop("file_bytes", "file_time", "last_update_ts")
+    stamped = (F.col("last_update_ts") >= F.col("file_time")) & (F.col("last_update_ts") <= F.now())
+    read = read_matches(spark, folder).withColumn("stamped", stamped).drop("file_bytes", "file_time", "last_update_ts")
     refused = problems(read_files(spark, folder)).select("file_name", "problem")
     return read.unionByName(refused, allowMissingColumns=True)
 
 
+def catalog_listing(spark, sf):
+    """What a schema of its own lists, with the number of rows of each table: written, appended to, merged, literal and empty."""
+    schema = scratch_schema(spark)
+    tables.create_schemas(spark, schema)  # there already, and left as it is
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    tables.replace_table(customers(spark, sf), f"{schema}.t_customer")
+    tables.replace_table(orders.filter("o_orderstatus = 'F'"), f"{schema}.t_order")
+    tables.append_table(orders.filter("o_orderstatus = 'O'"), f"{schema}.t_order")
+    tables.replace_table(tables.literal_rows(spark, [(1, "a"), (2, None)], "id int, name string"), f"{schema}.t_literal")
+    tables.replace_table(orders.limit(0), f"{schema}.t_empty")
+    rows = [(name, schema in tables.list_schemas(spark), tables.row_count(spark, f"{schema}.{name}")) for name in tables.list_tables(spark, schema)]
+    return tables.literal_rows(spark, rows, "table_name string, schema_listed boolean, n long")
+
+
 def load_log(spark, sf):
     """A folder loaded twice and a job that fails: what the log says of each, and how many rows each table has."""
     schema, folder = scratch_schema(spark), document_folder(spark, sf)
@@ -393,6 +408,7 @@ def plain_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "staged_matches": of_documents(lambda staging, star: staging.select("match_id", "file_name")),
         "compacted_table": compacted_table,
         "match_files": match_files,
+        "catalog_listing": catalog_listing,
         "gate_files": gate_files,
         "load_log": load_log,
         "squad_explode": squad_explode,

@@ -518,10 +518,14 @@ SQL = {
     "staged_matches": f"{DOCS} select doc_id as match_id, doc_id || '.json' as file_name from parts",
     "compacted_table": f"{STAR} select match_id, count(*) as n, cast(sum(total_runs) as bigint) as runs from deliveries group by all",
     "match_files": f"""{STAR}, {FILES}
-      select match_id, match_id || '.json' as file_name, info as match_info, innings as match_innings, null as problem
+      select match_id, match_id || '.json' as file_name, info as match_info, innings as match_innings, true as stamped, null as problem
       from infos join all_innings using (match_id)
-      union all select null, '900001.json', null, null, 'not a JSON object' union all select null, '900002.json', null, null, 'no innings'
-      union all select null, 'notes.json', null, null, 'no number in the name'""",
+      union all select null, unnest(['900001.json', '900002.json', 'notes.json']), null, null, null,
+        unnest(['not a JSON object', 'no innings', 'no number in the name'])""",
+    "catalog_listing": """
+      select 't_customer' as table_name, true as schema_listed, count(*) as n from customer
+      union all select 't_order', true, count(*) from orders where o_orderstatus in ('F', 'O')
+      union all select 't_literal', true, 2 union all select 't_empty', true, 0""",
     "gate_files": f"""{STAR}
       select match_id || '.json' as file_name from matches where match_id % 2 = 1
       union all select unnest(['900001.json', '900002.json', 'notes.json'])""",
