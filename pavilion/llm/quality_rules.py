@@ -204,8 +204,10 @@ def train(measured: DataFrame, labels: DataFrame, max_labelled=MAX_LABELLED):
     """(bias, node arrays) from at most max_labelled labelled rows."""
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).withColumnRenamed("doc_id", "__id")
-    rows = measured.select("doc_id", "__inputs").join(chosen, F.col("doc_id") == F.col("__id")).limit(max_labelled)
-    found = sorted(rows.select("doc_id", "__inputs", F.col("__quality").cast("int").alias("q")).collect())
+    rows = measured.select("doc_id", "__inputs").join(chosen, F.col("doc_id") == F.col("__id"))
+    # Of documents that share an id one is learnt from, whichever way the rows come: as many rows as chosen labels at most.
+    rows = rows.groupBy("doc_id").agg(F.min("__inputs").alias("__inputs"), F.min("__quality").cast("int").alias("q"))
+    found = sorted(rows.collect())
     y = np.array([r.q for r in found], float)
     if not len(y) or y.min() == y.max():
         return 10.0 if not len(y) or y.min() else -10.0, tuple(np.zeros(0, int) for _ in range(6))

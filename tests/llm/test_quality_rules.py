@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 from pavilion.llm import quality_rules
+from pyspark.sql import functions as F
 
 
 def brute(text):
@@ -72,3 +73,27 @@ def test_without_labels_the_rules_decide(spark):
     docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60))), (2, "short")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.doc_id: r.kept for r in quality_rules.judge(docs, none).collect()} == {1: True, 2: False}
+
+
+def test_kept_against_a_plain_walk(spark, more_labels):
+    """Every tree walked node by node for every document, and learning that does not hang on the order of repeated ids."""
+    docs, labels = (spark.read.parquet(f"{more_labels}/{t}.parquet") for t in ("documents", "labels"))
+    measured = quality_rules.measure(docs)
+    bias, flat = quality_rules.train(measured, labels)
+    roots, feature, threshold, left, right, value = (c.tolist() for c in flat)
+
+    def walked(x):
+        total = bias
+        for at in roots:
+            while left[at] != at:
+                at = left[at] if x[feature[at]] <= threshold[at] else right[at]
+            total += value[at]
+        return 1 / (1 + np.exp(-total)) >= quality_rules.THRESHOLD
+
+    want = sorted((r.doc_id, bool(walked(r["__inputs"]))) for r in measured.collect())
+    got = sorted((r.doc_id, r.kept) for r in quality_rules.judge(docs, labels).collect() if not r.base_failed)
+    passed = {doc for doc, _ in got}
+    assert got == [w for w in want if w[0] in passed] and len({kept for _, kept in got}) == 2
+    twice = measured.union(measured.filter("doc_id % 2 = 0").withColumn("__inputs", F.transform("__inputs", lambda v: v + 1)))
+    for a, b in zip(quality_rules.train(twice.repartition(3), labels, 50)[1], quality_rules.train(twice.repartition(5), labels, 50)[1]):
+        assert a.tolist() == b.tolist()
