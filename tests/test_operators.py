@@ -27,6 +27,19 @@ def test_row_numbers_of_hot_and_null_groups(rows, slices):
     assert {r["id"]: r["n"] for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("hot", [1000, 40, 1])
+def test_row_numbers_of_small_groups_take_one_exchange(rows, hot):
+    data, df = rows
+    data = [(None if r[0] == "hot" else r[0], *r[1:]) for r in data]
+    df = df.withColumn("k", F.nullif("k", F.lit("hot")))
+    expected = {r[1:3]: 1 + sum(o[0] == r[0] and o[1:3] < r[1:3] for o in data) for r in data}
+    got = ordinals.row_numbers(df, ["k"], ["o", "id"], "n", hot=hot)
+    assert set(got.columns) == {"k", "o", "id", "v", "n"}
+    assert {(r.o, r.id): r.n for r in got.collect()} == expected
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    assert ("Join" in text) == (hot < 1000)  # offsets, where a group is cut into slices
+
+
 def test_dense_ids(rows):
     data, df = rows
     got = ordinals.dense_ids(df.unionByName(df.withColumn("k", F.lit(None).cast("string"))), "k", "i", first=11)
