@@ -6,7 +6,7 @@ from pavilion.operators import joins
 from pavilion.plans import joblog, scorecard, star as star_plan
 from pavilion.plans.measures import evaluate
 from pavilion.session import materialize
-from pavilion.sources.sample_star import document_star, sample_jobs, sample_star
+from pavilion.sources.sample_star import document_star, documents, sample_jobs, sample_star
 from pyspark.sql import functions as F
 
 
@@ -116,3 +116,25 @@ def test_no_nested_loops_and_no_python(spark, sf_dir, name):
     text = plan(entry.own_queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "Python" not in text and "InPandas" not in text
     assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_balls_are_dealt_out_once_for_documents(spark, sf_dir):
+    """Listed to overs, innings and matches where their match is."""
+    text = documents(sample_star(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    balls = text[: text.rindex("t_fact_deliveries-")].rsplit("t_dim_match-", 1)[-1]
+    assert balls.count("Exchange hashpartitioning") == 1
+
+
+def test_balls_meet_their_match_without_a_sort(spark, sf_dir, monkeypatch):
+    staging = document_star(spark, sf_dir)[0]
+    written = {}
+
+    def keep(df, name):
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name)
+
+    star_plan.build_star(staging, store=keep)
+    # What stands above the scan of the balls, up to the join.
+    above = written["t_fact_deliveries"].split("/balls-")[0].splitlines()
+    join = max(i for i, line in enumerate(above) if "ShuffledHashJoin [match_id" in line)
+    assert not any("Sort [" in line or "SortMergeJoin" in line for line in above[join:][:5])
