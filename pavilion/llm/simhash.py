@@ -231,14 +231,19 @@ def near_duplicates(docs: DataFrame, shingle=SHINGLE, budget=BUDGET) -> DataFram
     )
 
 
+def grouped(docs: DataFrame, shingle=SHINGLE, budget=BUDGET) -> DataFrame:
+    """__id, __key and __component, the least __id reachable over links, of every row."""
+    keyed = docs.select(id_or_last().alias("__id"), text_key().alias("__key"), "text")
+    rows = materialize(fingerprints(keyed, shingle, ("__id", "__key")), "simhash")
+    return rows.join(classes(rows, budget), "__fingerprint").select("__id", "__key", "__component")
+
+
 def keep_one(docs: DataFrame, shingle=SHINGLE, budget=BUDGET) -> DataFrame:
     """One document of each group of near-duplicates, the one with the least doc_id, with its own columns.
 
     Of rows that share that doc_id the one with the least key of its text stays, and of equal rows one.
     """
-    keyed = docs.select(id_or_last().alias("__id"), text_key().alias("__key"), "text")
-    rows = materialize(fingerprints(keyed, shingle, ("__id", "__key")), "simhash")
-    own = rows.join(classes(rows, budget), "__fingerprint").filter(F.col("__id") == F.col("__component"))
+    own = grouped(docs, shingle, budget).filter(F.col("__id") == F.col("__component"))
     chosen = own.groupBy("__component").agg(F.min("__key").alias("__kept")).select(F.col("__component").alias("__kept_id"), "__kept")
     kept = docs.withColumns({"__id": id_or_last(), "__key": text_key()}).join(
         chosen, (F.col("__id") == F.col("__kept_id")) & (F.col("__key") == F.col("__kept"))
