@@ -3,6 +3,7 @@ import os
 
 from matches import MATCHES, write_all
 from pavilion.sources.match_json import file_key, list_files, new_files, problems, read_files, read_matches
+from pavilion.sources.sample_star import write_files
 from pyspark.sql import functions as F
 
 
@@ -57,3 +58,12 @@ def test_only_new_files_are_opened(spark, tmp_path):
     # Files older than the new ones are passed over by the scan.
     scan = some._jdf.queryExecution().executedPlan().toString()
     assert "FileScan text" in scan and "file_modification_time" in scan.split("DataFilters:")[1].split("Format")[0]
+
+
+def test_files_are_written_under_their_names(spark, tmp_path):
+    """By the tasks: nothing is left to be moved."""
+    texts = {f"{i}.json": f'{{"info": {{}},\n "é": {i}}}' for i in range(40)}
+    rows = spark.createDataFrame([*texts.items(), (None, "x")], "file_name string, content string").repartition(3)
+    write_files(rows, str(tmp_path / "files"))
+    assert {p.name: p.read_bytes().decode() for p in (tmp_path / "files").iterdir()} == {k: v + "\n" for k, v in texts.items()}
+    assert [p.name for p in tmp_path.iterdir()] == ["files"]
