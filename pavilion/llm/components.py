@@ -2,38 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pavilion.session import materialize
 
 ROUNDS = 60
+# Links that a task of a round handles, where there are more than one for each core.
+TASK_LINKS = 200_000
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.filter("u <> v").distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _tasks(spark: SparkSession, links: int) -> int:
+    """Tasks for so many links: a round has many short stages, and the driver keeps track of each task of them."""
+    return max(spark.sparkContext.defaultParallelism, -(-links // TASK_LINKS))
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link each node's larger neighbours to the least of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "c")
-    return _distinct(both.join(least, F.col("u") == F.col("c")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    near = both.join(least, F.col("u") == F.col("c")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _distinct(near.coalesce(tasks)).coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link each node and its smaller neighbours to the least of them; here v < u in every edge."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c")
     near = edges.join(least, F.col("u") == F.col("c")).select("v", "m")
     own = least.select("c", "m")
-    return _distinct(near.union(own).toDF("u", "v"))
+    return _distinct(near.union(own).toDF("u", "v").coalesce(tasks)).coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in an edge (u, v); root is the component's least node.
 
     Each round is written to the shared folder, so a lost executor costs one round at most. The rounds grow with the
-    logarithm of the longest path; edges never outnumber the given ones.
+    logarithm of the longest path; edges never outnumber the given ones. Its tasks follow the number of links, not that of
+    the shuffles' partitions.
     """
+    spark = edges.sparkSession
     oriented = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now, seen = materialize(_distinct(oriented), "links"), None
     for _ in range(ROUNDS):
@@ -41,7 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("root"))
-            ).distinct()
-        seen = mark
-        now = materialize(_small_star(_large_star(now)), "links")
+            ).distinct().coalesce(_tasks(spark, mark[0]))
+        seen, tasks = mark, _tasks(spark, mark[0])
+        now = materialize(_small_star(_large_star(now, tasks), tasks), "links")
     raise RuntimeError("the components did not settle")
