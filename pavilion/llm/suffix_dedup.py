@@ -325,45 +325,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     settled = named.join(ends, "name").filter("doc > first").select("part", "name", F.col("first").alias("doc")).distinct()
     chunk_side = settled.select("part", F.lit(CHUNKS).alias("kind"), "name", "doc", F.lit(None).cast("binary").alias("data"))
 
-    # 2. Pairs of minimizers of the other strings that more than one document has.
+    # 2. Pairs of minimizers of the other strings that more than one document has. A document is in one part only, so what two
+    # parts tell is in two documents; ids stay where they are.
     def tell(key, pdf, side):
         known = _settled(side)
-        codes, ids = [], []
+        own: dict[int, np.ndarray] = {}
         for doc, raw in zip(pdf["__id"], pdf["raw"]):
             text = Hashed(bytes(raw))
             _, unsettled = _open_ranges(chunks(text), doc, known)
-            first = np.unique(runs(text, unsettled)[2])
-            codes.append(first)
-            ids.append(np.full(len(first), doc, np.int64))
-        first, doc = np.concatenate([np.zeros(0, np.uint64), *codes]), np.concatenate([np.zeros(0, np.int64), *ids])
-        group, code = _codes(first, groups)
-        order = np.lexsort((doc, code, group))
-        group, code, doc = group[order], code[order], doc[order]
-        head = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (code[1:] != code[:-1])]) if len(group) else np.zeros(0, int)
-        tail = np.r_[head[1:], len(group)] - 1
-        group, code, low, high = group[head], code[head], doc[head], doc[tail.astype(int)] if len(head) else doc
-        edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, int)
-        rows = []
-        for a, b in zip(edge, np.r_[edge[1:], len(group)].astype(int)):
-            more = np.flatnonzero(high[a:b] > low[a:b])
-            wide = np.int64 if b > a and high[a:b].max() >= 1 << 32 else np.uint32
-            rows.append((int(group[a]), int(key[0]), code[a:b].astype("<u4").tobytes(), low[a:b].astype(wide).tobytes(),
-                         code[a:b][more].astype("<u4").tobytes()))
-        return pd.DataFrame(rows, columns=["group", "part", "codes", "docs", "several"])
+            pairs = runs(text, unsettled)[2]
+            own[doc] = np.unique(np.concatenate([own[doc], pairs]) if doc in own else pairs)
+        pair, documents = np.unique(np.concatenate([np.zeros(0, np.uint64), *own.values()]), return_counts=True)
+        group, code = _codes(pair, groups)
+        # Those of several documents of the part come first.
+        order = np.lexsort((code, documents < 2, group))
+        group, code, several = group[order], code[order].astype("<u4"), documents[order] > 1
+        edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(0, int)
+        rows = [(int(group[a]), int(key[0]), code[a:b].tobytes(), int(several[a:b].sum())) for a, b in zip(edge[:-1], edge[1:])]
+        return pd.DataFrame(rows, columns=["group", "part", "codes", "several"])
 
     part_texts = texts.groupBy("part")
-    told = part_texts.cogroup(chunk_side.groupBy("part")).applyInPandas(
-        tell, "group int, part int, codes binary, docs binary, several binary"
-    )
+    told = part_texts.cogroup(chunk_side.groupBy("part")).applyInPandas(tell, "group int, part int, codes binary, several int")
 
     def answer(key, pdf):
         codes = [np.frombuffer(c, "<u4") for c in pdf["codes"]]
-        ids = [np.frombuffer(d, np.uint32 if len(d) == len(c) else np.int64) for c, d in zip(pdf["codes"], pdf["docs"])]
-        code, doc = np.concatenate(codes), np.concatenate([i.astype(np.int64) for i in ids])
-        order = np.lexsort((doc, code))
-        code, doc = code[order], doc[order]
-        again = (code[1:] == code[:-1]) & (doc[1:] != doc[:-1])
-        shared = np.unique(np.concatenate([code[1:][again], *(np.frombuffer(s, "<u4") for s in pdf["several"])]))
+        code = np.sort(np.concatenate(codes))
+        again = code[1:][code[1:] == code[:-1]]
+        shared = np.unique(np.concatenate([again, *(own[:n] for own, n in zip(codes, pdf["several"]))]))
         rows = []
         for part, own in zip(pdf["part"], codes):
             mine = own[_among(own, shared)].astype(np.int64) | (int(key[0]) << 32)

@@ -76,3 +76,15 @@ def test_blocks_of_a_long_text(monkeypatch):
     whole = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(1)
     assert [v for s, e, f in zip(starts, ends, both) for v in [f] * (e - s)] == np.r_[whole[:300], whole[310:]].tolist()
     assert all(e <= 300 or s >= 310 for s, e in zip(starts, ends))
+
+
+def test_ids_stay_in_their_part(spark):
+    """What parts tell of pairs of minimizers has no ids: two parts never hold one document. Rows of one document are one."""
+    rng = random.Random(6)
+    passage, texts = "".join(rng.choice("abc de") for _ in range(200)), ["".join(rng.choice("fghij") for _ in range(400)) for _ in range(60)]
+    rows = [(i, t[:200] + passage[i : i + 120] + t[200:]) for i, t in enumerate(texts)]
+    rows += [(0, passage), (7, texts[0]), (None, texts[1]), (None, texts[1]), (90, texts[2][:150]), (90, texts[2][100:]), (90, "z" * 300)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert "codes#" in (plan := got._jdf.queryExecution().toString()) and "docs#" not in plan
+    out = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got.collect()), key=str)
+    assert out == brute(rows)
