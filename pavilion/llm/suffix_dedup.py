@@ -11,11 +11,13 @@ all suffixes by their first LENGTH bytes decides that, and is built in pieces th
 3. Runs of strings under one shared pair are the small documents whose suffixes are ordered, group by group: each round inserts one more symbol of every
    run, from its end, into the collection's Burrows-Wheeler transform and updates the longest common prefixes beside the
    new suffixes. Neighbours that share LENGTH bytes or more are equal strings, and the least doc_id goes to all of them.
+   Columns are counted from the least gram of the strings, and a symbol is its column and byte: equal strings start in one
+   column, a column's suffixes are a stretch of the transform of their own, and a round leaves the stretches before it alone.
 4. Parts read those ids and cut their texts.
 
 A round over whole documents would be a pass over all data for each byte of the longest one; runs are short, so the rounds are as few
-as the string length, and the sequential files become a task's arrays. What a group or a part sends is merged before it is
-shuffled, so a copy in a third of all documents is a row a part.
+as a string has columns on both sides of its gram, and the sequential files become a task's arrays. What a group or a part sends
+is merged before it is shuffled, so a copy in a third of all documents is a row a part. Short texts are hashed many at a time.
 
 Defined cases: a null text counts as empty; a text under LENGTH bytes is left as it is; a null doc_id counts as larger than all;
 rows with the same doc_id are never a reason to cut one another; rows repeat as they come.
@@ -27,9 +29,10 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.common import NULL_ID, id_or_last, map_rows
+from pavilion.llm.common import NULL_ID, SLICE, id_or_last
 
 LENGTH, GRAM = 50, 16
 # Average bytes of a chunk is about twice CHUNK, none is shorter than CHUNK (but for a text's last).
@@ -37,9 +40,9 @@ CHUNK = 128
 # Bytes of text a part and a group stand for.
 PART_BYTES, GROUP_BYTES = 2_000_000, 4_000_000
 # Bytes whose hashes are worked out at a time, and strings of a run at most.
-BLOCK, RUN = 1 << 20, 64
+BLOCK, RUN = 1 << 17, 64
 # Bytes of runs whose suffixes are ordered at a time; runs that could share a string stay together.
-ORDERED = 150_000
+ORDERED = 500_000
 CHUNKS, SHARED, FIRSTS = 0, 1, 2  # kinds of what comes back to a part
 
 
@@ -94,34 +97,66 @@ def minimizers(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sliding_min(hashes, width), sliding_min(other, width)
 
 
-def chunks(text: Hashed) -> list[tuple[int, int, bytes]]:
-    """(first string, end of strings, digest of the bytes that these strings cover) of each chunk with a string.
+class Batch:
+    """Texts one after the other, hashed as one. No string of one runs into the next."""
+
+    def __init__(self, docs: list[int], raws: list[bytes]):
+        self.docs, self.text = np.array(docs, np.int64), Hashed(b"".join(raws))
+        self.ends = np.cumsum([len(r) for r in raws])
+        self.starts = np.r_[0, self.ends[:-1]]
+
+    def doc_at(self, places: np.ndarray) -> np.ndarray:
+        """doc_id of the text at each place."""
+        return self.docs[np.searchsorted(self.ends, places, side="right")]
+
+
+def batches(docs, raws):
+    """Batches of at most BLOCK bytes, or of one text. Where a text is cut into blocks does not depend on the texts around it."""
+    some, size = [], 0
+    for doc, raw in zip(docs, raws):
+        if some and size + len(raw) > BLOCK:
+            yield Batch(*zip(*some))
+            some, size = [], 0
+        some.append((doc, bytes(raw)))
+        size += len(raw)
+    if some:
+        yield Batch(*zip(*some))
+
+
+def chunks(batch: Batch) -> list[tuple[int, int, int, bytes]]:
+    """(number of the text, first string, end of strings, digest of the bytes that these strings cover) of each chunk with a string.
 
     Chunks start where the bytes there say so.
     """
-    starts, last, mark = [0], 0, np.uint64(CHUNK - 1) << np.uint64(40)
-    for at, n, hashes in text:
-        for place in (np.flatnonzero((hashes[:n] & mark) == 0) + at).tolist():
+    raw, mark = batch.text.raw, np.uint64(CHUNK - 1) << np.uint64(40)
+    places = np.concatenate([np.zeros(0, np.int64), *(np.flatnonzero((hashes[:n] & mark) == 0) + at for at, n, hashes in batch.text)])
+    ends = batch.ends - LENGTH + 1
+    low, high, places = np.searchsorted(places, batch.starts).tolist(), np.searchsorted(places, ends).tolist(), places.tolist()
+    out = []
+    for i, (last, end) in enumerate(zip(batch.starts.tolist(), ends.tolist())):
+        if last >= end:
+            continue
+        for place in places[low[i] : high[i]]:
             if place - last >= CHUNK:
-                starts.append(place)
+                out.append((i, last, place))
                 last = place
-    raw, ends = text.raw, [*starts[1:], text.strings]
-    return [(a, b, hashlib.blake2b(raw[a : b + LENGTH - 1], digest_size=16).digest()) for a, b in zip(starts, ends) if a < b]
+        out.append((i, last, end))
+    return [(i, a, b, hashlib.blake2b(raw[a : b + LENGTH - 1], digest_size=16).digest()) for i, a, b in out]
 
 
 def runs(text: Hashed, open_strings: list[tuple[int, int]]):
     """(starts, ends, hash of both minimizers) of runs of strings, within the given ranges, under the same minimizers."""
     out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)]
+    low, high = np.array(open_strings, np.int64).reshape(-1, 2).T
     for at, n, hashes in text if open_strings else ():
         # 0 outside the ranges, and inside each range a number of its own.
-        turns = np.zeros(n + 1, np.int32)
-        for i, (low, high) in enumerate(open_strings, 1):
-            if low < at + n and high > at:
-                turns[max(low - at, 0)] += i
-                turns[min(high - at, n)] -= i
-        inside = np.cumsum(turns[:n])
-        if not inside.any():
+        here = np.flatnonzero((low < at + n) & (high > at))
+        if not len(here):
             continue
+        turns = np.zeros(n + 1, np.int64)
+        np.add.at(turns, np.maximum(low[here] - at, 0), here + 1)
+        np.subtract.at(turns, np.minimum(high[here] - at, n), here + 1)
+        inside = np.cumsum(turns[:n])
         first, second = minimizers(hashes)
         edge = np.flatnonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (inside[1:] != inside[:-1])) + 1
         starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [n]])
@@ -154,80 +189,72 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def suffix_groups(texts: list[bytes]):
     """(text, position, group) arrays of all suffixes of at least LENGTH bytes; equal first LENGTH bytes, equal group.
 
-    Symbols are the bytes' ranks among those that occur, from 1, and 0 stands for a text's end. Before a round the transform holds, for each suffix inserted so
-    far in order, the symbol before it; the suffixes that grow by it take their places by counting.
+    Strings of a text with the same least gram, the first of equal ones, are a piece. Equal strings have it at the same distance, so columns are
+    counted from there: a round inserts the symbols of one column, which take their places by counting within the order of the
+    column after it. Symbols are the bytes' ranks among those that occur, from 1, and 0 stands for a piece's end.
     """
-    m = len(texts)
     lengths = np.array([len(t) for t in texts], np.int64)
-    flat = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
-    base = np.cumsum(lengths + 1) - lengths - 1
-    ends = base + lengths
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum(lengths)
+    base = ends - lengths
     used = np.zeros(256, bool)
     used[flat] = True
-    small = used.sum() < 256
-    flat = np.cumsum(used)[flat].astype(np.uint8 if small else np.uint16)
-    flat[ends] = 0
-    flat = np.concatenate([flat, [0]]).astype(flat.dtype)  # what is before the first text, by index -1
-    place = ends.astype(np.int32)  # where each suffix starts
-    common = np.zeros(m, np.uint8)  # with the suffix before, LENGTH at most
-    symbols = flat[place - 1]
-    fresh = np.ones(m, bool)  # the suffixes inserted last
-    while True:
-        order = np.argsort(symbols, kind="stable")
-        # Whole texts have no symbol before them; the others' symbols are followed by their suffixes, in this order.
-        order = order[len(symbols) - np.count_nonzero(symbols) :]
-        at = np.flatnonzero(fresh[order])
-        if not len(at):
-            break
-        source = order[at]
-        grown, starts = symbols[source], place[source] - 1
-        before = np.where((at > 0) & (symbols[order[at - 1]] == grown), order[at - 1], -1)
-        nxt = np.minimum(at + 1, len(order) - 1)
-        after = np.where((at + 1 < len(order)) & (symbols[order[nxt]] == grown), order[nxt], -1)
-        own = _least_between(common, before, source)
-        follow = _least_between(common, source, after)
-        size = len(symbols) + len(at)
-        # The empty suffixes stay in front; the others are ranked by what they begin with.
-        target = m + at
-        fresh = np.zeros(size, bool)
-        fresh[target] = True
-        old = ~fresh
-        place, common = _spread(place, starts, old, target), _spread(common, own, old, target)
-        beside = target + 1 < size
-        common[(target + 1)[beside]] = follow[beside]
-        symbols = _spread(symbols, flat[starts - 1], old, target)
-    group = np.cumsum(common < LENGTH)
-    text = np.searchsorted(ends, place)
-    whole = ends[text] - place >= LENGTH
-    return text[whole], place[whole] - base[text[whole]], group[whole]
-
-
-def _spread(values, added, old, target):
-    out = np.empty(len(old), values.dtype)
-    out[old] = values
-    out[target] = added
-    return out
+    ranks = np.cumsum(used)[flat].astype(np.uint8 if used.sum() < 256 else np.uint16)
+    # The place of each string's least gram, by the upper half of its hash.
+    hashes = gram_hashes(flat)
+    places = np.arange(len(hashes), dtype=np.uint64)
+    anchors = (sliding_min(hashes >> np.uint64(32) << np.uint64(32) | places, LENGTH - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    inside = np.zeros(len(flat) + 1, np.int8)
+    inside[base] = 1
+    inside[ends - LENGTH + 1] = -1
+    inside = np.cumsum(inside[: len(anchors)], dtype=np.int8) > 0
+    edge = np.r_[True, (anchors[1:] != anchors[:-1]) | (inside[1:] != inside[:-1]), True]
+    bounds = np.flatnonzero(edge)
+    pieces = np.flatnonzero(inside[bounds[:-1]])
+    starts, stops = bounds[pieces], bounds[pieces + 1] + LENGTH - 1
+    anchors = anchors[starts]
+    low, high = starts - anchors, stops - anchors
+    order, common = np.zeros(0, np.int64), np.zeros(0, np.uint8)  # of the column's suffixes; with the suffix before, LENGTH at most
+    out, groups = [], 0
+    for column in range(LENGTH - 1, GRAM - LENGTH - 1, -1):
+        # The empty suffixes of pieces that end here stay in front.
+        ending = np.flatnonzero(high == column + 1)
+        order, common = np.concatenate([ending, order]), np.concatenate([np.zeros(len(ending), np.uint8), common])
+        symbols = np.where(low <= column, ranks[np.maximum(anchors + column, 0) % len(ranks)], 0)[order]
+        turn = np.argsort(symbols, kind="stable")
+        # Whole pieces have no symbol before them; the others' symbols are followed by their suffixes, in this order.
+        turn = turn[len(symbols) - np.count_nonzero(symbols) :]
+        order, symbols = order[turn], symbols[turn]
+        alike = np.flatnonzero(symbols[1:] == symbols[:-1])
+        grown = np.zeros(len(order), np.uint8)
+        grown[alike + 1] = _least_between(common, turn[alike], turn[alike + 1])
+        common = grown
+        if column <= 0:
+            group = np.cumsum(common < LENGTH) + groups
+            groups += len(order)
+            whole = np.flatnonzero(high[order] - column >= LENGTH)
+            out.append((order[whole], anchors[order[whole]] + column, group[whole]))
+    piece, place, group = (np.concatenate(x) for x in zip(*out))
+    text = np.searchsorted(ends, starts, side="right")[piece]
+    return text, place - base[text], group
 
 
 def _least_between(common, low, high):
-    """One more than the least of common over (low, high], LENGTH at most; 0 where an end is missing."""
-    out = np.zeros(len(low), np.uint8)
-    there = np.flatnonzero((low >= 0) & (high >= 0))
-    if len(there):
-        pairs = np.stack([low[there] + 1, high[there] + 1], axis=1).ravel()
-        least = np.minimum.reduceat(np.append(common, 0), pairs)[::2]
-        out[there] = np.minimum(least + 1, LENGTH)
-    return out
+    """One more than the least of common over (low, high], LENGTH at most."""
+    if not len(low):
+        return np.zeros(0, np.uint8)
+    ranges = np.stack([low + 1, high + 1], axis=1).ravel()
+    return np.minimum(np.minimum.reduceat(np.append(common, np.uint8(0)), ranges)[::2] + np.uint8(1), np.uint8(LENGTH))
 
 
 # --- what parts and groups send each other
 
 
-def _open_ranges(found: list[tuple[int, int, bytes]], doc_id: int, settled: dict[bytes, int]):
+def _open_ranges(batch: Batch, settled: dict[bytes, int]):
     """(repeated, open) ranges of strings: those of chunks that a smaller document has, and the others."""
-    repeated, unsettled = [], []
-    for a, b, digest in found:
-        (repeated if settled.get(digest, NULL_ID) < doc_id else unsettled).append((a, b))
+    repeated, unsettled, docs = [], [], batch.docs.tolist()
+    for i, a, b, digest in chunks(batch):
+        (repeated if settled.get(digest, NULL_ID) < docs[i] else unsettled).append((a, b))
     return joined(repeated), joined(unsettled)
 
 
@@ -253,14 +280,13 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _shared_runs(text: Hashed, doc_id, settled, shared, groups):
-    """(repeated ranges, [(start, end, bytes, both minimizers' hash)]) of a document's runs under shared minimizers."""
-    repeated, unsettled = _open_ranges(chunks(text), doc_id, settled)
-    raw = text.raw
-    starts, ends, both = runs(text, unsettled)
+def _shared_runs(batch: Batch, settled, shared, groups):
+    """(repeated ranges, starts, ends, both minimizers' hash) of a batch's runs under shared minimizers."""
+    repeated, unsettled = _open_ranges(batch, settled)
+    starts, ends, both = runs(batch.text, unsettled)
     group, code = _codes(both, groups)
     kept = np.flatnonzero(_among(group << 32 | code, shared))
-    return repeated, [(a, b, raw[a : b + LENGTH - 1], h) for a, b, h in zip(starts[kept].tolist(), ends[kept].tolist(), both[kept].tolist())]
+    return repeated, starts[kept], ends[kept], both[kept]
 
 
 def _name(run: bytes) -> bytes:
@@ -288,16 +314,22 @@ def _firsts(part, runs_, low, high, batch) -> list[tuple]:
     return rows
 
 
-def cuts(raw: bytes, covered: list[tuple[int, int]]) -> tuple[int, int, bytes]:
-    """(removed bytes, runs of them, what is left) for sorted ranges of repeated strings."""
-    removed, kept, at = 0, [], 0
-    spans = joined([(a, b + LENGTH - 1) for a, b in covered])
-    for a, b in spans:
-        kept.append(raw[at:a])
-        removed += b - a
-        at = b
-    kept.append(raw[at:])
-    return removed, len(spans), b"".join(kept)
+def cuts(batch: Batch, repeated: list[tuple[int, int]], hit: np.ndarray):
+    """(removed bytes, runs of them, what is left) of each text; repeated strings are those of the ranges and those that start at hit."""
+    raw, turns = batch.text.array, np.zeros(len(batch.text.raw) + LENGTH, np.int32)
+    a, b = np.array(repeated + [(0, 0)], np.int64).T
+    np.add.at(turns, np.concatenate([a, hit]), 1)
+    np.subtract.at(turns, np.concatenate([b + (b > a) * (LENGTH - 1), hit + LENGTH]), 1)
+    gone = np.cumsum(turns[: len(raw)]) > 0
+    first = gone.copy()
+    first[1:] &= ~gone[:-1]
+    nonempty = batch.starts[batch.starts < batch.ends]
+    first[nonempty] = gone[nonempty]
+    before, spans = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(first)]
+    kept = raw[~gone].tobytes()
+    starts, ends = batch.starts, batch.ends
+    left = zip((starts - before[starts]).tolist(), (ends - before[ends]).tolist())
+    return (before[ends] - before[starts]).tolist(), (spans[ends] - spans[starts]).tolist(), [kept[a:b] for a, b in left]
 
 
 SIDE = "part int, kind int, name binary, doc long, data binary"
@@ -313,10 +345,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ).withColumn("part", part_of)
 
     # 1. Chunks that more than one document has.
-    def cut_chunks():
-        return lambda doc, part, raw: (part, doc, b"".join(digest for _, _, digest in chunks(Hashed(raw))))
-
-    cut = map_rows(texts.select("__id", "part", "raw"), cut_chunks, "part int, doc long, names binary")
+    def cut_chunks(its):
+        for rows in (whole.slice(at, SLICE) for whole in its for at in range(0, whole.num_rows, SLICE)):
+            ids, part, raws = (c.to_pylist() for c in rows.columns)
+            at = 0
+            for batch in batches(ids, raws):
+                names = [[] for _ in batch.docs]
+                for i, _, _, digest in chunks(batch):
+                    names[i].append(digest)
+                to = at + len(names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[at:to], pa.int32()), pa.array(ids[at:to], pa.int64()), pa.array(map(b"".join, names), pa.binary())],
+                    names=["part", "doc", "names"],
+                )
+                at = to
+
+    cut = texts.select("__id", "part", "raw").mapInArrow(cut_chunks, "part int, doc long, names binary")
     positions = F.sequence(F.lit(0), (F.octet_length("names") / 16).cast("int") - 1)
     named = cut.filter(F.octet_length("names") > 0).select("part", "doc", "names", F.explode(positions).alias("i")).select(
         "part", "doc", F.substring(F.col("names"), F.col("i") * 16 + 1, F.lit(16)).alias("name")
@@ -328,18 +372,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # 2. Pairs of minimizers of the other strings that more than one document has. A document is in one part only, so what two
     # parts tell is in two documents; ids stay where they are.
     def tell(key, pdf, side):
-        known = _settled(side)
-        own: dict[int, np.ndarray] = {}
-        for doc, raw in zip(pdf["__id"], pdf["raw"]):
-            text = Hashed(bytes(raw))
-            _, unsettled = _open_ranges(chunks(text), doc, known)
-            pairs = runs(text, unsettled)[2]
-            own[doc] = np.unique(np.concatenate([own[doc], pairs]) if doc in own else pairs)
-        pair, documents = np.unique(np.concatenate([np.zeros(0, np.uint64), *own.values()]), return_counts=True)
+        known, pairs, docs = _settled(side), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for batch in batches(pdf["__id"], pdf["raw"]):
+            starts, _, pair = runs(batch.text, _open_ranges(batch, known)[1])
+            pairs.append(pair)
+            docs.append(batch.doc_at(starts))
+        pairs, docs = np.concatenate(pairs), np.concatenate(docs)
+        pair = np.sort(pairs)
+        again = np.unique(pair[1:][pair[1:] == pair[:-1]])
+        some = np.flatnonzero(_among(pairs, again))
+        order = some[np.lexsort((docs[some], pairs[some]))]
+        several = pairs[order][1:][(pairs[order][1:] == pairs[order][:-1]) & (docs[order][1:] != docs[order][:-1])]
+        pair = pair[np.r_[True, pair[1:] != pair[:-1]][: len(pair)]]
         group, code = _codes(pair, groups)
         # Those of several documents of the part come first.
-        order = np.lexsort((code, documents < 2, group))
-        group, code, several = group[order], code[order].astype("<u4"), documents[order] > 1
+        order = np.sort(group << 33 | ~_among(pair, np.unique(several)) * (1 << 32) | code)
+        group, code, several = order >> 33, order.astype("<u4"), order >> 32 & 1 == 0
         edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(0, int)
         rows = [(int(group[a]), int(key[0]), code[a:b].tobytes(), int(several[a:b].sum())) for a, b in zip(edge[:-1], edge[1:])]
         return pd.DataFrame(rows, columns=["group", "part", "codes", "several"])
@@ -365,15 +413,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # 3. Runs of strings under shared pairs, each once a part, and the order of their suffixes.
     def send(key, pdf, side):
         known, shared = _settled(side), _shared(side)
-        ids: dict[bytes, list] = {}
-        for doc, raw in zip(pdf["__id"], pdf["raw"]):
-            for _, _, run, both in _shared_runs(Hashed(bytes(raw)), doc, known, shared, groups)[1]:
-                low, high, _ = ids.get(run, (doc, doc, both))
-                ids[run] = (min(low, doc), max(high, doc), both)
-        return pd.DataFrame(
-            [(both % groups, both, int(key[0]), run, low, high) for run, (low, high, both) in ids.items()],
-            columns=["group", "both", "part", "run", "low", "high"],
-        )
+        ids: dict[bytes, int] = {}
+        at, docs, pairs = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for batch in batches(pdf["__id"], pdf["raw"]):
+            raw = batch.text.raw
+            _, starts, ends, both = _shared_runs(batch, known, shared, groups)
+            at += [ids.setdefault(raw[a:b], len(ids)) for a, b in zip(starts.tolist(), (ends + LENGTH - 1).tolist())]
+            docs.append(batch.doc_at(starts))
+            pairs.append(both)
+        at, docs = np.array(at, np.int64), np.concatenate(docs)
+        low, high, both = np.full(len(ids), NULL_ID), np.full(len(ids), -NULL_ID - 1), np.zeros(len(ids), np.int64)
+        np.minimum.at(low, at, docs)
+        np.maximum.at(high, at, docs)
+        both[at] = np.concatenate(pairs)
+        return pd.DataFrame({"group": both % groups, "both": both, "part": key[0], "run": list(ids), "low": low, "high": high})
 
     sent = part_texts.cogroup(side.groupBy("part")).applyInPandas(
         send, "group int, both long, part int, run binary, low long, high long"
@@ -406,20 +459,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # 4. The cut.
     def cut_texts(key, pdf, side):
         known, shared = _settled(side), _shared(side)
-        firsts = {bytes(n): np.frombuffer(d, np.int64) for n, d in zip(*(side.loc[side["kind"] == FIRSTS, c] for c in ("name", "data")))}
-        rows = []
-        for doc, null_id, raw in zip(pdf["__id"], pdf["null_id"], pdf["raw"]):
-            raw = bytes(raw)
-            covered, found = _shared_runs(Hashed(raw), doc, known, shared, groups)
-            for start, _, run, _ in found:
-                first = firsts.get(_name(run))
-                if first is not None:
-                    hit = np.r_[False, first < doc, False]
-                    edge = np.flatnonzero(hit[1:] != hit[:-1])
-                    covered += [(start + int(a), start + int(b)) for a, b in zip(edge[::2], edge[1::2])]
-            rows.append((None if null_id else doc, len(raw), *cuts(raw, sorted(covered))))
-        out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-        return out.astype({"doc_id": "Int64"})
+        told = side[side["kind"] == FIRSTS]
+        sizes = np.array([len(d) // 8 for d in told["data"]], np.int64)
+        firsts = np.frombuffer(b"".join(told["data"]), np.int64)
+        of_name = dict(zip(map(bytes, told["name"]), (np.cumsum(sizes) - sizes).tolist()))
+        removed, spans, left = [], [], []
+        for batch in batches(pdf["__id"], pdf["raw"]):
+            raw = batch.text.raw
+            repeated, starts, ends, _ = _shared_runs(batch, known, shared, groups)
+            at = [of_name.get(_name(raw[a:b]), -1) for a, b in zip(starts.tolist(), (ends + LENGTH - 1).tolist())]
+            at = np.array(at, np.int64)
+            found = np.flatnonzero(at >= 0)
+            starts, at, n = starts[found], at[found], (ends - starts)[found]
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            smaller = firsts[np.repeat(at, n) + nth] < np.repeat(batch.doc_at(starts), n)
+            for whole, some in zip((removed, spans, left), cuts(batch, repeated, (np.repeat(starts, n) + nth)[smaller])):
+                whole += some
+        return pd.DataFrame({
+            "doc_id": pdf["__id"].astype("Int64").mask(pdf["null_id"]).array, "n_bytes": [len(r) for r in pdf["raw"]], "n_removed": removed,
+            "n_spans": spans, "kept": left,
+        })
 
     return part_texts.cogroup(side.union(firsts_side).groupBy("part")).applyInPandas(
         cut_texts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"

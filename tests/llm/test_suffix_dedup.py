@@ -88,3 +88,40 @@ def test_ids_stay_in_their_part(spark):
     assert "codes#" in (plan := got._jdf.queryExecution().toString()) and "docs#" not in plan
     out = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got.collect()), key=str)
     assert out == brute(rows)
+
+
+def test_a_round_orders_one_column(monkeypatch):
+    """Each round takes the suffixes of its column only, not all that the rounds before inserted."""
+    rng = random.Random(12)
+    middle = bytes(rng.choice(b"abcdefgh") for _ in range(60))
+    texts = [bytes(rng.choice(b"abcdefgh") for _ in range(rng.randrange(12))) + middle + bytes([i]) for i in range(200)]
+    ordered, argsort = [], np.argsort
+    monkeypatch.setattr(suffix_dedup.np, "argsort", lambda x, **how: ordered.append(len(x)) or argsort(x, **how))
+    text, place, group = suffix_dedup.suffix_groups(texts)
+    assert sum(ordered) < 5 * sum(map(len, texts))
+    names = {}
+    for t, p, g in zip(text, place, group):
+        names.setdefault(texts[t][p : p + 50], set()).add(int(g))
+    assert all(len(g) == 1 for g in names.values()) and len(set.union(*names.values())) == len(names)
+    assert len(text) == sum(len(t) - 49 for t in texts)
+
+
+def test_texts_around_do_not_matter(monkeypatch):
+    """Runs and chunks of a text are the same alone and among others, also of one longer than a block."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2_000)
+    rng = random.Random(13)
+    raws = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (0, 700, 49, 0, 50, 900, 5_000, 1, 300, 0)]
+    raws.insert(3, raws[1])
+
+    def found(batch):
+        made = suffix_dedup.chunks(batch)
+        columns = suffix_dedup.runs(batch.text, suffix_dedup.joined([(a, b) for _, a, b, _ in made]))
+        out = [(int(batch.docs[i]), "chunk", a - int(batch.starts[i]), b - a, digest) for i, a, b, digest in made]
+        for doc, a, b, both in zip(batch.doc_at(columns[0]).tolist(), *(c.tolist() for c in columns)):
+            out.append((doc, "run", a - int(batch.starts[batch.docs == doc][0]), b - a, both))
+        return out
+
+    together = [x for batch in suffix_dedup.batches(range(len(raws)), raws) for x in found(batch)]
+    alone = [x for i, raw in enumerate(raws) for batch in suffix_dedup.batches([i], [raw]) for x in found(batch)]
+    assert sorted(together, key=str) == sorted(alone, key=str) and len(together) > 300
+    assert [b.docs.tolist() for b in suffix_dedup.batches(range(len(raws)), raws)] == [[0, 1, 2, 3, 4, 5], [6], [7], [8, 9, 10]]
