@@ -30,7 +30,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pavilion.llm.common import NULL_ID, SLICE, id_or_last
 
@@ -52,8 +52,11 @@ CHUNKS, SHARED, FIRSTS = 0, 1, 2  # kinds of what comes back to a part
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """64-bit hashes of the GRAM bytes at each position."""
     n = len(raw) - GRAM + 1
-    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[: n + 8].copy().view("<u8").ravel()
+    bytes_ = np.concatenate([raw, np.zeros(16, np.uint8)]).tobytes()
+    words = np.empty(n + 8, np.uint64)  # of the 8 bytes at each position
+    for first in range(8):
+        own = words[first::8]
+        own[:] = np.frombuffer(bytes_, "<u8", len(own), first)
     with np.errstate(over="ignore"):
         mixed = words[:n] * np.uint64(0x9E3779B97F4A7C15) + words[8 : n + 8] * np.uint64(0xC2B2AE3D27D4EB4F)
         mixed ^= mixed >> np.uint64(29)
@@ -274,26 +277,23 @@ def _shared(side: pd.DataFrame) -> np.ndarray:
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted known ones."""
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
-
-
-def _shared_runs(batch: Batch, settled, shared, groups):
-    """(repeated ranges, starts, ends, both minimizers' hash) of a batch's runs under shared minimizers."""
-    repeated, unsettled = _open_ranges(batch, settled)
-    starts, ends, both = runs(batch.text, unsettled)
-    group, code = _codes(both, groups)
-    kept = np.flatnonzero(_among(group << 32 | code, shared))
-    return repeated, starts[kept], ends[kept], both[kept]
+    """Which values are in the sorted known ones, none below 0. Only those whose low bits occur there are looked up."""
+    there = np.zeros(len(values), bool)
+    if len(known):
+        low = (1 << min(max(8 * len(known), 1).bit_length(), 22)) - 1
+        bits = np.zeros(low + 1, bool)
+        bits[(known & known.dtype.type(low)).astype(np.int64)] = True
+        maybe = np.flatnonzero(bits[(values & values.dtype.type(low)).astype(np.int64)])
+        some = values[maybe]
+        there[maybe[known[np.minimum(np.searchsorted(known, some), len(known) - 1)] == some]] = True
+    return there
 
 
 def _name(run: bytes) -> bytes:
     return hashlib.blake2b(run, digest_size=16).digest()
 
 
-def _firsts(part, runs_, low, high, batch) -> list[tuple]:
+def _firsts(part, both, runs_, low, high, batch) -> list[tuple]:
     """For each part's run that a smaller document shares strings with: the least doc_id of each of its strings."""
     distinct: dict[bytes, int] = {}
     at = [distinct.setdefault(bytes(runs_[i]), len(distinct)) for i in batch]
@@ -310,7 +310,7 @@ def _firsts(part, runs_, low, high, batch) -> list[tuple]:
     for i, which in zip(batch, at):
         own = first[bounds[which] : bounds[which + 1]]
         if own.min() < high[i]:
-            rows.append((part[i], FIRSTS, _name(names[which]), None, own.tobytes()))
+            rows.append((part[i], FIRSTS, _name(names[which]), both[i], own.tobytes()))
     return rows
 
 
@@ -332,6 +332,7 @@ def cuts(batch: Batch, repeated: list[tuple[int, int]], hit: np.ndarray):
     return (before[ends] - before[starts]).tolist(), (spans[ends] - spans[starts]).tolist(), [kept[a:b] for a, b in left]
 
 
+# doc is the least doc_id of CHUNKS, and the hash of both minimizers of FIRSTS. It has no nulls, which would make numbers of pandas inexact.
 SIDE = "part int, kind int, name binary, doc long, data binary"
 
 
@@ -365,8 +366,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     named = cut.filter(F.octet_length("names") > 0).select("part", "doc", "names", F.explode(positions).alias("i")).select(
         "part", "doc", F.substring(F.col("names"), F.col("i") * 16 + 1, F.lit(16)).alias("name")
     )
-    ends = named.groupBy("name").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    settled = named.join(ends, "name").filter("doc > first").select("part", "name", F.col("first").alias("doc")).distinct()
+    ends = named.groupBy("part", "name").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    least = F.min("low").over(Window.partitionBy("name"))
+    settled = ends.select("part", "name", "high", least.alias("doc")).filter("doc < high")
     chunk_side = settled.select("part", F.lit(CHUNKS).alias("kind"), "name", "doc", F.lit(None).cast("binary").alias("data"))
 
     # 2. Pairs of minimizers of the other strings that more than one document has. A document is in one part only, so what two
@@ -404,11 +406,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for part, own in zip(pdf["part"], codes):
             mine = own[_among(own, shared)].astype(np.int64) | (int(key[0]) << 32)
             if len(mine):
-                rows.append((part, SHARED, None, None, mine.tobytes()))
+                rows.append((part, SHARED, None, 0, mine.tobytes()))
         return pd.DataFrame(rows, columns=["part", "kind", "name", "doc", "data"])
 
     shared_side = told.groupBy("group").applyInPandas(answer, SIDE)
-    side = chunk_side.union(shared_side)
 
     # 3. Runs of strings under shared pairs, each once a part, and the order of their suffixes.
     def send(key, pdf, side):
@@ -417,7 +418,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         at, docs, pairs = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for batch in batches(pdf["__id"], pdf["raw"]):
             raw = batch.text.raw
-            _, starts, ends, both = _shared_runs(batch, known, shared, groups)
+            starts, ends, both = runs(batch.text, _open_ranges(batch, known)[1])
+            group, code = _codes(both, groups)
+            there = np.flatnonzero(_among(group << 32 | code, shared))
+            starts, ends, both = starts[there], ends[there], both[there]
             at += [ids.setdefault(raw[a:b], len(ids)) for a, b in zip(starts.tolist(), (ends + LENGTH - 1).tolist())]
             docs.append(batch.doc_at(starts))
             pairs.append(both)
@@ -428,7 +432,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         both[at] = np.concatenate(pairs)
         return pd.DataFrame({"group": both % groups, "both": both, "part": key[0], "run": list(ids), "low": low, "high": high})
 
-    sent = part_texts.cogroup(side.groupBy("part")).applyInPandas(
+    sent = part_texts.cogroup(chunk_side.union(shared_side).groupBy("part")).applyInPandas(
         send, "group int, both long, part int, run binary, low long, high long"
     )
 
@@ -443,30 +447,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             if all(run == runs_[a] for run in runs_[a + 1 : b]):
                 # One run in several documents: all its strings are the smallest one's.
                 name, data = _name(bytes(runs_[a])), np.full(len(runs_[a]) - LENGTH + 1, smallest, np.int64).tobytes()
-                rows += [(part[i], FIRSTS, name, None, data) for i in range(a, b) if smallest < high[i]]
+                rows += [(part[i], FIRSTS, name, both[a], data) for i in range(a, b) if smallest < high[i]]
                 continue
             batch += range(a, b)
             size += sum(len(r) for r in runs_[a:b])
             if size > ORDERED:
-                rows += _firsts(part, runs_, low, high, batch)
+                rows += _firsts(part, both, runs_, low, high, batch)
                 batch, size = [], 0
         if batch:
-            rows += _firsts(part, runs_, low, high, batch)
+            rows += _firsts(part, both, runs_, low, high, batch)
         return pd.DataFrame(rows, columns=["part", "kind", "name", "doc", "data"])
 
     firsts_side = sent.groupBy("group").applyInPandas(order_suffixes, SIDE)
 
     # 4. The cut.
     def cut_texts(key, pdf, side):
-        known, shared = _settled(side), _shared(side)
-        told = side[side["kind"] == FIRSTS]
+        known, told = _settled(side), side[side["kind"] == FIRSTS]
+        answered = np.unique(told["doc"].to_numpy(np.int64))
         sizes = np.array([len(d) // 8 for d in told["data"]], np.int64)
         firsts = np.frombuffer(b"".join(told["data"]), np.int64)
         of_name = dict(zip(map(bytes, told["name"]), (np.cumsum(sizes) - sizes).tolist()))
         removed, spans, left = [], [], []
         for batch in batches(pdf["__id"], pdf["raw"]):
             raw = batch.text.raw
-            repeated, starts, ends, _ = _shared_runs(batch, known, shared, groups)
+            repeated, unsettled = _open_ranges(batch, known)
+            starts, ends, both = runs(batch.text, unsettled)
+            there = np.flatnonzero(_among(both.astype(np.int64), answered))
+            starts, ends = starts[there], ends[there]
             at = [of_name.get(_name(raw[a:b]), -1) for a, b in zip(starts.tolist(), (ends + LENGTH - 1).tolist())]
             at = np.array(at, np.int64)
             found = np.flatnonzero(at >= 0)
@@ -480,7 +487,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             "n_spans": spans, "kept": left,
         })
 
-    return part_texts.cogroup(side.union(firsts_side).groupBy("part")).applyInPandas(
+    return part_texts.cogroup(chunk_side.union(firsts_side).groupBy("part")).applyInPandas(
         cut_texts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 

@@ -125,3 +125,26 @@ def test_texts_around_do_not_matter(monkeypatch):
     alone = [x for i, raw in enumerate(raws) for batch in suffix_dedup.batches([i], [raw]) for x in found(batch)]
     assert sorted(together, key=str) == sorted(alone, key=str) and len(together) > 300
     assert [b.docs.tolist() for b in suffix_dedup.batches(range(len(raws)), raws)] == [[0, 1, 2, 3, 4, 5], [6], [7], [8, 9, 10]]
+
+
+def test_large_ids(spark):
+    """Neighbouring doc_ids that doubles cannot tell apart. Texts share whole chunks and shorter passages."""
+    rng = random.Random(14)
+    passages = ["".join(rng.choice("abc de") for _ in range(n)) for n in (1500, 1500, 90, 90)]
+    rows = []
+    for i in range(60):
+        own = "".join(rng.choice("fghij") for _ in range(200))
+        rows.append(((1 << 60) + i, own[:100] + passages[i % 4] + own[100:] + passages[i * 7 % 3]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, suffix_dedup.report(docs).collect()), key=str) == brute(rows)
+
+
+def test_chunks_are_cut_once(spark):
+    """Texts are chunked in one pass before they are shuffled, and what parts tell is answered once."""
+    rng = random.Random(15)
+    docs = spark.createDataFrame([(i, "".join(rng.choice("abc de") for _ in range(300))) for i in range(50)], "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count("MapInArrow") == 1 and final.count("answer(") == 1
