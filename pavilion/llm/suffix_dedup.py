@@ -43,6 +43,8 @@ PART_BYTES, GROUP_BYTES = 2_000_000, 4_000_000
 BLOCK, RUN = 1 << 17, 64
 # Bytes of runs whose suffixes are ordered at a time; runs that could share a string stay together.
 ORDERED = 500_000
+# Runs whose strings are compared at a time.
+SOME = 1 << 15
 CHUNKS, SHARED, FIRSTS = 0, 1, 2  # kinds of what comes back to a part
 
 
@@ -314,22 +316,35 @@ def _firsts(part, both, runs_, low, high, batch) -> list[tuple]:
     return rows
 
 
-def cuts(batch: Batch, repeated: list[tuple[int, int]], hit: np.ndarray):
-    """(removed bytes, runs of them, what is left) of each text; repeated strings are those of the ranges and those that start at hit."""
-    raw, turns = batch.text.array, np.zeros(len(batch.text.raw) + LENGTH, np.int32)
-    a, b = np.array(repeated + [(0, 0)], np.int64).T
-    np.add.at(turns, np.concatenate([a, hit]), 1)
-    np.subtract.at(turns, np.concatenate([b + (b > a) * (LENGTH - 1), hit + LENGTH]), 1)
-    gone = np.cumsum(turns[: len(raw)]) > 0
-    first = gone.copy()
-    first[1:] &= ~gone[:-1]
-    nonempty = batch.starts[batch.starts < batch.ends]
-    first[nonempty] = gone[nonempty]
-    before, spans = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(first)]
-    kept = raw[~gone].tobytes()
-    starts, ends = batch.starts, batch.ends
-    left = zip((starts - before[starts]).tolist(), (ends - before[ends]).tolist())
-    return (before[ends] - before[starts]).tolist(), (spans[ends] - spans[starts]).tolist(), [kept[a:b] for a, b in left]
+def _smaller(batch: Batch, starts, ends, at, firsts) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of the strings of runs, in their order, whose least doc_id is smaller than their text's. That of a run's first string is firsts[at]."""
+    out = [(np.zeros(0, np.int64),) * 2]
+    for i in range(0, len(starts), SOME):
+        first, n = starts[i : i + SOME], (ends - starts)[i : i + SOME]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        smaller = firsts[np.repeat(at[i : i + SOME], n) + nth] < np.repeat(batch.doc_at(first), n)
+        hit = (np.repeat(first, n) + nth)[smaller]
+        gap = np.flatnonzero(hit[1:] != hit[:-1] + 1)
+        out.append((hit[np.r_[0, gap + 1][: len(hit)]], hit[np.r_[gap, len(hit) - 1][: len(hit)]] + 1))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def cuts(batch: Batch, starts: np.ndarray, ends: np.ndarray):
+    """(removed bytes, runs of them, what is left) of each text for ranges of repeated strings."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order] + LENGTH - 1)
+    text = np.searchsorted(batch.ends, starts, side="right")
+    new = np.flatnonzero(np.r_[True, (starts[1:] > reach[:-1]) | (text[1:] != text[:-1])][: len(starts)])
+    starts, ends, text = starts[new], reach[np.r_[new[1:] - 1, len(reach) - 1][: len(new)]], text[new]
+    removed, spans = np.zeros(len(batch.docs), np.int64), np.bincount(text, minlength=len(batch.docs))
+    np.add.at(removed, text, ends - starts)
+    raw, at, left = batch.text.raw, 0, []
+    starts, ends = starts.tolist(), ends.tolist()
+    for low, high, n in zip(batch.starts.tolist(), batch.ends.tolist(), spans.tolist()):
+        edges = zip([low, *ends[at : at + n]], [*starts[at : at + n], high])
+        left.append(b"".join([raw[a:b] for a, b in edges]))
+        at += n
+    return removed.tolist(), spans.tolist(), left
 
 
 # doc is the least doc_id of CHUNKS, and the hash of both minimizers of FIRSTS. It has no nulls, which would make numbers of pandas inexact.
@@ -477,10 +492,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             at = [of_name.get(_name(raw[a:b]), -1) for a, b in zip(starts.tolist(), (ends + LENGTH - 1).tolist())]
             at = np.array(at, np.int64)
             found = np.flatnonzero(at >= 0)
-            starts, at, n = starts[found], at[found], (ends - starts)[found]
-            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            smaller = firsts[np.repeat(at, n) + nth] < np.repeat(batch.doc_at(starts), n)
-            for whole, some in zip((removed, spans, left), cuts(batch, repeated, (np.repeat(starts, n) + nth)[smaller])):
+            low, high = _smaller(batch, starts[found], ends[found], at[found], firsts)
+            a, b = np.array(repeated, np.int64).reshape(-1, 2).T
+            for whole, some in zip((removed, spans, left), cuts(batch, np.concatenate([a, low]), np.concatenate([b, high]))):
                 whole += some
         return pd.DataFrame({
             "doc_id": pdf["__id"].astype("Int64").mask(pdf["null_id"]).array, "n_bytes": [len(r) for r in pdf["raw"]], "n_removed": removed,

@@ -148,3 +148,20 @@ def test_chunks_are_cut_once(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
     assert final.count("MapInArrow") == 1 and final.count("answer(") == 1
+
+
+def test_cuts_of_a_batch(monkeypatch):
+    """Spans of neighbouring texts stay two, touching ranges of a text are one, and a few runs at a time give the same."""
+    monkeypatch.setattr(suffix_dedup, "SOME", 2)
+    raws = [b"", b"a" * 120, b"b" * 100, b"", b"c" * 60, b"d" * 10, b"e" * 300]
+    (batch,) = suffix_dedup.batches(range(10, 17), raws)
+    # Strings of the last 60 bytes of text 1, the first 51 of text 2, none of the others but two ranges and a single string of the last.
+    starts, ends = np.array([290, 120, 510, 60, 400]), np.array([301, 122, 511, 71, 402])
+    removed, spans, left = suffix_dedup.cuts(batch, starts, ends)
+    assert removed == [0, 60, 51, 0, 0, 0, 161] and spans == [0, 1, 1, 0, 0, 0, 3]
+    assert left == [b"", b"a" * 60, b"b" * 49, b"", b"c" * 60, b"d" * 10, b"e" * 139]
+    assert suffix_dedup.cuts(batch, starts[:0], ends[:0]) == ([0] * 7, [0] * 7, raws)
+    firsts = np.array([9, 9, 11, 9, 12, 12, 3, 20, 3, 3, 3])
+    low, high = suffix_dedup._smaller(batch, np.array([0, 3, 130, 300]), np.array([3, 5, 133, 303]), np.array([0, 3, 4, 8]), firsts)
+    hit = [p for a, b in zip(low.tolist(), high.tolist()) for p in range(a, b)]
+    assert hit == [0, 1, 3, 132, 300, 301, 302]
