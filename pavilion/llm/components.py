@@ -36,22 +36,31 @@ def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     return _distinct(near.union(own).toDF("u", "v").coalesce(tasks)).coalesce(tasks)
 
 
+def _state(links: DataFrame) -> tuple[int, bool]:
+    """(number of links, whether they are stars): no node with two smaller neighbours, or with a smaller and a larger one."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    n, most = nodes.agg(F.sum("up"), F.max(F.when(F.col("up") > 0, F.col("up") + F.col("down")))).first()
+    return n or 0, (most or 0) <= 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in an edge (u, v); root is the component's least node.
 
     Each round is written to the shared folder, so a lost executor costs one round at most. The rounds grow with the
-    logarithm of the longest path; edges never outnumber the given ones. Its tasks follow the number of links, not that of
-    the shuffles' partitions.
+    logarithm of the longest path, and end when all links are stars; edges never outnumber the given ones. Its tasks follow
+    the number of links, not that of the shuffles' partitions.
     """
     spark = edges.sparkSession
     oriented = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now, seen = materialize(_distinct(oriented), "links"), None
+    now = materialize(_distinct(oriented), "links")
     for _ in range(ROUNDS):
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
-        if mark == seen or not mark[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root"))
-            ).distinct().coalesce(_tasks(spark, mark[0]))
-        seen, tasks = mark, _tasks(spark, mark[0])
+        n, stars = _state(now)
+        tasks = _tasks(spark, n)
+        if stars:
+            # A node below a root is in one link, and a root in none as such.
+            roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots).coalesce(tasks)
         now = materialize(_small_star(_large_star(now, tasks), tasks), "links")
     raise RuntimeError("the components did not settle")

@@ -235,7 +235,8 @@ def grouped(docs: DataFrame, shingle=SHINGLE, budget=BUDGET) -> DataFrame:
     """__id, __key and __component, the least __id reachable over links, of every row."""
     keyed = docs.select(id_or_last().alias("__id"), text_key().alias("__key"), "text")
     rows = materialize(fingerprints(keyed, shingle, ("__id", "__key")), "simhash")
-    return rows.join(classes(rows, budget), "__fingerprint").select("__id", "__key", "__component")
+    # Written, as what is asked of the groups next would hold the plan that finds them several times.
+    return materialize(rows.join(classes(rows, budget), "__fingerprint").select("__id", "__key", "__component"), "groups")
 
 
 def keep_one(docs: DataFrame, shingle=SHINGLE, budget=BUDGET) -> DataFrame:

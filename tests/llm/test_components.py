@@ -53,3 +53,13 @@ def test_tasks_follow_the_links(spark, many_partitions, monkeypatch):
     assert len(written) > 2 and all(n <= most for n in written[1:])
     monkeypatch.setattr(stars, "TASK_LINKS", 20)
     assert {tuple(r) for r in stars.components(spark.createDataFrame(links, "u long, v long")).collect()} == brute(links)
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    written, write = [], stars.materialize
+    monkeypatch.setattr(stars, "materialize", lambda df, name: written.append(name) or write(df, name))
+    for links, rounds in [([], 0), ([(4, 4)], 0), ([(1, 2), (3, 1), (1, 3), (-8, 9)], 0), ([(1, 3), (2, 3)], 1), ([(1, 2), (2, 3)], 1)]:
+        written.clear()
+        got = sorted(tuple(r) for r in stars.components(spark.createDataFrame(links, "u long, v long")).collect())
+        assert got == sorted(brute([link for link in links if link[0] != link[1]]))
+        assert len(written) == 1 + rounds, links

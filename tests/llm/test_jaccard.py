@@ -95,3 +95,23 @@ def test_rows_that_share_a_doc_id(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "u v w x y z"), (None, "one two"), (2, "A B C D E F"), (None, None)]
     got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a b c d e f"), (1, "u v w x y z"), (None, "one two"), (None, None)], key=str)
+
+
+def test_no_step_without_pairs(spark, monkeypatch):
+    """What has nothing to judge or to join is not run: no shingles without a pair, no components without a new link."""
+    written, asked, write, join = [], [], jaccard.materialize, jaccard.components
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: written.append(name) or write(df, name))
+    monkeypatch.setattr(jaccard, "components", lambda edges: asked.append({tuple(r) for r in edges.collect()}) or join(edges))
+    apart = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(5)]
+    docs = spark.createDataFrame(apart, "doc_id long, text string")
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs, known=simhash.grouped(docs)).collect()) == [0, 1, 2, 3, 4]
+    assert "shingles" not in written and not asked and written.count("members") == 1
+
+    # Near copies that the known groups link; the join finds one more, and follows it from the groups' roots.
+    base = [f"w{j}" for j in range(60)]
+    near = [(10, " ".join(base)), (11, " ".join(base[:59] + ["x"])), (12, " ".join(base[:58] + ["y", "z"]))]
+    docs = spark.createDataFrame(apart + near, "doc_id long, text string")
+    keyed = docs.select(jaccard.id_or_last().alias("__id"), jaccard.text_key().alias("__key"))
+    known = keyed.filter("__id in (10, 11)").selectExpr("__id", "__key", "10L as __component")
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs, known=known).collect()) == [0, 1, 2, 3, 4, 10]
+    assert len(asked) == 2 and len(asked[0]) == 1 and asked[0] < asked[1] | {(v, u) for u, v in asked[1]} and len(asked[1]) == 2

@@ -44,3 +44,21 @@ def test_small_cases(spark):
     assert quality_fm.classify(docs.limit(0), ones).count() == 0
     mixed = spark.createDataFrame([(2, 0), (1, 1), (3, 1), (4, 1)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in quality_fm.classify(docs, mixed).collect())
+
+
+def test_order_of_learnt_rows():
+    """Rows of one id are told apart by their buckets as numbers, without a list of these for each row."""
+    import tracemalloc
+
+    from pyspark.sql import Row
+
+    rng = np.random.default_rng(5)
+    many = [np.flatnonzero(rng.random(quality_fm.WORD_BUCKETS) < 0.05).astype("<i4") for _ in range(2000)]
+    many += [many[0][:n] for n in (0, 3, 2, 200)] + [np.array(a, "<i4") for a in ([1], [256], [255, 1], [65536], [2, 9], [2])]
+    rows = [Row(id=i % 7, quality=i % 2, at=at.tobytes()) for i, at in enumerate(many)]
+    want = sorted(rows, key=lambda r: (r.id, r.quality, np.frombuffer(r["at"], "<i4").tolist()))
+    tracemalloc.start()
+    got = quality_fm.in_order(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == want and peak < 2 * sum(len(r["at"]) for r in rows)
