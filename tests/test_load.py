@@ -4,9 +4,10 @@ import uuid
 import pytest
 from matches import MATCHES, ball, info, innings, write_all
 from pavilion.operators.tables import NoNewData
-from pavilion.plans import joblog, reports
+from pavilion.plans import joblog, load as load_plan, reports
 from pavilion.plans.load import load, stored_star
 from pavilion.session import shared_dir
+from pavilion.sources import folders
 from pavilion.sources.match_json import read_matches
 from pyspark.sql import functions as F
 
@@ -77,3 +78,35 @@ def test_a_folder_is_loaded_by_its_new_files(spark, tmp_path):
     assert sorted((r.status, str(r.message)) for r in jobs.filter("job_name = 'Gate Staging'").collect()) == [
         ("Completed", "No new data"), ("Completed", "None"), ("Completed", "None"),
     ]
+
+
+def test_a_large_folder_is_loaded_without_its_files_on_the_driver(spark, tmp_path, monkeypatch):
+    schema = f"large_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{shared_dir(spark)}/{schema}'")
+    monkeypatch.setattr(folders, "SCANNED", 3)
+    seen, staged = [], load_plan.stage_files
+    monkeypatch.setattr(load_plan, "stage_files", lambda spark, folder, new, *names: seen.append({r.file_name for r in new.collect()}) or staged(spark, folder, new, *names))
+    lists, reads = load_plan.list_files, load_plan.read_files
+    for name, read in (("list_files", lists), ("read_files", reads)):
+        monkeypatch.setattr(load_plan, name, lambda *given, read=read: held(read(*given)))
+
+    def held(df):
+        assert not any(str(tmp_path) in f for f in df.inputFiles())
+        return df
+
+    def table(name):
+        return {r.file_name: r for r in spark.table(f"{schema}.{name}").collect()}
+
+    write_all(tmp_path)
+    (tmp_path / "77.json").write_text("{")
+    assert load(spark, str(tmp_path), schema, schema, schema).matches.count() == len(MATCHES)
+    first = table("t_match_document")
+    assert set(first) == set(MATCHES) and set(table("t_refused_file")) == {"77.json"}
+    with pytest.raises(NoNewData):
+        load(spark, str(tmp_path), schema, schema, schema)
+    more = info("2022-01-01", "A", {"runs": 1}, season="new")
+    (tmp_path / "5.json").write_text(json.dumps({"info": more, "innings": [innings("A", [ball("a1", "b1", "a2", 4)])]}))
+    load(spark, str(tmp_path), schema, schema, schema)
+    second = table("t_match_document")
+    assert {n for n in first if second[n] != first[n]} == {"5.json"} and set(second) == set(first)
+    assert seen == [{*MATCHES, "77.json"}, {"5.json"}]
