@@ -115,3 +115,14 @@ def test_no_step_without_pairs(spark, monkeypatch):
     known = keyed.filter("__id in (10, 11)").selectExpr("__id", "__key", "10L as __component")
     assert sorted(r.doc_id for r in jaccard.keep_one(docs, known=known).collect()) == [0, 1, 2, 3, 4, 10]
     assert len(asked) == 2 and len(asked[0]) == 1 and asked[0] < asked[1] | {(v, u) for u, v in asked[1]} and len(asked[1]) == 2
+
+
+@pytest.mark.parametrize(("small", "block"), [(16, 1024), (2, 20)])
+def test_known_groups_leave_no_pair_out(spark, small, block):
+    """All texts in one known group, most of whose pairs are none of its least node, and texts dealt to groups that mean nothing."""
+    rows = made_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = docs.select(jaccard.id_or_last().alias("__id"), jaccard.text_key().alias("__key"))
+    for group in ("0L", "__id % 7"):
+        known = keyed.selectExpr("__id", "__key", f"{group} as __component")
+        assert sorted(r.doc_id for r in jaccard.keep_one(docs, small, block, known).collect()) == brute_kept(rows)
